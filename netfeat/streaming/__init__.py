@@ -1,0 +1 @@
+"""Streaming entry points (micro-batch adapter of the batch job)."""

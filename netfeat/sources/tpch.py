@@ -126,6 +126,7 @@ def tpch_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("ACCT-"), supp, F.lit("-ACCT-")).alias("SENDING_INSTN_ACCT_ID"),
             _iso(F.col("s_nationkey")).alias("SENDING_INSTN_COUNTRY"),
             F.col("s_name").alias("SENDING_INSTN_NAME"),
+            F.concat(F.lit("ACCT-ACCT-"), supp).alias("RCV_INSTN_ACCT_ID"),
             F.when(ln % 4 == 1, F.concat(F.lit("ACCT-"), cust, F.lit("-"), supp)).alias("TP_ORIGIN_ACCT_ID"),
             F.when(ln % 4 == 1, F.col("s_name")).alias("TP_ORIGIN_NAME"),
             F.when(ln % 4 == 1, _iso(F.col("s_nationkey"))).alias("TP_ORIGIN_COUNTRY"),

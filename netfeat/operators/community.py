@@ -50,11 +50,13 @@ def community_metrics(graph: Graph, labels: DataFrame) -> DataFrame:
     )
 
 
-def vertex_communities(labels: DataFrame, metrics: DataFrame, keys: list[str], skew: SkewConfig) -> DataFrame:
+def vertex_communities(
+    labels: DataFrame, metrics: DataFrame, keys: list[str], skew: SkewConfig, bound: int | None = None
+) -> DataFrame:
     """Metrics of each vertex's community: (*keys, id, label, community_size, ...).
 
     A community may hold a large share of all vertices, so large labels are
-    salted in this look-up.
+    salted in this look-up. ``bound``: the vertex count, if known.
     """
-    hot = hot_keys(metrics, [*keys, "label"], "community_size", skew)
+    hot = hot_keys(metrics, [*keys, "label"], "community_size", skew, bound)
     return salted_join(labels, metrics, [*keys, "label"], hot, F.col("id"), "left")

@@ -33,6 +33,7 @@ from netfeat.operators.skew import SkewConfig, hot_keys, salted_join
 from netfeat.session import cut_lineage
 
 MAX_ROUNDS = 1_000
+LAST_ROUNDS = [0]  # rounds of the last run, for diagnostics
 
 
 def _signature(edges: DataFrame, k: list[str]) -> tuple:
@@ -46,14 +47,16 @@ def _signature(edges: DataFrame, k: list[str]) -> tuple:
     return (row["n"], row["h1"], row["h2"])
 
 
-def _lookup_min(edges: DataFrame, mins: DataFrame, key: str, other: str, k: list[str], skew: SkewConfig) -> DataFrame:
+def _lookup_min(
+    edges: DataFrame, mins: DataFrame, key: str, other: str, k: list[str], skew: SkewConfig, bound: int
+) -> DataFrame:
     """edges joined with m on ``key``; centres with many edges are salted."""
     mins = mins.withColumnRenamed("u", key)
-    hot = hot_keys(mins, [*k, key], "deg", skew)
+    hot = hot_keys(mins, [*k, key], "deg", skew, bound)
     return salted_join(edges, mins.select(*k, key, "m"), [*k, key], hot, F.col(other))
 
 
-def _large_star(edges: DataFrame, k: list[str], skew: SkewConfig) -> DataFrame:
+def _large_star(edges: DataFrame, k: list[str], skew: SkewConfig, n_edges: int) -> DataFrame:
     pairs = edges.select(
         *k,
         F.explode(
@@ -68,18 +71,19 @@ def _large_star(edges: DataFrame, k: list[str], skew: SkewConfig) -> DataFrame:
         .agg(F.min("v").alias("mv"), F.count(F.lit(1)).alias("deg"))
         .select(*k, "u", F.least("u", "mv").alias("m"), "deg")
     ).persist(StorageLevel.MEMORY_AND_DISK)
-    # every larger neighbour b of a goes to m(a); m(a) <= a < b
-    out = _lookup_min(edges, mins, "a", "b", k, skew).select(*k, F.col("m").alias("a"), "b").distinct()
+    # every larger neighbour b of a goes to m(a); m(a) <= a < b. One output row
+    # per input edge, so duplicates are left to the distinct of small-star.
+    out = _lookup_min(edges, mins, "a", "b", k, skew, 2 * n_edges).select(*k, F.col("m").alias("a"), "b")
     return out, mins
 
 
-def _small_star(edges: DataFrame, k: list[str], skew: SkewConfig) -> DataFrame:
+def _small_star(edges: DataFrame, k: list[str], skew: SkewConfig, n_edges: int) -> DataFrame:
     mins = (
         edges.groupBy(*k, F.col("b").alias("u"))
         .agg(F.min("a").alias("m"), F.count(F.lit(1)).alias("deg"))
     ).persist(StorageLevel.MEMORY_AND_DISK)
     # b and each smaller neighbour a go to m(b) = min of the smaller neighbours
-    linked = _lookup_min(edges, mins, "b", "a", k, skew)
+    linked = _lookup_min(edges, mins, "b", "a", k, skew, n_edges)
     out = (
         linked.select(*k, "m", F.explode(F.array("a", "b")).alias("x"))
         .where(F.col("x") != F.col("m"))
@@ -105,14 +109,16 @@ def connected_components(graph: Graph, checkpoint_interval: int = 2, max_rounds:
     sig = _signature(edges, k)
     previous: DataFrame | None = None  # persisted (not checkpointed) edge set of the last round
     for rnd in range(1, max_rounds + 1):
-        large, m1 = _large_star(edges, k, skew)
+        # each star step emits at most one edge per input edge, so sig[0] bounds every count
+        large, m1 = _large_star(edges, k, skew, sig[0])
         large = large.persist(StorageLevel.MEMORY_AND_DISK)
-        small, m2 = _small_star(large, k, skew)
+        small, m2 = _small_star(large, k, skew, sig[0])
         if rnd % max(1, checkpoint_interval) == 0:
             nxt, kept = cut_lineage(small), None
         else:
             nxt = kept = small.persist(StorageLevel.MEMORY_AND_DISK)
         new_sig = _signature(nxt, k)
+        LAST_ROUNDS[0] = rnd
         for f in (m1, large, m2, previous):
             if f is not None:
                 f.unpersist()
@@ -138,13 +144,16 @@ def component_sizes(components: DataFrame, keys: list[str]) -> DataFrame:
     return components.groupBy(*keys, "component").agg(F.count(F.lit(1)).alias("network_size"))
 
 
-def network_sizes(components: DataFrame, keys: list[str], skew: SkewConfig) -> DataFrame:
+def network_sizes(
+    components: DataFrame, keys: list[str], skew: SkewConfig, bound: int | None = None
+) -> DataFrame:
     """(*keys, id, network_size): size of each vertex's component.
 
     Giant components are hot keys of the size look-up, so it is salted.
+    ``bound``: the vertex count, if known (no component is larger).
     """
     sizes = component_sizes(components, keys)
-    hot = hot_keys(sizes, [*keys, "component"], "network_size", skew)
+    hot = hot_keys(sizes, [*keys, "component"], "network_size", skew, bound)
     return salted_join(components, sizes, [*keys, "component"], hot, F.col("id")).select(
         *keys, "id", "network_size"
     )

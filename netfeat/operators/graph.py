@@ -28,15 +28,23 @@ class Graph:
     skew: SkewConfig = DEFAULT_SKEW
     _hot: object = field(default=None, repr=False)
     _hot_done: bool = field(default=False, repr=False)
+    _sizes: tuple[int, int] | None = field(default=None, repr=False)
 
     @property
     def key_list(self) -> list[str]:
         return list(self.keys)
 
+    def sizes(self) -> tuple[int, int]:
+        """(vertex rows, edge rows) over all snapshots; two small count jobs, once."""
+        if self._sizes is None:
+            self._sizes = (self.vertices.count(), self.edges.count())
+        return self._sizes
+
     def hot(self) -> DataFrame | None:
         """Vertices whose degree exceeds the skew threshold (bounded table) or None."""
         if not self._hot_done:
-            self._hot = hot_keys(degrees(self), [*self.keys, "id"], "degree", self.skew)
+            bound = 2 * self.sizes()[1]  # a degree never exceeds twice the edge rows
+            self._hot = hot_keys(degrees(self), [*self.keys, "id"], "degree", self.skew, bound)
             self._hot_done = True
         return self._hot
 

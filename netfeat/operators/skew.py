@@ -49,14 +49,19 @@ def hot_keys(
     key_cols: Sequence[str],
     count_col: str,
     skew: SkewConfig = DEFAULT_SKEW,
+    bound: int | None = None,
 ) -> DataFrame | None:
     """Keys whose count exceeds the threshold, with their salt count.
 
     Returns a small DataFrame ``(*key_cols, _n_salt)`` or None when no key is
-    hot. ``counts`` has one row per key.
+    hot. ``counts`` has one row per key. ``bound`` is a known upper bound of
+    every count (for example the row count of the counted table); when it is
+    within the threshold no key can be hot and no job is run.
     """
     keys = list(key_cols)
     threshold = max(1, int(skew.threshold))
+    if bound is not None and bound <= threshold:
+        return None
     hot = counts.where(F.col(count_col) > threshold).select(*keys, count_col)
     rows = hot.limit(skew.max_rows + 1).collect()
     if len(rows) > skew.max_rows:

@@ -88,9 +88,10 @@ def centrality_features(sg: SnapshotGraph) -> DataFrame:
     g = sg.graph
     k = g.key_list
     on = [*k, "id"]
+    n_vertices = g.sizes()[0]
     labels = label_propagation(g)
-    comm = vertex_communities(labels, community_metrics(g, labels), k, g.skew)
-    sizes = network_sizes(connected_components(g), k, g.skew)
+    comm = vertex_communities(labels, community_metrics(g, labels), k, g.skew, n_vertices)
+    sizes = network_sizes(connected_components(g), k, g.skew, n_vertices)
     feats = (
         degrees(g)
         .join(sg.entities, on, "left_semi")

@@ -63,14 +63,17 @@ def prepare(
 ) -> SnapshotGraph:
     """Build the graph and the entity / high-risk sets from flagged transactions.
 
-    Only the five columns used are kept; they are de-duplicated per snapshot
-    and persisted once, since the graph, the entity set and the high-risk set
-    all read them. Vertices, edges and the two sets are then written to the
-    checkpoint folder: every algorithm reads them many times.
+    Only the five columns used are kept and persisted once, since the graph,
+    the entity set and the high-risk set all read them. They are not
+    de-duplicated here: that would be a full shuffle of the snapshot-expanded
+    rows, while each derived set is a distinct whose map-side partial
+    aggregation removes repeats before its own (much smaller) shuffle.
+    Vertices, edges and the two sets are then written to the checkpoint
+    folder: every algorithm reads them many times.
     """
     k = list(keys)
     ef, cf = flag_columns(level)
-    slim = trxn.select(*k, ENTITY, COUNTERPARTY, ef, cf).distinct().persist(StorageLevel.MEMORY_AND_DISK)
+    slim = trxn.select(*k, ENTITY, COUNTERPARTY, ef, cf).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         graph = build_graph(slim, k, skew=skew).materialize()
         entities = cut_lineage(slim.select(*k, F.col(ENTITY).alias("id")).distinct())

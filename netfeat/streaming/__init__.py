@@ -1 +1,5 @@
-"""Streaming entry points (micro-batch adapter of the batch job)."""
+"""Streaming entry point: score a stream of driver lists micro-batch by micro-batch."""
+
+from netfeat.streaming.micro_batch import score_driver_stream
+
+__all__ = ["score_driver_stream"]

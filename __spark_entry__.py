@@ -53,7 +53,7 @@ from netfeat.plans.features import (
 from netfeat.sources.sinks import read_features, write_features
 from netfeat.sources.tables import read_driver, read_transactions
 from netfeat.sources.tpch import (
-    EXTRA_DRIVER_IDS,
+    EXTRA_DRIVER_PREFIX,
     NATION_ISO3,
     TEST_VINTAGES,
     TEST_WINDOWS,
@@ -345,7 +345,6 @@ def _base_ctes() -> list[str]:
     iso = ", ".join(f"({i}, '{c}')" for i, c in enumerate(NATION_ISO3))
     vint = ", ".join(f"(DATE '{v.isoformat()}')" for v in TEST_VINTAGES)
     wins = ", ".join(f"({w})" for w in TEST_WINDOWS)
-    extra = ", ".join(f"('{x}')" for x in EXTRA_DRIVER_IDS)
     hrg, vhrg = _list(risk_countries("hrg")), _list(risk_countries("vhrg"))
     return [
         f"iso(k, c) AS (VALUES {iso})",
@@ -381,7 +380,7 @@ def _base_ctes() -> list[str]:
         f"""drv AS (
   SELECT DISTINCT i.EXT_ENTITYID, d.VINTAGE_DT
   FROM (SELECT CAST(c_custkey AS VARCHAR) AS EXT_ENTITYID FROM customer WHERE c_custkey % 3 = 0
-        UNION ALL SELECT * FROM (VALUES {extra}) x(EXT_ENTITYID)) i
+        UNION ALL SELECT '{EXTRA_DRIVER_PREFIX}' || CAST(r_regionkey AS VARCHAR) FROM region) i
   CROSS JOIN (VALUES {vint}) d(VINTAGE_DT))""",
         f"""snap AS (
   SELECT d.VINTAGE_DT, w.window_m,

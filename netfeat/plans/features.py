@@ -40,7 +40,7 @@ from netfeat.operators.pagerank import pagerank
 from netfeat.operators.risk import add_risk_flags, flag_columns
 from netfeat.operators.skew import DEFAULT_SKEW, SkewConfig
 from netfeat.operators.snapshots import assign_snapshots, snapshot_table, vintages
-from netfeat.session import cut_lineage
+from netfeat.session import cut_lineage, in_parallel
 from netfeat.sources.sinks import write_features
 from netfeat.sources.tables import Source, read_driver, read_transactions
 
@@ -92,15 +92,27 @@ def centrality_features(sg: SnapshotGraph) -> DataFrame:
     k = g.key_list
     on = [*k, "id"]
     n_vertices = g.sizes()[0]
-    labels = label_propagation(g)
-    comm = vertex_communities(labels, community_metrics(g, labels), k, g.skew, n_vertices)
-    sizes = network_sizes(connected_components(g), k, g.skew, n_vertices)
+
+    def communities() -> DataFrame:
+        labels = label_propagation(g)
+        return cut_lineage(
+            vertex_communities(labels, community_metrics(g, labels), k, g.skew, n_vertices).select(
+                *on, "community_size", "community_density", "community_avg_degree"
+            )
+        )
+
+    # the three algorithms only share the (checkpointed) graph: run them side by side
+    ranks, sizes, comm = in_parallel(
+        lambda: cut_lineage(pagerank(g)),
+        lambda: cut_lineage(network_sizes(connected_components(g), k, g.skew, n_vertices)),
+        communities,
+    )
     feats = (
         degrees(g)
         .join(sg.entities, on, "left_semi")
-        .join(pagerank(g), on, "left")
+        .join(ranks, on, "left")
         .join(sizes, on, "left")
-        .join(comm.select(*on, "community_size", "community_density", "community_avg_degree"), on, "left")
+        .join(comm, on, "left")
     )
     return feats.select(
         *k,
@@ -131,7 +143,10 @@ def neighbor_features(sg: SnapshotGraph, level: str = "vhrg") -> DataFrame:
 def snapshot_features(sg: SnapshotGraph, level: str = "vhrg") -> DataFrame:
     """Both feature sets, long form: one row per (*keys, entity), null where a
     block has no row (the two blocks have different null rules)."""
-    return centrality_features(sg).unionByName(neighbor_features(sg, level), allowMissingColumns=True)
+    cent, nb = in_parallel(
+        lambda: centrality_features(sg), lambda: cut_lineage(neighbor_features(sg, level))
+    )
+    return cent.unionByName(nb, allowMissingColumns=True)
 
 
 def wide_columns(windows: Iterable[int], level: str = "vhrg") -> list[str]:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import contextlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -62,3 +64,18 @@ def cached(*frames: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DIS
     finally:
         for f in frames:
             f.unpersist()
+
+
+def in_parallel(*thunks: Callable[[], Any]) -> list[Any]:
+    """Run independent Spark jobs from separate threads and return their results.
+
+    Spark schedules jobs submitted from different threads of one application
+    at the same time ("scheduling within an application"), so independent
+    iterative algorithms overlap instead of waiting on each other's small
+    stages. Exceptions propagate.
+    """
+    if len(thunks) <= 1:
+        return [t() for t in thunks]
+    with ThreadPoolExecutor(max_workers=len(thunks)) as pool:
+        futures = [pool.submit(t) for t in thunks]
+        return [f.result() for f in futures]

@@ -31,7 +31,7 @@ NATION_ISO3 = (
 )
 TEST_VINTAGES = (dt.date(1997, 12, 31), dt.date(1998, 6, 30))
 TEST_WINDOWS = (1, 6, 12)
-EXTRA_DRIVER_IDS = ("X0", "X1", "X2", "X3", "X4")
+EXTRA_DRIVER_PREFIX = "X"  # drivers 'X' || r_regionkey: ids without any transaction
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,17 +79,14 @@ def tpch_drivers(
     spark: SparkSession,
     sf_dir: str,
     vintages: Iterable[dt.date] = TEST_VINTAGES,
-    extra_ids: Iterable[str] = EXTRA_DRIVER_IDS,
 ) -> DataFrame:
-    """Every third customer, plus ids without transactions, at each vintage."""
+    """Every third customer, plus one id per region that never transacts, at each vintage."""
     cust = table(spark, sf_dir, "customer").where(F.col("c_custkey") % 3 == 0)
     ids = cust.select(F.col("c_custkey").cast("string").alias(ENTITY))
-    extra = list(extra_ids)
-    if extra:
-        ids = ids.unionByName(
-            cust.limit(1).select(F.explode(F.array(*[F.lit(x) for x in extra])).alias(ENTITY))
-        )
-    return ids.select(ENTITY, F.explode(F.array(*[F.lit(v) for v in vintages])).alias(VINTAGE))
+    extra = table(spark, sf_dir, "region").select(
+        F.concat(F.lit(EXTRA_DRIVER_PREFIX), F.col("r_regionkey").cast("string")).alias(ENTITY)
+    )
+    return ids.unionByName(extra).select(ENTITY, F.explode(F.array(*[F.lit(v) for v in vintages])).alias(VINTAGE))
 
 
 def tpch_wire(spark: SparkSession, sf_dir: str) -> DataFrame:

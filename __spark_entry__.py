@@ -102,6 +102,12 @@ def _graph(spark: SparkSession, sf_dir: str):
     return prepare(_sliced(spark, sf_dir), KEYS)
 
 
+def _done(graph, df: DataFrame) -> DataFrame:
+    """``df`` no longer reads the graph's bucketed edge copies: drop their catalog entries."""
+    graph.release()
+    return df
+
+
 def _round(df: DataFrame, cols: list[str], places: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, places) for c in cols})
 
@@ -156,7 +162,8 @@ def q_degrees(spark, sf_dir):
 
 
 def q_pagerank(spark, sf_dir):
-    return _round(pagerank(_graph(spark, sf_dir).graph), ["pagerank"])
+    g = _graph(spark, sf_dir).graph
+    return _done(g, _round(pagerank(g), ["pagerank"]))
 
 
 def q_components(spark, sf_dir):
@@ -169,12 +176,13 @@ def q_network_size(spark, sf_dir):
 
 
 def q_label_propagation(spark, sf_dir):
-    return label_propagation(_graph(spark, sf_dir).graph)
+    g = _graph(spark, sf_dir).graph
+    return _done(g, label_propagation(g))
 
 
 def q_community_metrics(spark, sf_dir):
     g = _graph(spark, sf_dir).graph
-    return community_metrics(g, label_propagation(g))
+    return _done(g, community_metrics(g, label_propagation(g)))
 
 
 def q_high_risk_nodes(spark, sf_dir):
@@ -212,7 +220,7 @@ def q_network_features(spark, sf_dir):
 
 def q_graph_stats(spark, sf_dir):
     g = _graph(spark, sf_dir).graph
-    return graph_stats(g, connected_components(g), label_propagation(g))
+    return _done(g, graph_stats(g, connected_components(g), label_propagation(g)))
 
 
 def q_ordered_limit(spark, sf_dir):

@@ -8,6 +8,9 @@ all snapshots at once.
 
 from __future__ import annotations
 
+import math
+import threading
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
@@ -17,7 +20,10 @@ from pyspark.sql import functions as F
 from netfeat.constants import COUNTERPARTY, ENTITY, SENTINEL_IDS
 from netfeat.functions import valid_id
 from netfeat.operators.skew import DEFAULT_SKEW, SkewConfig, hot_keys, salted_join
-from netfeat.session import cut_lineage
+from netfeat.session import checkpoint_dir, cut_lineage
+
+# Edge rows per partition of the endpoint-partitioned edge copies.
+EDGES_PER_PARTITION = 2_000_000
 
 
 @dataclass
@@ -29,6 +35,9 @@ class Graph:
     _hot: object = field(default=None, repr=False)
     _hot_done: bool = field(default=False, repr=False)
     _sizes: tuple[int, int] | None = field(default=None, repr=False)
+    _by_endpoint: dict = field(default_factory=dict, repr=False)
+    _tables: list = field(default_factory=list, repr=False)
+    _lock: threading.Lock = field(default_factory=threading.Lock, repr=False)
 
     @property
     def key_list(self) -> list[str]:
@@ -62,6 +71,68 @@ class Graph:
             edges, table.withColumnRenamed("id", endpoint), [*self.keys, endpoint], hot, F.col(other), how
         )
 
+    def by_endpoint(self, endpoint: str) -> tuple[DataFrame, DataFrame | None]:
+        """Edges for repeated look-ups on ``endpoint``, built once per graph.
+
+        Returns (cold, hot): ``cold`` are the edges of non-hot endpoints,
+        written once as a table bucketed on ``(*keys, endpoint)`` in the
+        checkpoint folder, so every later join on the endpoint reads them
+        in place and only the other (vertex-sized) side is shuffled; ``hot``
+        are the edges of hot endpoints (or None), checkpointed as they are.
+        """
+        with self._lock:
+            if endpoint not in self._by_endpoint:
+                spark = self.edges.sparkSession
+                k = self.key_list
+                n = max(spark.sparkContext.defaultParallelism, math.ceil(self.sizes()[1] / EDGES_PER_PARTITION))
+                e = self.edges.select(*k, "src", "dst")
+                hot = self.hot()
+                hot_edges = None
+                if hot is not None:
+                    h = F.broadcast(hot.select(*k, F.col("id").alias(endpoint)))
+                    hot_edges = cut_lineage(e.join(h, [*k, endpoint], "left_semi"))
+                    e = e.join(h, [*k, endpoint], "left_anti")
+                name = f"netfeat_edges_by_{endpoint}_{uuid.uuid4().hex[:16]}"
+                path = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+                (
+                    e.repartition(n, *k, endpoint)  # one file per bucket
+                    .write.bucketBy(n, *k, endpoint)
+                    .mode("error")
+                    .option("path", path)
+                    .saveAsTable(name)
+                )
+                self._tables.append(name)
+                self._by_endpoint[endpoint] = (spark.table(name), hot_edges)
+            return self._by_endpoint[endpoint]
+
+    def release(self) -> None:
+        """Drop the catalog entries of the bucketed edge copies (files stay in the checkpoint folder)."""
+        with self._lock:
+            for name in self._tables:
+                self.edges.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+            self._tables.clear()
+            self._by_endpoint.clear()
+
+    def gather(self, endpoint: str, state: DataFrame) -> DataFrame:
+        """Edges joined with per-vertex ``state`` ``(*keys, id, ...)`` on ``endpoint``,
+        for iterative algorithms.
+
+        The edge copy of :meth:`by_endpoint` is bucketed on the join key, so
+        only the (vertex-sized) state is shuffled to meet it, in every round.
+        Edges of hot vertices meet the state of those vertices by broadcast:
+        that state has at most ``SkewConfig.max_rows`` rows.
+        """
+        k = self.key_list
+        on = [*k, endpoint]
+        cold, hot_edges = self.by_endpoint(endpoint)
+        s = state.withColumnRenamed("id", endpoint)
+        out = cold.join(s, on)
+        if hot_edges is not None:
+            h = F.broadcast(self.hot().select(*k, F.col("id").alias(endpoint)))
+            s_hot = s.join(h, on, "left_semi")
+            out = out.unionByName(hot_edges.join(F.broadcast(s_hot), on))
+        return out
+
     def materialize(self) -> Graph:
         """Write vertices and edges to the checkpoint folder (they are read by every algorithm)."""
         return Graph(cut_lineage(self.vertices), cut_lineage(self.edges), self.keys, self.skew)

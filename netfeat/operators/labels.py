@@ -6,9 +6,12 @@ self-loop two votes for the vertex's own label). A vertex takes the label
 with the most votes, ties broken by the smallest label; without votes it
 keeps its label. Bipartite parts may swap labels forever; that is kept.
 
-Per round: two salted endpoint lookups, votes counted per (vertex, label)
-with partial aggregation, then the winner per vertex (again partial, so a
-hub with millions of distinct labels is reduced before its final task).
+Per round: the labels meet the edges twice, once partitioned by source (the
+source's label is a vote for the destination) and once by destination (a
+vote for the source); both edge copies are partitioned once per run, so only
+vertex-sized labels move. Votes are counted per (vertex, label) with partial
+aggregation, then the winner per vertex (again partial, so a hub with
+millions of distinct labels is reduced before its final task).
 """
 
 from __future__ import annotations
@@ -26,19 +29,10 @@ def label_propagation(graph: Graph, max_iter: int = LABEL_PROPAGATION_ITERATIONS
     k = graph.key_list
     on = [*k, "id"]
     labels = graph.vertices.select(*on, F.col("id").alias("label"))
-    edges = graph.edges.select(*k, "src", "dst")
     for _ in range(max_iter):
-        e = graph.join_endpoint(edges, "src", labels.withColumnRenamed("label", "src_label"))
-        e = graph.join_endpoint(e, "dst", labels.withColumnRenamed("label", "dst_label"))
-        votes = e.select(
-            *k,
-            F.explode(
-                F.array(
-                    F.struct(F.col("dst").alias("id"), F.col("src_label").alias("label")),
-                    F.struct(F.col("src").alias("id"), F.col("dst_label").alias("label")),
-                )
-            ).alias("m"),
-        ).select(*k, "m.id", "m.label")
+        to_dst = graph.gather("src", labels).select(*k, F.col("dst").alias("id"), "label")
+        to_src = graph.gather("dst", labels).select(*k, F.col("src").alias("id"), "label")
+        votes = to_dst.unionByName(to_src)
         best = (
             votes.groupBy(*on, "label")
             .agg(F.count(F.lit(1)).alias("n"))

@@ -5,9 +5,11 @@ in-edges (u, v) of r(u) / outdeg(u), with no redistribution of dangling
 mass; after the last round ranks are scaled per snapshot so that they add
 up to the number of vertices (isolated ones included).
 
-Per round: the rank share of each source is looked up by its out-edges
-(salted for hubs), contributions are summed per destination with map-side
-partial sums, and the new ranks are written to the checkpoint folder.
+Per round: the rank share of each source meets its out-edges, which are
+partitioned by source once for the whole run (only the vertex-sized shares
+move; hub sources meet theirs by a bounded broadcast), contributions are
+summed per destination with map-side partial sums, and the new ranks are
+written to the checkpoint folder.
 """
 
 from __future__ import annotations
@@ -30,14 +32,13 @@ def pagerank(graph: Graph, reset: float = PAGERANK_RESET, max_iter: int = PAGERA
             *on, (F.lit(1.0) / F.col("out_degree")).alias("inv_out")
         )
     )
-    edges = graph.edges.select(*k, "src", "dst")
     ranks = base.withColumn("rank", F.lit(1.0))
     for _ in range(max_iter):
         share = ranks.where(F.col("inv_out").isNotNull()).select(
             *on, (F.col("rank") * F.col("inv_out")).alias("share")
         )
         sums = (
-            graph.join_endpoint(edges, "src", share)
+            graph.gather("src", share)
             .groupBy(*k, F.col("dst").alias("id"))
             .agg(F.sum("share").alias("incoming"))
         )

@@ -102,11 +102,14 @@ def centrality_features(sg: SnapshotGraph) -> DataFrame:
         )
 
     # the three algorithms only share the (checkpointed) graph: run them side by side
-    ranks, sizes, comm = in_parallel(
-        lambda: cut_lineage(pagerank(g)),
-        lambda: cut_lineage(network_sizes(connected_components(g), k, g.skew, n_vertices)),
-        communities,
-    )
+    try:
+        ranks, sizes, comm = in_parallel(
+            lambda: cut_lineage(pagerank(g)),
+            lambda: cut_lineage(network_sizes(connected_components(g), k, g.skew, n_vertices)),
+            communities,
+        )
+    finally:
+        g.release()
     feats = (
         degrees(g)
         .join(sg.entities, on, "left_semi")

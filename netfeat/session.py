@@ -36,18 +36,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
     A reliable checkpoint, never a local one: if an executor is lost, the
     blocks are read back from shared storage instead of being recomputed from
-    the start of an iterative loop. The physical partitioning of ``df`` is kept.
-
-    The frame is persisted for the duration: an eager checkpoint runs one job
-    to compute the rows and a second one to write them, and without the cache
-    the second job would compute the whole plan again.
+    the start of an iterative loop. The physical partitioning of ``df`` is kept,
+    so a frame hash-partitioned before the checkpoint joins later without a
+    shuffle. (The eager checkpoint runs two jobs on the same RDD; the second
+    reuses the shuffle output of the first and only repeats the last stage.)
     """
     checkpoint_dir(df.sparkSession)
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return held.checkpoint(eager=True)
-    finally:
-        held.unpersist()
+    return df.checkpoint(eager=True)
 
 
 @contextlib.contextmanager

@@ -49,7 +49,9 @@ from netfeat.plans.features import (
     neighbor_features,
     network_features,
     prepare,
+    run,
 )
+from netfeat.session import in_parallel
 from netfeat.sources.sinks import read_features, write_features
 from netfeat.sources.tables import read_driver, read_transactions
 from netfeat.sources.tpch import (
@@ -65,6 +67,7 @@ from netfeat.sources.tpch import (
 SMOKE_DIR = "/root/testdata/sf0.001"
 KEYS = list(SNAPSHOT_KEYS)
 HORIZON_START = dt.date(1997, 6, 30)
+RUN_WINDOWS = (6, 12)
 RANGE_START = dt.date(1997, 6, 30)
 
 
@@ -218,9 +221,36 @@ def q_network_features(spark, sf_dir):
     return _round(out, [f"pagerank_centrality_{w}m" for w in TEST_WINDOWS])
 
 
+def q_run_features(spark, sf_dir):
+    """The whole job (F4): vintages of the horizon, features for windows 6 and 12,
+    written partitioned by vintage, read back."""
+    target = _output_dir(spark, "run")
+    run(
+        spark, tpch_drivers(spark, sf_dir), tpch_transactions(spark, sf_dir), target,
+        start=HORIZON_START, months=24, windows=RUN_WINDOWS,
+    )
+    out = read_features(spark, target)
+    return _round(out, [f"pagerank_centrality_{w}m" for w in RUN_WINDOWS])
+
+
+def q_country_risk(spark, sf_dir):
+    """Every country code seen on either side, with its mentions and list membership."""
+    t = _trxn(spark, sf_dir, distinct=True)
+    codes = t.select(F.explode("combinedCountryCodes").alias("country")).unionByName(
+        t.select(F.explode("COUNTER_PARTY_COMBINEDCOUNTRYCODES").alias("country"))
+    )
+    return codes.groupBy("country").agg(F.count(F.lit(1)).alias("n_mentions")).select(
+        "country",
+        "n_mentions",
+        F.col("country").isin(*risk_countries("hrg")).cast("int").alias("in_hrg"),
+        F.col("country").isin(*risk_countries("vhrg")).cast("int").alias("in_vhrg"),
+    )
+
+
 def q_graph_stats(spark, sf_dir):
     g = _graph(spark, sf_dir).graph
-    return _done(g, graph_stats(g, connected_components(g), label_propagation(g)))
+    comp, labels = in_parallel(lambda: connected_components(g), lambda: label_propagation(g))
+    return _done(g, graph_stats(g, comp, labels))
 
 
 def q_ordered_limit(spark, sf_dir):
@@ -288,6 +318,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "driver_scan": q_driver_scan,
     "trxn_clean": q_trxn_clean,
     "risk_flags": q_risk_flags,
+    "country_risk": q_country_risk,
     "vintage_horizon": q_vintage_horizon,
     "date_range": q_date_range,
     "window_slice": q_window_slice,
@@ -316,6 +347,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "exclude_codes": q_exclude_codes,
     "write_append": q_write_append,
     "write_overwrite_partitions": q_write_overwrite_partitions,
+    "run_features": q_run_features,
 }
 
 
@@ -349,10 +381,10 @@ K = "VINTAGE_DT, window_m"
 SENT = _in(SENTINEL_IDS)
 
 
-def _base_ctes() -> list[str]:
+def _base_ctes(windows=TEST_WINDOWS) -> list[str]:
     iso = ", ".join(f"({i}, '{c}')" for i, c in enumerate(NATION_ISO3))
     vint = ", ".join(f"(DATE '{v.isoformat()}')" for v in TEST_VINTAGES)
-    wins = ", ".join(f"({w})" for w in TEST_WINDOWS)
+    wins = ", ".join(f"({w})" for w in windows)
     hrg, vhrg = _list(risk_countries("hrg")), _list(risk_countries("vhrg"))
     return [
         f"iso(k, c) AS (VALUES {iso})",
@@ -553,7 +585,7 @@ def _graph_sql(extra: list[str], select: str, recursive: bool = False) -> str:
     return _with(_base_ctes() + extra, select, recursive)
 
 
-def _wide_ctes() -> list[str]:
+def _wide_ctes(windows=TEST_WINDOWS) -> list[str]:
     metrics = [*CENTRALITY_COLUMNS, "vhrg_neighbor_ct"]
     types = {
         "degree_centrality": "BIGINT", "community_size": "BIGINT", "network_size": "BIGINT",
@@ -562,7 +594,7 @@ def _wide_ctes() -> list[str]:
     cent_cols = ", ".join(CENTRALITY_COLUMNS)
     null_cent = ", ".join(f"CAST(NULL AS {types.get(c, 'DOUBLE')}) AS {c}" for c in CENTRALITY_COLUMNS)
     piv = ",\n    ".join(
-        f"max(CASE WHEN window_m = {w} THEN {c} END) AS {c}_{w}m" for w in TEST_WINDOWS for c in metrics
+        f"max(CASE WHEN window_m = {w} THEN {c} END) AS {c}_{w}m" for w in windows for c in metrics
     )
     return [
         f"""lng AS (
@@ -576,9 +608,9 @@ def _wide_ctes() -> list[str]:
     ]
 
 
-def _wide_select() -> str:
+def _wide_select(windows=TEST_WINDOWS) -> str:
     metrics = [*CENTRALITY_COLUMNS, "vhrg_neighbor_ct"]
-    cols = ", ".join(f"w.{c}_{wn}m" for wn in TEST_WINDOWS for c in metrics)
+    cols = ", ".join(f"w.{c}_{wn}m" for wn in windows for c in metrics)
     return f"""SELECT d.EXT_ENTITYID, d.VINTAGE_DT, {cols}
 FROM (SELECT DISTINCT EXT_ENTITYID, VINTAGE_DT FROM drv) d
 LEFT JOIN wide w ON w.EXT_ENTITYID = d.EXT_ENTITYID AND w.VINTAGE_DT = d.VINTAGE_DT"""
@@ -654,6 +686,15 @@ def _oracles() -> dict[str, str]:
             "COUNTER_PARTY_ENTITYID, array_to_string(COUNTER_PARTY_COMBINEDCOUNTRYCODES, ',') AS cp_countries, "
             "TRXN_REF_ID, POSTING_DATE FROM trxn",
         ),
+        "country_risk": _graph_sql(
+            [],
+            f"""SELECT country, count(*) AS n_mentions,
+       CAST(country IN {_in(risk_countries('hrg'))} AS INTEGER) AS in_hrg,
+       CAST(country IN {_in(risk_countries('vhrg'))} AS INTEGER) AS in_vhrg
+FROM (SELECT unnest(combinedCountryCodes) AS country FROM trxn
+      UNION ALL SELECT unnest(COUNTER_PARTY_COMBINEDCOUNTRYCODES) FROM trxn) c
+GROUP BY country""",
+        ),
         "risk_flags": _graph_sql(
             [], "SELECT TRXN_REF_ID, entity_hrg_flag, cp_hrg_flag, entity_vhrg_flag, cp_vhrg_flag FROM tf"
         ),
@@ -731,6 +772,11 @@ LEFT JOIN (SELECT {K}, count(DISTINCT label) AS n_communities FROM lp GROUP BY A
         "write_overwrite_partitions": _graph_sql(
             _neighbor_ctes(), f"SELECT {K}, EXT_ENTITYID, vhrg_neighbor_ct FROM nf"
         ),
+        "run_features": _with(
+            _base_ctes(RUN_WINDOWS) + lp_all + _centrality_ctes() + _neighbor_ctes() + _wide_ctes(RUN_WINDOWS),
+            _wide_select(RUN_WINDOWS),
+            recursive=True,
+        ),
     }
 
 

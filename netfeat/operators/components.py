@@ -70,7 +70,9 @@ def _large_star(edges: DataFrame, k: list[str], skew: SkewConfig, n_edges: int)
         pairs.groupBy(*k, "u")
         .agg(F.min("v").alias("mv"), F.count(F.lit(1)).alias("deg"))
         .select(*k, "u", F.least("u", "mv").alias("m"), "deg")
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    if 2 * n_edges > skew.threshold:  # read twice: hot-key check, then the join
+        mins = mins.persist(StorageLevel.MEMORY_AND_DISK)
     # every larger neighbour b of a goes to m(a); m(a) <= a < b. One output row
     # per input edge, so duplicates are left to the distinct of small-star.
     out = _lookup_min(edges, mins, "a", "b", k, skew, 2 * n_edges).select(*k, F.col("m").alias("a"), "b")
@@ -78,10 +80,9 @@ def _large_star(edges: DataFrame, k: list[str], skew: SkewConfig, n_edges: int)
 
 
 def _small_star(edges: DataFrame, k: list[str], skew: SkewConfig, n_edges: int) -> DataFrame:
-    mins = (
-        edges.groupBy(*k, F.col("b").alias("u"))
-        .agg(F.min("a").alias("m"), F.count(F.lit(1)).alias("deg"))
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    mins = edges.groupBy(*k, F.col("b").alias("u")).agg(F.min("a").alias("m"), F.count(F.lit(1)).alias("deg"))
+    if n_edges > skew.threshold:  # read twice: hot-key check, then the join
+        mins = mins.persist(StorageLevel.MEMORY_AND_DISK)
     # b and each smaller neighbour a go to m(b) = min of the smaller neighbours
     linked = _lookup_min(edges, mins, "b", "a", k, skew, n_edges)
     out = (

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from netfeat.constants import COUNTERPARTY, ENTITY, SENTINEL_IDS
 from netfeat.functions import valid_id
 from netfeat.operators.skew import DEFAULT_SKEW, SkewConfig, hot_keys, salted_join
-from netfeat.session import checkpoint_dir, cut_lineage
+from netfeat.session import checkpoint_dir, cut_lineage, in_parallel
 
 # Edge rows per partition of the endpoint-partitioned edge copies.
 EDGES_PER_PARTITION = 2_000_000
@@ -39,6 +39,9 @@ class Graph:
     _by_endpoint: dict = field(default_factory=dict, repr=False)
     _tables: list = field(default_factory=list, repr=False)
     _lock: threading.Lock = field(default_factory=threading.Lock, repr=False)
+    _endpoint_locks: dict = field(
+        default_factory=lambda: {"src": threading.Lock(), "dst": threading.Lock()}, repr=False
+    )
 
     @property
     def key_list(self) -> list[str]:
@@ -46,17 +49,19 @@ class Graph:
 
     def sizes(self) -> tuple[int, int]:
         """(vertex rows, edge rows) over all snapshots; two small count jobs, once."""
-        if self._sizes is None:
-            self._sizes = (self.vertices.count(), self.edges.count())
-        return self._sizes
+        with self._lock:
+            if self._sizes is None:
+                self._sizes = (self.vertices.count(), self.edges.count())
+            return self._sizes
 
     def hot(self) -> DataFrame | None:
         """Vertices whose degree exceeds the skew threshold (bounded table) or None."""
-        if not self._hot_done:
-            bound = 2 * self.sizes()[1]  # a degree never exceeds twice the edge rows
-            self._hot = hot_keys(degrees(self), [*self.keys, "id"], "degree", self.skew, bound)
-            self._hot_done = True
-        return self._hot
+        bound = 2 * self.sizes()[1]  # a degree never exceeds twice the edge rows
+        with self._lock:
+            if not self._hot_done:
+                self._hot = hot_keys(degrees(self), [*self.keys, "id"], "degree", self.skew, bound)
+                self._hot_done = True
+            return self._hot
 
     def join_endpoint(self, edges: DataFrame, endpoint: str, table: DataFrame, how: str = "inner") -> DataFrame:
         """Attach a per-vertex table ``(*keys, id, ...)`` to ``edges`` on ``src`` or ``dst``.
@@ -81,7 +86,7 @@ class Graph:
         in place and only the other (vertex-sized) side is shuffled; ``hot``
         are the edges of hot endpoints (or None), checkpointed as they are.
         """
-        with self._lock:
+        with self._endpoint_locks[endpoint]:
             if endpoint not in self._by_endpoint:
                 spark = self.edges.sparkSession
                 k = self.key_list
@@ -103,7 +108,8 @@ class Graph:
                         .option("path", path)
                         .saveAsTable(name)
                     )
-                    self._tables.append(name)
+                    with self._lock:
+                        self._tables.append(name)
                     cold = spark.table(name)
                 except Exception as err:  # a catalog that refuses tables: same results, edges shuffled per round
                     warnings.warn(f"bucketed edge copy not written ({err}); using a checkpoint", stacklevel=2)
@@ -113,7 +119,7 @@ class Graph:
 
     def release(self) -> None:
         """Drop the catalog entries of the bucketed edge copies (files stay in the checkpoint folder)."""
-        with self._lock:
+        with self._endpoint_locks["src"], self._endpoint_locks["dst"], self._lock:
             for name in self._tables:
                 self.edges.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
             self._tables.clear()
@@ -141,7 +147,8 @@ class Graph:
 
     def materialize(self) -> Graph:
         """Write vertices and edges to the checkpoint folder (they are read by every algorithm)."""
-        return Graph(cut_lineage(self.vertices), cut_lineage(self.edges), self.keys, self.skew)
+        vertices, edges = in_parallel(lambda: cut_lineage(self.vertices), lambda: cut_lineage(self.edges))
+        return Graph(vertices, edges, self.keys, self.skew)
 
 
 def build_graph(

@@ -75,12 +75,16 @@ def prepare(
     ef, cf = flag_columns(level)
     slim = trxn.select(*k, ENTITY, COUNTERPARTY, ef, cf).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        graph = build_graph(slim, k, skew=skew).materialize()
-        entities = cut_lineage(slim.select(*k, F.col(ENTITY).alias("id")).distinct())
-        risky = cut_lineage(high_risk_nodes(slim, k, level))
+        g = build_graph(slim, k, skew=skew)
+        vertices, edges, entities, risky = in_parallel(
+            lambda: cut_lineage(g.vertices),
+            lambda: cut_lineage(g.edges),
+            lambda: cut_lineage(slim.select(*k, F.col(ENTITY).alias("id")).distinct()),
+            lambda: cut_lineage(high_risk_nodes(slim, k, level)),
+        )
     finally:
         slim.unpersist()
-    return SnapshotGraph(graph, entities, risky)
+    return SnapshotGraph(Graph(vertices, edges, g.keys, skew), entities, risky)
 
 
 def centrality_features(sg: SnapshotGraph) -> DataFrame:
@@ -103,10 +107,11 @@ def centrality_features(sg: SnapshotGraph) -> DataFrame:
 
     # the three algorithms only share the (checkpointed) graph: run them side by side
     try:
-        ranks, sizes, comm = in_parallel(
-            lambda: cut_lineage(pagerank(g)),
+        sizes, ranks, comm, _ = in_parallel(
             lambda: cut_lineage(network_sizes(connected_components(g), k, g.skew, n_vertices)),
+            lambda: cut_lineage(pagerank(g)),  # writes the source-bucketed edge copy
             communities,
+            lambda: g.by_endpoint("dst"),  # the destination copy for labels, meanwhile
         )
     finally:
         g.release()

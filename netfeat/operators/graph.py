@@ -201,48 +201,33 @@ def graph_stats(
     graph: Graph, components: DataFrame | None = None, labels: DataFrame | None = None
 ) -> DataFrame:
     """Per snapshot: vertices, edges, self-loops, isolated vertices, and optionally
-    the number of components and of communities. One row per key."""
+    the number of components and of communities. One row per key.
+
+    One aggregation over a union of tagged facts (one job, no joins between the
+    counts), partial on the map side.
+    """
     k = graph.key_list
-    v = graph.vertices.groupBy(*k).agg(F.count(F.lit(1)).alias("n_vertices"))
-    e = graph.edges.groupBy(*k).agg(
-        F.count(F.lit(1)).alias("n_edges"),
-        F.sum(F.when(F.col("src") == F.col("dst"), 1).otherwise(0)).cast("long").alias("n_self_loops"),
-    )
     touched = degrees(graph).select(*k, "id")
-    iso = graph.vertices.join(touched, [*k, "id"], "left_anti").groupBy(*k).agg(
-        F.count(F.lit(1)).alias("n_isolated")
-    )
-    out = v.join(e, k, "left").join(iso, k, "left") if k else _cross_one(v, e, iso)
-    fills = {"n_edges": 0, "n_self_loops": 0, "n_isolated": 0}
+    parts = [
+        graph.vertices.select(*k, F.lit(1).alias("is_vertex")),
+        graph.edges.select(
+            *k, F.lit(1).alias("is_edge"), (F.col("src") == F.col("dst")).cast("int").alias("is_loop")
+        ),
+        graph.vertices.join(touched, [*k, "id"], "left_anti").select(*k, F.lit(1).alias("is_isolated")),
+    ]
+    aggs = [
+        F.sum("is_vertex").cast("long").alias("n_vertices"),
+        F.coalesce(F.sum("is_edge"), F.lit(0)).cast("long").alias("n_edges"),
+        F.coalesce(F.sum("is_loop"), F.lit(0)).cast("long").alias("n_self_loops"),
+        F.coalesce(F.sum("is_isolated"), F.lit(0)).cast("long").alias("n_isolated"),
+    ]
     if components is not None:
-        c = components.groupBy(*k).agg(F.countDistinct("component").alias("n_components"))
-        out = out.join(c, k, "left") if k else _cross_one(out, c)
-        fills["n_components"] = 0
+        parts.append(components.select(*k, "component"))
+        aggs.append(F.countDistinct("component").alias("n_components"))
     if labels is not None:
-        c = labels.groupBy(*k).agg(F.countDistinct("label").alias("n_communities"))
-        out = out.join(c, k, "left") if k else _cross_one(out, c)
-        fills["n_communities"] = 0
-    return out.na.fill(fills)
-
-
-def _cross_one(*frames: DataFrame) -> DataFrame:
-    """Side by side of single-row aggregates (no keys): joined on a constant."""
-    out = frames[0].withColumn("_one", F.lit(1))
-    for f in frames[1:]:
-        out = out.join(f.withColumn("_one", F.lit(1)), "_one", "left")
-    return out.drop("_one")
-
-
-def neighbor_pairs(graph: Graph, edges: DataFrame | None = None) -> DataFrame:
-    """Undirected view of the edges: (*keys, u, v) for both orientations of every edge."""
-    k = graph.key_list
-    e = graph.edges if edges is None else edges
-    return e.select(
-        *k,
-        F.explode(
-            F.array(
-                F.struct(F.col("src").alias("u"), F.col("dst").alias("v")),
-                F.struct(F.col("dst").alias("u"), F.col("src").alias("v")),
-            )
-        ).alias("p"),
-    ).select(*k, "p.u", "p.v")
+        parts.append(labels.select(*k, "label"))
+        aggs.append(F.countDistinct("label").alias("n_communities"))
+    facts = parts[0]
+    for p in parts[1:]:
+        facts = facts.unionByName(p, allowMissingColumns=True)
+    return facts.groupBy(*k).agg(*aggs).where(F.col("n_vertices").isNotNull())

@@ -1,13 +1,11 @@
-"""Session helpers: reliable lineage cuts and scoped caching."""
+"""Session helpers: the shared checkpoint folder, reliable lineage cuts, concurrent jobs."""
 
 from __future__ import annotations
 
-import contextlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -45,22 +43,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-@contextlib.contextmanager
-def cached(*frames: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[None]:
-    """Persist frames for the duration of a block, then release them.
-
-    Persisted blocks lost with an executor are recomputed from lineage, which
-    is correct; use it only where that lineage is short.
-    """
-    for f in frames:
-        f.persist(level)
-    try:
-        yield
-    finally:
-        for f in frames:
-            f.unpersist()
-
-
 def in_parallel(*thunks: Callable[[], Any]) -> list[Any]:
     """Run independent Spark jobs from separate threads and return their results.
 

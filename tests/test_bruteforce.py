@@ -8,7 +8,6 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
-from pyspark.sql import functions as F
 
 from netfeat.operators.components import connected_components
 from netfeat.operators.graph import Graph

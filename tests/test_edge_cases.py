@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import micro
 from netfeat.operators.clean import clean_transactions
 from netfeat.operators.components import connected_components
-from netfeat.operators.graph import build_graph, degrees
+from netfeat.operators.graph import build_graph, degrees, graph_stats
 from netfeat.operators.labels import label_propagation
 from netfeat.operators.pagerank import pagerank
 from netfeat.operators.risk import add_risk_flags
@@ -34,6 +34,8 @@ def test_graph_without_edges(spark):
     assert {r.id: r.component for r in connected_components(g).collect()} == {"A": "A", "B": "B", "C": "C"}
     assert {r.id: r.pagerank for r in pagerank(g).collect()} == {"A": 1.0, "B": 1.0, "C": 1.0}
     assert {r.id: r.label for r in label_propagation(g).collect()} == {"A": "A", "B": "B", "C": "C"}
+    stats = graph_stats(g, connected_components(g), label_propagation(g)).collect()
+    assert [tuple(r) for r in stats] == [(3, 0, 0, 3, 3, 3)]
     g.release()
 
 

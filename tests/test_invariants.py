@@ -130,3 +130,17 @@ def test_fixture_sizes_sf001(spark):
         ("1998-06-30", 12): (1987, 8532, 4, 5, 42),
     }
     assert stats == expected
+
+
+def test_flagship_with_hot_vertices_equals_plain(spark):
+    """The whole feature job with a tiny hot threshold (many salted / broadcast hot
+    vertices, hot components and communities) gives the same table."""
+    from netfeat.operators.skew import SkewConfig
+
+    entry._ready(spark)
+    drivers = entry._drivers(spark, SF)
+    trxn = entry._trxn(spark, SF)
+    cols = ["pagerank_centrality_6m", "pagerank_centrality_12m"]
+    plain = entry._round(network_features(drivers, trxn, [6, 12]), cols)
+    hot = entry._round(network_features(drivers, trxn, [6, 12], skew=SkewConfig(threshold=3, max_rows=100_000)), cols)
+    assert _rows(plain) == _rows(hot)

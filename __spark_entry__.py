@@ -170,12 +170,13 @@ def q_pagerank(spark, sf_dir):
 
 
 def q_components(spark, sf_dir):
-    return connected_components(_graph(spark, sf_dir).graph)
+    g = _graph(spark, sf_dir).graph
+    return _done(g, connected_components(g))
 
 
 def q_network_size(spark, sf_dir):
     g = _graph(spark, sf_dir).graph
-    return network_sizes(connected_components(g), KEYS, g.skew)
+    return _done(g, network_sizes(connected_components(g), KEYS, g.skew))
 
 
 def q_label_propagation(spark, sf_dir):

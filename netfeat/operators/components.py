@@ -11,7 +11,9 @@ in MapReduce and Beyond" (SoCC 2014). Edges are kept undirected as pairs
 
 The edge set converges to one star per component centred on its smallest
 id, in O(log^2 n) rounds, unlike plain min-label spreading whose round count
-is the diameter. The star centres grow into hubs by construction (the
+is the diameter. Two cheap rounds of min-label spreading on the static graph
+come first (edges stay in place, only labels move) and the star rounds run on
+the edges between labels, which are far fewer. The star centres grow into hubs by construction (the
 centre of a giant component ends with one edge per member), so both
 look-ups of m(u) are salted on hot centres, found each round from the same
 aggregation that computes m(u).
@@ -94,19 +96,29 @@ def _small_star(edges: DataFrame, k: list[str], skew: SkewConfig, n_edges: int)
     return out, mins
 
 
-def connected_components(graph: Graph, checkpoint_interval: int = 2, max_rounds: int = MAX_ROUNDS) -> DataFrame:
-    """(*keys, id, component) where component is the smallest id of the component.
+def _min_label_rounds(graph: Graph, rounds: int) -> DataFrame:
+    """(*keys, id, label): ``rounds`` rounds of min-label spreading on the static graph.
 
-    Isolated vertices are components of their own. Runs until the edge set no
-    longer changes; ``max_rounds`` only guards against a bug (it raises).
+    Each label is an id of the same component, never above the vertex's own.
+    The edges are read in place from the bucketed copies (``Graph.gather``);
+    only vertex labels and partially aggregated minimums move.
     """
     k = graph.key_list
-    skew = graph.skew
-    edges = cut_lineage(
-        graph.edges.select(*k, F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"))
-        .where(F.col("a") != F.col("b"))
-        .distinct()
-    )
+    on = [*k, "id"]
+    labels = graph.vertices.select(*on, F.col("id").alias("label"))
+    for _ in range(rounds):
+        to_dst = graph.gather("src", labels).select(*k, F.col("dst").alias("id"), "label")
+        to_src = graph.gather("dst", labels).select(*k, F.col("src").alias("id"), "label")
+        best = to_dst.unionByName(to_src).groupBy(*on).agg(F.min("label").alias("m"))
+        labels = cut_lineage(
+            labels.join(best, on, "left").select(*on, F.least("label", F.coalesce("m", "label")).alias("label"))
+        )
+    return labels
+
+
+def _star_rounds(edges: DataFrame, k: list[str], skew: SkewConfig, checkpoint_interval: int, max_rounds: int) -> DataFrame:
+    """Alternate large-star and small-star on canonical edges (a < b) until the
+    edge set is unchanged; returns the final stars (centre a, member b)."""
     sig = _signature(edges, k)
     previous: DataFrame | None = None  # persisted (not checkpointed) edge set of the last round
     for rnd in range(1, max_rounds + 1):
@@ -129,15 +141,49 @@ def connected_components(graph: Graph, checkpoint_interval: int = 2, max_rounds:
         sig = new_sig
     else:
         raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
-    centre = edges.groupBy(*k, F.col("b").alias("id")).agg(F.min("a").alias("centre"))
-    out = cut_lineage(
-        graph.vertices.join(centre, [*k, "id"], "left").select(
-            *k, "id", F.coalesce("centre", "id").alias("component")
-        )
+    if previous is None:
+        return edges
+    final = cut_lineage(edges)
+    previous.unpersist()
+    return final
+
+
+def connected_components(
+    graph: Graph, spread_rounds: int = 2, checkpoint_interval: int = 2, max_rounds: int = MAX_ROUNDS
+) -> DataFrame:
+    """(*keys, id, component) where component is the smallest id of the component.
+
+    Isolated vertices are components of their own. First ``spread_rounds``
+    rounds of min-label spreading run on the static graph, where only labels
+    move; every edge is then replaced by the pair of its end labels, and
+    large-star / small-star runs on that contracted (much smaller) edge set
+    until it no longer changes. ``max_rounds`` only guards against a bug.
+    """
+    k = graph.key_list
+    on = [*k, "id"]
+    skew = graph.skew
+    if spread_rounds > 0:
+        labels = _min_label_rounds(graph, spread_rounds)
+        ends = graph.gather("src", labels.withColumnRenamed("label", "ls"))
+        ends = graph.join_endpoint(ends, "dst", labels.withColumnRenamed("label", "ld"))
+        lo, hi = F.least("ls", "ld"), F.greatest("ls", "ld")
+    else:
+        labels = graph.vertices.select(*on, F.col("id").alias("label"))
+        ends = graph.edges
+        lo, hi = F.least("src", "dst"), F.greatest("src", "dst")
+    contracted = cut_lineage(
+        ends.select(*k, lo.alias("a"), hi.alias("b")).where(F.col("a") != F.col("b")).distinct()
+    )
+    stars = _star_rounds(contracted, k, skew, checkpoint_interval, max_rounds)
+    # centre of every label that is a star member; other labels are centres themselves
+    centre = stars.groupBy(*k, F.col("b").alias("label")).agg(F.min("a").alias("centre"))
+    # many vertices share a label (that is the point of spreading): hot labels are salted
+    per_label = labels.groupBy(*k, "label").agg(F.count(F.lit(1)).alias("n"))
+    hot = hot_keys(per_label, [*k, "label"], "n", skew, graph.sizes()[0])
+    out = salted_join(labels, centre, [*k, "label"], hot, F.col("id"), "left").select(
+        *k, "id", F.coalesce("centre", "label").alias("component")
     )
-    if previous is not None:
-        previous.unpersist()
-    return out
+    return cut_lineage(out)
 
 
 def component_sizes(components: DataFrame, keys: list[str]) -> DataFrame:

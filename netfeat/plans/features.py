@@ -175,7 +175,7 @@ def network_features(
     (vintage, window) graphs are computed in one pass; windows become columns
     by a fixed-list conditional aggregation (no data-dependent pivot).
     """
-    windows = [int(w) for w in windows]
+    windows = list(dict.fromkeys(int(w) for w in windows))  # unique, in the given order
     keys = list(SNAPSHOT_KEYS)
     drivers = driver.select(ENTITY, VINTAGE).distinct()
     snaps = snapshot_table(drivers.select(VINTAGE), windows)
@@ -209,7 +209,7 @@ def run(
     to the driver; its size is bounded by the day count of the horizon.
     Returns the vintages written.
     """
-    windows = [int(w) for w in windows]
+    windows = list(dict.fromkeys(int(w) for w in windows))
     driver = read_driver(spark, driver_source)
     found = [r[VINTAGE] for r in vintages(driver, start, months).collect()]
     if not found:

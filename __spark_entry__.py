@@ -51,7 +51,7 @@ from netfeat.plans.features import (
     prepare,
     run,
 )
-from netfeat.session import in_parallel
+from netfeat.session import cut_lineage, in_parallel
 from netfeat.sources.sinks import read_features, write_features
 from netfeat.sources.tables import read_driver, read_transactions
 from netfeat.sources.tpch import (
@@ -209,11 +209,13 @@ def q_neighbor_counts(spark, sf_dir):
 
 
 def q_neighbor_features(spark, sf_dir):
-    return neighbor_features(_graph(spark, sf_dir))
+    sg = _graph(spark, sf_dir)
+    return _done(sg.graph, cut_lineage(neighbor_features(sg)))
 
 
 def q_centrality_features(spark, sf_dir):
-    return _round(centrality_features(_graph(spark, sf_dir)), ["pagerank_centrality"])
+    sg = _graph(spark, sf_dir)
+    return _done(sg.graph, _round(centrality_features(sg), ["pagerank_centrality"]))
 
 
 def q_network_features(spark, sf_dir):

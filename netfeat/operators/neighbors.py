@@ -64,3 +64,23 @@ def neighbor_counts(graph: Graph, edges_with_risk: DataFrame) -> DataFrame:
         ).alias("x"),
     ).select(*k, "x.id", "x.n")
     return ends.groupBy(*k, "id").agg(F.sum("n").cast("long").alias("high_risk_neighbor_count"))
+
+
+def risky_neighbor_counts(graph: Graph, nodes: DataFrame) -> DataFrame:
+    """(*keys, id, high_risk_neighbor_count) for vertices with at least one
+    high-risk neighbour; the same counts as :func:`neighbor_counts`, zeros left out.
+
+    Only edges with a high-risk end are needed: the high-risk set meets the
+    endpoint-bucketed edge copies (``Graph.gather``, inner join), so no edge is
+    shuffled; each such end adds 1 to the vertex at the other end.
+    """
+    k = graph.key_list
+    on = [*k, "id"]
+    risky = nodes.select(*on).join(graph.vertices, on, "left_semi")
+    to_src = graph.gather("dst", risky).select(*k, F.col("src").alias("id"))
+    to_dst = graph.gather("src", risky).select(*k, F.col("dst").alias("id"))
+    return (
+        to_src.unionByName(to_dst)
+        .groupBy(*on)
+        .agg(F.count(F.lit(1)).alias("high_risk_neighbor_count"))
+    )

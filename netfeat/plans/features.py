@@ -35,7 +35,7 @@ from netfeat.operators.community import community_metrics, vertex_communities
 from netfeat.operators.components import connected_components, network_sizes
 from netfeat.operators.graph import Graph, build_graph, degrees
 from netfeat.operators.labels import label_propagation
-from netfeat.operators.neighbors import edge_risk, high_risk_nodes, neighbor_counts, vertex_risk
+from netfeat.operators.neighbors import high_risk_nodes, risky_neighbor_counts
 from netfeat.operators.pagerank import pagerank
 from netfeat.operators.risk import add_risk_flags, flag_columns
 from netfeat.operators.skew import DEFAULT_SKEW, SkewConfig
@@ -91,6 +91,9 @@ def centrality_features(sg: SnapshotGraph) -> DataFrame:
     """(*keys, EXT_ENTITYID, degree_centrality, pagerank_centrality,
     eigenvector_centrality, community_size, community_density, average_degree,
     network_size) for vertices with at least one edge that occur as entity.
+
+    The algorithm results are checkpointed, so the returned frame does not
+    read the graph's bucketed edge copies; call ``sg.graph.release()`` when done.
     """
     g = sg.graph
     k = g.key_list
@@ -106,15 +109,12 @@ def centrality_features(sg: SnapshotGraph) -> DataFrame:
         )
 
     # the three algorithms only share the (checkpointed) graph: run them side by side
-    try:
-        sizes, ranks, comm, _ = in_parallel(
-            lambda: cut_lineage(network_sizes(connected_components(g), k, g.skew, n_vertices)),
-            lambda: cut_lineage(pagerank(g)),  # writes the source-bucketed edge copy
-            communities,
-            lambda: g.by_endpoint("dst"),  # the destination copy for labels, meanwhile
-        )
-    finally:
-        g.release()
+    sizes, ranks, comm, _ = in_parallel(
+        lambda: cut_lineage(network_sizes(connected_components(g), k, g.skew, n_vertices)),
+        lambda: cut_lineage(pagerank(g)),  # writes the source-bucketed edge copy
+        communities,
+        lambda: g.by_endpoint("dst"),  # the destination copy, meanwhile
+    )
     feats = (
         degrees(g)
         .join(sg.entities, on, "left_semi")
@@ -137,10 +137,14 @@ def centrality_features(sg: SnapshotGraph) -> DataFrame:
 
 def neighbor_features(sg: SnapshotGraph, level: str = "vhrg") -> DataFrame:
     """(*keys, EXT_ENTITYID, vhrg_neighbor_ct) for every entity of the snapshot
-    (sentinel ids included), 0 when it has no high-risk neighbour."""
+    (sentinel ids included), 0 when it has no high-risk neighbour.
+
+    Lazy, and reads the graph's bucketed edge copies: materialise it before
+    ``sg.graph.release()``.
+    """
     g = sg.graph
     k = g.key_list
-    counts = neighbor_counts(g, edge_risk(g, vertex_risk(g, sg.risky)))
+    counts = risky_neighbor_counts(g, sg.risky)
     return (
         sg.entities.join(counts, [*k, "id"], "left")
         .na.fill({"high_risk_neighbor_count": 0})
@@ -151,9 +155,12 @@ def neighbor_features(sg: SnapshotGraph, level: str = "vhrg") -> DataFrame:
 def snapshot_features(sg: SnapshotGraph, level: str = "vhrg") -> DataFrame:
     """Both feature sets, long form: one row per (*keys, entity), null where a
     block has no row (the two blocks have different null rules)."""
-    cent, nb = in_parallel(
-        lambda: centrality_features(sg), lambda: cut_lineage(neighbor_features(sg, level))
-    )
+    try:
+        cent, nb = in_parallel(
+            lambda: centrality_features(sg), lambda: cut_lineage(neighbor_features(sg, level))
+        )
+    finally:
+        sg.graph.release()  # neither result reads the bucketed edge copies any more
     return cent.unionByName(nb, allowMissingColumns=True)
 
 

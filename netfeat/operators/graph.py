@@ -29,6 +29,13 @@ EDGES_PER_PARTITION = 2_000_000
 
 @dataclass
 class Graph:
+    """Vertices ``(*keys, id)`` and edges ``(*keys, src, dst)`` of one graph, or of
+    many snapshot graphs at once (``keys``), with what the algorithms share:
+    sizes, hot vertices, salted endpoint joins for one-shot look-ups, and
+    endpoint-bucketed edge copies for per-round look-ups (:meth:`gather`).
+    Call :meth:`release` when no lazy frame reads the bucketed copies any more.
+    """
+
     vertices: DataFrame
     edges: DataFrame
     keys: tuple[str, ...] = ()

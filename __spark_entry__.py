@@ -37,9 +37,9 @@ from netfeat.constants import (
 from netfeat.operators.clean import strip_account_prefix
 from netfeat.operators.community import community_metrics
 from netfeat.operators.components import connected_components, network_sizes
-from netfeat.operators.graph import degrees, graph_stats
+from netfeat.operators.graph import build_graph, degrees, graph_stats
 from netfeat.operators.labels import label_propagation
-from netfeat.operators.neighbors import edge_risk, neighbor_counts, vertex_risk
+from netfeat.operators.neighbors import edge_risk, high_risk_nodes, neighbor_counts, vertex_risk
 from netfeat.operators.pagerank import pagerank
 from netfeat.operators.risk import add_country_flag, add_prefix_flag, add_risk_flags, risk_countries
 from netfeat.operators.snapshots import assign_snapshots, in_date_range, snapshot_table, vintages
@@ -153,11 +153,11 @@ def q_window_slice(spark, sf_dir):
 
 
 def q_graph_vertices(spark, sf_dir):
-    return _graph(spark, sf_dir).graph.vertices
+    return build_graph(_sliced(spark, sf_dir), KEYS).vertices
 
 
 def q_graph_edges(spark, sf_dir):
-    return _graph(spark, sf_dir).graph.edges
+    return build_graph(_sliced(spark, sf_dir), KEYS).edges
 
 
 def q_degrees(spark, sf_dir):
@@ -190,7 +190,7 @@ def q_community_metrics(spark, sf_dir):
 
 
 def q_high_risk_nodes(spark, sf_dir):
-    return _graph(spark, sf_dir).risky.select(*KEYS, "id")
+    return high_risk_nodes(_sliced(spark, sf_dir), KEYS).select(*KEYS, "id")
 
 
 def q_vertex_risk(spark, sf_dir):

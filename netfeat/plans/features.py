@@ -13,11 +13,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 
 from dateutil.relativedelta import relativedelta
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,14 +33,15 @@ from netfeat.constants import (
 )
 from netfeat.operators.community import community_metrics, vertex_communities
 from netfeat.operators.components import connected_components, network_sizes
-from netfeat.operators.graph import Graph, build_graph, degrees
+from netfeat.operators.graph import Graph, degrees
 from netfeat.operators.labels import label_propagation
-from netfeat.operators.neighbors import high_risk_nodes, risky_neighbor_counts
+from netfeat.operators.neighbors import risky_neighbor_counts
 from netfeat.operators.pagerank import pagerank
 from netfeat.operators.risk import add_risk_flags, flag_columns
 from netfeat.operators.skew import DEFAULT_SKEW, SkewConfig
 from netfeat.operators.snapshots import assign_snapshots, snapshot_table, vintages
-from netfeat.session import cut_lineage, in_parallel
+from netfeat.functions import valid_id
+from netfeat.session import checkpoint_dir, cut_lineage, in_parallel
 from netfeat.sources.sinks import write_features
 from netfeat.sources.tables import Source, read_driver, read_transactions
 
@@ -63,28 +64,57 @@ def prepare(
 ) -> SnapshotGraph:
     """Build the graph and the entity / high-risk sets from flagged transactions.
 
-    Only the five columns used are kept and persisted once, since the graph,
-    the entity set and the high-risk set all read them. They are not
-    de-duplicated here: that would be a full shuffle of the snapshot-expanded
-    rows, while each derived set is a distinct whose map-side partial
-    aggregation removes repeats before its own (much smaller) shuffle.
-    Vertices, edges and the two sets are then written to the checkpoint
-    folder: every algorithm reads them many times.
+    One pass: every (snapshot-expanded) row emits tagged facts: up to two
+    vertices, one edge, one entity and up to two high-risk ids. One distinct
+    (partial on the map side) removes repeats, and the facts are written once
+    as a table partitioned by kind in the checkpoint folder. Vertices, edges,
+    entities and high-risk ids are partition-pruned reads of it. The expanded
+    rows are never cached or scanned twice.
     """
     k = list(keys)
     ef, cf = flag_columns(level)
-    slim = trxn.select(*k, ENTITY, COUNTERPARTY, ef, cf).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        g = build_graph(slim, k, skew=skew)
-        vertices, edges, entities, risky = in_parallel(
-            lambda: cut_lineage(g.vertices),
-            lambda: cut_lineage(g.edges),
-            lambda: cut_lineage(slim.select(*k, F.col(ENTITY).alias("id")).distinct()),
-            lambda: cut_lineage(high_risk_nodes(slim, k, level)),
+    spark = trxn.sparkSession
+    src, dst = F.col(ENTITY), F.col(COUNTERPARTY)
+    ok_src, ok_dst = valid_id(src), valid_id(dst)
+    none = F.lit(None).cast("string")
+
+    def fact(kind: str, a, b=none):
+        return F.struct(F.lit(kind).alias("kind"), a.alias("a"), b.alias("b"))
+
+    facts = (
+        trxn.select(
+            *k,
+            F.explode(
+                F.array(
+                    F.when(ok_src, fact("vertex", src)),
+                    F.when(ok_dst, fact("vertex", dst)),
+                    F.when(ok_src & ok_dst, fact("edge", src, dst)),
+                    F.when(src.isNotNull(), fact("entity", src)),
+                    F.when((F.col(ef) == 1) & src.isNotNull(), fact("risky", src)),
+                    F.when((F.col(cf) == 1) & dst.isNotNull(), fact("risky", dst)),
+                )
+            ).alias("f"),
         )
-    finally:
-        slim.unpersist()
-    return SnapshotGraph(Graph(vertices, edges, g.keys, skew), entities, risky)
+        .where(F.col("f").isNotNull())
+        .select(*k, "f.kind", "f.a", "f.b")
+        .distinct()
+    )
+    path = f"{checkpoint_dir(spark).rstrip('/')}/netfeat_facts_{uuid.uuid4().hex[:16]}"
+    facts.write.partitionBy("kind").parquet(path)
+    stored = spark.read.schema(facts.schema).parquet(path)
+
+    def part(kind: str) -> DataFrame:
+        return stored.where(F.col("kind") == kind)
+
+    graph = Graph(
+        part("vertex").select(*k, F.col("a").alias("id")),
+        part("edge").select(*k, F.col("a").alias("src"), F.col("b").alias("dst")),
+        tuple(k),
+        skew,
+    )
+    entities = part("entity").select(*k, F.col("a").alias("id"))
+    risky = part("risky").select(*k, F.col("a").alias("id"), F.lit(1).alias("is_high_risk"))
+    return SnapshotGraph(graph, entities, risky)
 
 
 def centrality_features(sg: SnapshotGraph) -> DataFrame:

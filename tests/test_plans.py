@@ -77,3 +77,11 @@ def test_flagship_has_no_python_udf_and_no_cartesian_product(spark):
     p = plan(entry.q_network_features(spark, SF))
     for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "NestedLoopJoin"):
         assert bad not in p
+
+
+def test_graph_parts_are_partition_pruned_reads(spark):
+    entry._ready(spark)
+    sg = prepare(entry._sliced(spark, SF), entry.KEYS)
+    for df, kind in ((sg.graph.vertices, "vertex"), (sg.graph.edges, "edge"), (sg.entities, "entity"), (sg.risky, "risky")):
+        p = plan(df)
+        assert f"PartitionFilters: [isnotnull(kind" in p and f"(kind#" in p and f"= {kind})" in p, p

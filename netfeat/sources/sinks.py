@@ -20,11 +20,23 @@ def write_features(
 
     ``append`` adds rows (a re-run duplicates a vintage); ``overwrite_partitions``
     replaces only the partitions present in ``df`` (dynamic partition
-    overwrite), so re-running a vintage is idempotent. New columns of later
-    runs are read back with ``mergeSchema``.
+    overwrite), so re-running a vintage is idempotent; on an existing catalog
+    table it inserts with overwrite instead of replacing the table. On paths,
+    new columns of later runs are read back with ``mergeSchema``.
     """
     if mode not in MODES:
         raise ValueError(f"mode {mode!r} not in {MODES}")
+    spark = df.sparkSession
+    is_table = "/" not in target
+    if is_table and mode == "overwrite_partitions" and spark.catalog.tableExists(target):
+        # saveAsTable would replace the whole table: insert into it instead, replacing
+        # only the partitions present (insertInto matches columns by position)
+        cols = spark.table(target).columns
+        missing = [c for c in cols if c not in df.columns]
+        if missing:
+            raise ValueError(f"{target} has columns the frame lacks: {missing}")
+        df.select(*cols).write.option("partitionOverwriteMode", "dynamic").insertInto(target, overwrite=True)
+        return
     w = df.write.format(fmt)
     if mode == "overwrite_partitions":
         w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -32,10 +44,10 @@ def write_features(
         w = w.mode(mode)
     if partition_col is not None:
         w = w.partitionBy(partition_col)
-    if "/" in target:
-        w.save(target)
-    else:
+    if is_table:
         w.saveAsTable(target)
+    else:
+        w.save(target)
 
 
 def read_features(spark, target: str, fmt: str = "parquet") -> DataFrame:

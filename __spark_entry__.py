@@ -106,7 +106,8 @@ def _graph(spark: SparkSession, sf_dir: str):
 
 
 def _done(graph, df: DataFrame) -> DataFrame:
-    """``df`` no longer reads the graph's bucketed edge copies: drop their catalog entries."""
+    """Drop the catalog entries of the graph's bucketed edge copies; ``df`` must
+    not read them (it is built from checkpointed frames)."""
     graph.release()
     return df
 
@@ -186,7 +187,7 @@ def q_label_propagation(spark, sf_dir):
 
 def q_community_metrics(spark, sf_dir):
     g = _graph(spark, sf_dir).graph
-    return _done(g, community_metrics(g, label_propagation(g)))
+    return _done(g, cut_lineage(community_metrics(g, label_propagation(g))))
 
 
 def q_high_risk_nodes(spark, sf_dir):

@@ -18,9 +18,13 @@ from netfeat.operators.skew import SkewConfig, hot_keys, salted_join
 
 
 def labelled_edges(graph: Graph, labels: DataFrame) -> DataFrame:
-    """(*keys, src, dst, src_community, dst_community)."""
-    e = graph.edges.select(*graph.keys, "src", "dst")
-    e = graph.join_endpoint(e, "src", labels.withColumnRenamed("label", "src_community"), "left")
+    """(*keys, src, dst, src_community, dst_community).
+
+    Every vertex has a label, so the source side reads the source-bucketed
+    edge copy in place (``Graph.gather``); only the destination look-up
+    shuffles the edges (salted for hubs).
+    """
+    e = graph.gather("src", labels.withColumnRenamed("label", "src_community"))
     return graph.join_endpoint(e, "dst", labels.withColumnRenamed("label", "dst_community"), "left")
 
 

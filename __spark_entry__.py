@@ -423,7 +423,7 @@ def _base_ctes(windows=TEST_WINDOWS) -> list[str]:
   FROM trxn)""",
         f"""drv AS (
   SELECT DISTINCT i.EXT_ENTITYID, d.VINTAGE_DT
-  FROM (SELECT CAST(c_custkey AS VARCHAR) AS EXT_ENTITYID FROM customer WHERE c_custkey % 3 = 0
+  FROM (SELECT CAST(c_custkey AS VARCHAR) AS EXT_ENTITYID FROM customer
         UNION ALL SELECT '{EXTRA_DRIVER_PREFIX}' || CAST(r_regionkey AS VARCHAR) FROM region) i
   CROSS JOIN (VALUES {vint}) d(VINTAGE_DT))""",
         f"""snap AS (

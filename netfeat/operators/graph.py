@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from netfeat.constants import COUNTERPARTY, ENTITY, SENTINEL_IDS
 from netfeat.functions import valid_id
 from netfeat.operators.skew import DEFAULT_SKEW, SkewConfig, hot_keys, salted_join
-from netfeat.session import checkpoint_dir, cut_lineage, in_parallel
+from netfeat.session import checkpoint_dir, cut_lineage, delete_path, in_parallel
 
 # Edge rows per partition of the endpoint-partitioned edge copies.
 EDGES_PER_PARTITION = 2_000_000
@@ -45,6 +45,7 @@ class Graph:
     _sizes: tuple[int, int] | None = field(default=None, repr=False)
     _by_endpoint: dict = field(default_factory=dict, repr=False)
     _tables: list = field(default_factory=list, repr=False)
+    _paths: list = field(default_factory=list, repr=False)
     _lock: threading.Lock = field(default_factory=threading.Lock, repr=False)
     _endpoint_locks: dict = field(
         default_factory=lambda: {"src": threading.Lock(), "dst": threading.Lock()}, repr=False
@@ -117,6 +118,7 @@ class Graph:
                     )
                     with self._lock:
                         self._tables.append(name)
+                        self._paths.append(path)
                     cold = spark.table(name)
                 except Exception as err:  # a catalog that refuses tables: same results, edges shuffled per round
                     warnings.warn(f"bucketed edge copy not written ({err}); using a checkpoint", stacklevel=2)
@@ -124,13 +126,19 @@ class Graph:
                 self._by_endpoint[endpoint] = (cold, hot_edges)
             return self._by_endpoint[endpoint]
 
-    def release(self) -> None:
-        """Drop the catalog entries of the bucketed edge copies (files stay in the checkpoint folder)."""
+    def release(self, delete_files: bool = False) -> None:
+        """Drop the catalog entries of the bucketed edge copies; with ``delete_files``
+        also their files (only when no frame reads them any more)."""
+        spark = self.edges.sparkSession
         with self._endpoint_locks["src"], self._endpoint_locks["dst"], self._lock:
             for name in self._tables:
-                self.edges.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+                spark.sql(f"DROP TABLE IF EXISTS {name}")
             self._tables.clear()
             self._by_endpoint.clear()
+            if delete_files:
+                for path in self._paths:
+                    delete_path(spark, path)
+                self._paths.clear()
 
     def gather(self, endpoint: str, state: DataFrame) -> DataFrame:
         """Edges joined with per-vertex ``state`` ``(*keys, id, ...)`` on ``endpoint``,

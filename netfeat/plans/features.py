@@ -41,7 +41,7 @@ from netfeat.operators.risk import add_risk_flags, flag_columns
 from netfeat.operators.skew import DEFAULT_SKEW, SkewConfig
 from netfeat.operators.snapshots import assign_snapshots, snapshot_table, vintages
 from netfeat.functions import valid_id
-from netfeat.session import checkpoint_dir, cut_lineage, in_parallel
+from netfeat.session import checkpoint_dir, cut_lineage, delete_path, in_parallel
 from netfeat.sources.sinks import write_features
 from netfeat.sources.tables import Source, read_driver, read_transactions
 
@@ -57,6 +57,15 @@ class SnapshotGraph:
     graph: Graph
     entities: DataFrame  # (*keys, id): distinct EXT_ENTITYID of the snapshot's rows
     risky: DataFrame  # (*keys, id, is_high_risk): ids flagged in the snapshot's rows
+    facts_path: str | None = None  # the written facts table the four frames read
+
+    def discard(self) -> None:
+        """Delete every folder written for this graph. Only once no frame built
+        from it is computed any more (for example after the features are written)."""
+        self.graph.release(delete_files=True)
+        if self.facts_path:
+            delete_path(self.graph.edges.sparkSession, self.facts_path)
+            self.facts_path = None
 
 
 def prepare(
@@ -114,7 +123,7 @@ def prepare(
     )
     entities = part("entity").select(*k, F.col("a").alias("id"))
     risky = part("risky").select(*k, F.col("a").alias("id"), F.lit(1).alias("is_high_risk"))
-    return SnapshotGraph(graph, entities, risky)
+    return SnapshotGraph(graph, entities, risky, path)
 
 
 def centrality_features(sg: SnapshotGraph) -> DataFrame:
@@ -212,6 +221,10 @@ def network_features(
     (vintage, window) graphs are computed in one pass; windows become columns
     by a fixed-list conditional aggregation (no data-dependent pivot).
     """
+    return _network_features(driver, trxn, windows, level, skew)[0]
+
+
+def _network_features(driver, trxn, windows, level, skew) -> tuple[DataFrame, SnapshotGraph]:
     windows = list(dict.fromkeys(int(w) for w in windows))  # unique, in the given order
     keys = list(SNAPSHOT_KEYS)
     drivers = driver.select(ENTITY, VINTAGE).distinct()
@@ -222,7 +235,8 @@ def network_features(
     wide = long.groupBy(ENTITY, VINTAGE).agg(
         *[F.max(F.when(F.col(WINDOW) == w, F.col(c))).alias(f"{c}_{w}m") for w in windows for c in metrics]
     )
-    return drivers.join(wide, [ENTITY, VINTAGE], "left").select(ENTITY, VINTAGE, *wide_columns(windows, level))
+    out = drivers.join(wide, [ENTITY, VINTAGE], "left").select(ENTITY, VINTAGE, *wide_columns(windows, level))
+    return out, sg
 
 
 def run(
@@ -256,6 +270,7 @@ def run(
     step = vintages_per_batch or len(found)
     for i in range(0, len(found), step):
         batch = found[i : i + step]
-        feats = network_features(driver.where(F.col(VINTAGE).isin(batch)), trxn, windows, level, skew)
+        feats, sg = _network_features(driver.where(F.col(VINTAGE).isin(batch)), trxn, windows, level, skew)
         write_features(feats, target, mode=mode)
+        sg.discard()  # written: the batch's intermediate tables are not read again
     return found

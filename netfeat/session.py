@@ -43,6 +43,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder this job wrote, through the Hadoop file system of its scheme."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def in_parallel(*thunks: Callable[[], Any]) -> list[Any]:
     """Run independent Spark jobs from separate threads and return their results.
 

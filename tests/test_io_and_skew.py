@@ -154,3 +154,26 @@ def test_catalog_tables_as_sources_and_target(spark):
     finally:
         for t in (drv, trx, out):
             spark.sql(f"DROP TABLE IF EXISTS {t}")
+
+
+def test_run_deletes_its_intermediate_tables(spark, scratch_dir, monkeypatch):
+    """After each written batch, the facts table and the bucketed edge copies are gone."""
+    from netfeat.plans import features as PF
+
+    seen = []
+    original = PF._network_features
+
+    def spy(*a, **k):
+        out, sg = original(*a, **k)
+        seen.append((sg, sg.facts_path))
+        return out, sg
+
+    monkeypatch.setattr(PF, "_network_features", spy)
+    target = os.path.join(scratch_dir, "run_clean")
+    PF.run(spark, micro.drivers(spark), micro.transactions(spark), target, start="2024-01-01", months=12)
+    assert len(seen) == 1
+    sg, facts_path = seen[0]
+    assert sg.facts_path is None and sg.graph._paths == []
+    local = facts_path[len("file:"):] if facts_path.startswith("file:") else facts_path
+    assert not os.path.exists(local)
+    assert read_features(spark, target).count() == len(micro.DRIVERS)

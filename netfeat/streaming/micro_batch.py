@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from netfeat.constants import DEFAULT_WINDOWS, ENTITY, VINTAGE
 from netfeat.operators.skew import DEFAULT_SKEW, SkewConfig
-from netfeat.plans.features import network_features
+from netfeat.plans.features import _network_features
 from netfeat.sources.sinks import write_features
 
 
@@ -44,7 +44,9 @@ def score_driver_stream(
         keys = batch.select(ENTITY, VINTAGE)
         if keys.isEmpty():
             return
-        write_features(network_features(keys, trxn, windows, level, skew), target, mode="overwrite_partitions")
+        feats, sg = _network_features(keys, trxn, windows, level, skew)
+        write_features(feats, target, mode="overwrite_partitions")
+        sg.discard()  # the micro-batch's intermediate tables are not read again
 
     writer = drivers.writeStream.foreachBatch(score).option("checkpointLocation", checkpoint_location)
     if trigger:

@@ -177,3 +177,18 @@ def test_run_deletes_its_intermediate_tables(spark, scratch_dir, monkeypatch):
     local = facts_path[len("file:"):] if facts_path.startswith("file:") else facts_path
     assert not os.path.exists(local)
     assert read_features(spark, target).count() == len(micro.DRIVERS)
+
+
+def test_command_line_job(spark, scratch_dir):
+    """``python -m netfeat`` arguments drive run() over Parquet sources."""
+    from netfeat.__main__ import main
+
+    drv, trx = os.path.join(scratch_dir, "cli_drv"), os.path.join(scratch_dir, "cli_trx")
+    micro.drivers(spark).write.mode("overwrite").parquet(drv)
+    micro.transactions(spark).write.mode("overwrite").parquet(trx)
+    target = os.path.join(scratch_dir, "cli_out")
+    done = main(["--driver", drv, "--trxn", trx, "--target", target, "--start", "2024-01-01",
+                 "--months", "12", "--windows", "6,12", "--vintages-per-batch", "1"])
+    assert done == [dt.date(2024, 9, 30)]
+    out = read_features(spark, target)
+    assert out.count() == len(micro.DRIVERS) and "degree_centrality_12m" in out.columns

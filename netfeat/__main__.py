@@ -1,4 +1,5 @@
-"""Batch job: ``spark-submit -m netfeat --driver T --trxn T --target T --start YYYY-MM-DD``.
+"""Batch job: ``python -m netfeat --driver T --trxn T --target T --start YYYY-MM-DD``
+(or ``spark-submit --py-files netfeat.zip netfeat/__main__.py ...``).
 
 Reads the driver and transaction sources (catalog tables or Parquet paths),
 computes the network features of every vintage in the horizon and writes

@@ -16,9 +16,15 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import sys
 import tempfile
 from collections.abc import Callable
 
+# the package lives next to this file; make it importable however this file is loaded
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 

@@ -70,6 +70,13 @@ from netfeat.sources.tpch import (
     tpch_wire,
 )
 
+try:
+    from netfeat.llm import queries as _llm
+except ModuleNotFoundError as e:
+    if e.name != "netfeat.llm":
+        raise
+    _llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 KEYS = list(SNAPSHOT_KEYS)
 HORIZON_START = dt.date(1997, 6, 30)
@@ -367,7 +374,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return {**QUERIES, **(_llm.QUERIES if _llm else {})}
 
 
 # ---------------------------------------------------------------------------
@@ -805,4 +812,4 @@ def _wire_col(c: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return _oracles()
+    return {**_oracles(), **(_llm.ORACLE_SQL if _llm else {})}

@@ -10,6 +10,7 @@ from pathlib import Path
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
+from netfeat.llm import toxicity
 from netfeat.llm.ngram_join import ngram_join
 
 ROOT = Path(__file__).resolve().parents[2]
@@ -39,8 +40,14 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "copy_id")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.toxicity(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_ngram_join": op3_ngram_join,
+    "op6_toxicity": op6_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}

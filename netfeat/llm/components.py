@@ -14,39 +14,33 @@ def components(edges: DataFrame, work: Workspace, name: str = "components") -> D
 
     Ids without an edge to another id are left out. Edges with a null end and loops are
     ignored. Each round is written to the shared folder; the loop ends, exactly, when
-    neither star moved an edge. All aggregations combine before the shuffle, so a hub
+    neither star moved an edge. A star turns every edge into one edge, so the table never grows. All aggregations combine before the shuffle, so a hub
     is one row a task there; in the joins AQE splits a hub's rows."""
     e = edges.where("a is not null and b is not null and a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     )
     e = work.store(e.distinct(), f"{name}-0")
     step = 0
-    while True:
+    while not e.isEmpty():
         sym = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
             e.select(F.col("b").alias("u"), F.col("a").alias("v"))
         )
         low = sym.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (
-            sym.join(low, "u").where("v > u")
-            .groupBy(F.col("v").alias("a"), F.col("m").alias("b"))
-            .agg(F.max(F.col("m") != F.col("u")).alias("moved"))
+        large = sym.join(low, "u").where("v > u").select(
+            F.col("v").alias("a"), F.col("m").alias("b"), (F.col("m") != F.col("u")).alias("moved")
         )
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (
-            large.join(least, "a")
-            .select(
-                F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("x"),
-                "m",
-                (F.col("moved") | (F.col("b") != F.col("m"))).alias("moved"),
-            )
-            .groupBy(F.col("x").alias("a"), F.col("m").alias("b"))
-            .agg(F.max("moved").alias("moved"))
+        small = large.join(least, "a").select(
+            F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"),
+            F.col("m").alias("b"),
+            (F.col("moved") | (F.col("b") != F.col("m"))).alias("moved"),
         )
         step += 1
         after = work.store(small, f"{name}-{step}")
         work.drop(f"{name}-{step - 1}")
         e = after.select("a", "b")
         if after.where("moved").isEmpty():
-            return e.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(
-                e.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
-            )
+            break
+    return e.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(
+        e.select(F.col("b").alias("id"), F.col("b").alias("component"))
+    ).distinct()

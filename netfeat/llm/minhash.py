@@ -96,12 +96,13 @@ def _verify_group(pdf: pd.DataFrame, ratio: Fraction) -> pd.DataFrame:
         out.append(
             pd.DataFrame({"item": item[some], "parent": item[label[some]], "links": (linked @ weight)[some]})
         )
-    return pd.concat(out) if out else pd.DataFrame({"item": [], "parent": [], "links": []}, dtype="int64")
+    out = pd.concat(out) if out else pd.DataFrame({"item": [], "parent": [], "links": []}, dtype="int64")
+    return out.assign(large=bool(pdf["large"].iat[0]))
 
 
 def verified(sets: DataFrame, work: Workspace, name: str, ratio: Fraction = Fraction(4, 5)) -> DataFrame:
     """``sets`` (grp, item, keys, shingles: sorted uint64 as binary, weight) ->
-    (item, class, links): for every linked item the smallest item that links reach and the
+    (item, class, links): for every linked item an item that names what links reach and the
     summed weight of the items linked to it directly.
 
     A link is a pair with a common band and a Jaccard similarity of at least ``ratio``
@@ -109,23 +110,27 @@ def verified(sets: DataFrame, work: Workspace, name: str, ratio: Fraction = Frac
     pair of blocks is a unit of work of its own, so no task holds a whole group; small groups
     share units. A unit returns, for each item, its link count and one forest edge."""
     sizes = sets.groupBy("grp").agg(F.count(F.lit(1)).alias("size"))
-    sizes = sizes.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).drop("size")
+    sizes = work.store(sizes.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")), f"{name}-sizes")
+    total = sizes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     spread = F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("item"), F.col("blocks"))).otherwise(0).cast("int")
-    placed = sets.join(sizes, "grp").withColumn("block", spread)
-    n = placed.agg(F.count(F.lit(1))).first()[0]
+    placed = sets.join(sizes.drop("size"), "grp").withColumn("block", spread)
     units = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "grp", "item", "keys", "shingles", "weight", "block",
         F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
         F.when(F.col("blocks") > 1, F.col("grp"))
-        .otherwise(F.pmod(F.xxhash64("grp"), F.lit(max(1, -(-n // PACK))))).alias("unit"),
+        .otherwise(F.pmod(F.xxhash64("grp"), F.lit(max(1, -(-total // PACK))))).alias("unit"),
         (F.col("blocks") > 1).alias("large"),
     )
     found = units.groupBy("large", "unit", "i", "j").applyInPandas(
-        lambda pdf: _verify_group(pdf, ratio), "item long, parent long, links long"
+        lambda pdf: _verify_group(pdf, ratio), "item long, parent long, links long, large boolean"
     )
     found = work.store(found, f"{name}-links")
-    classes = components(found.select(F.col("item").alias("a"), F.col("parent").alias("b")), work, f"{name}-classes")
-    counts = found.groupBy("item").agg(F.sum("links").alias("links"))
-    return counts.join(classes.select(F.col("id").alias("item"), F.col("component").alias("class")), "item", "left").select(
-        "item", F.coalesce("class", "item").alias("class"), "links"
+    # a small group's classes are complete; those of a large one meet across its blocks
+    blocks = found.where("large")
+    classes = components(blocks.select(F.col("item").alias("a"), F.col("parent").alias("b")), work, f"{name}-classes")
+    merged = blocks.groupBy("item").agg(F.sum("links").alias("links")).join(
+        classes.select(F.col("id").alias("item"), F.col("component").alias("class")), "item"
+    )
+    return found.where("not large").select("item", F.col("parent").alias("class"), "links").unionByName(
+        merged.select("item", "class", "links")
     )

@@ -60,35 +60,35 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     signed = work.store(
         map_texts(docs, _sign, "doc_id long, row long, item long, keys array<long>"), "signed"
     )
+    # the kept row of a class: the smallest id, nulls last, then the smallest key
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("row").alias("row"))
     items = signed.where("item is not null").groupBy("item").agg(
-        F.min("doc_id").alias("copy_id"), F.min("row").alias("row"), F.count(F.lit(1)).alias("weight"),
-        F.first("keys").alias("keys"),
+        F.min(order).alias("kept"), F.count(F.lit(1)).alias("weight"), F.first("keys").alias("keys")
     )
     items = work.store(items, "items")
     groups = candidate_groups(items.select("item", "keys"), work, "candidates")
-    wanted = items.join(groups, "item").select("row", "grp", "item", "keys", "weight")
-    sets = map_texts(
-        docs.select("row", "text").join(wanted, "row"), _sets,
-        "grp long, item long, keys array<long>, shingles binary, weight long",
+    wanted = items.join(groups, "item").select("kept.row", "grp", "item", "keys", "weight")
+    sets = work.store(
+        map_texts(
+            docs.select("row", "text").join(wanted, "row"), _sets,
+            "grp long, item long, keys array<long>, shingles binary, weight long",
+        ),
+        "sets",
     )
-    sets = work.store(sets, "sets")
     links = verified(sets, work, "verify")
-    member = items.join(links, "item", "left").select(
-        "item", "copy_id", "weight", F.coalesce("class", "item").alias("class"), F.coalesce("links", F.lit(0)).alias("links")
-    )
-    member = work.store(member, "members")
+    members = items.select("item", "kept", "weight").join(links, "item", "left")
+    members = work.store(members.withColumn("class", F.coalesce("class", "item")), "members")
     work.drop("sets")
-    classes = member.groupBy("class").agg(F.min("copy_id").alias("class_id"))
-    rows = signed.select("doc_id", "row", "item").join(member, "item", "left").join(classes, "class", "left")
-    # the kept row of a class: the smallest id, nulls last, then the smallest key
-    order = F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("d"), F.col("row").alias("r"))
-    keepers = signed.select("item", order.alias("o")).where("item is not null").groupBy("item").agg(F.min("o").alias("o"))
-    keepers = keepers.join(member.select("item", "class"), "item").groupBy("class").agg(F.min("o.r").alias("x"), F.min("o").alias("o"))
-    keepers = keepers.select("class", F.col("o.r").alias("kept_row"))
-    return rows.join(keepers, "class", "left").select(
+    classes = members.groupBy("class").agg(F.min("kept").alias("first"))
+    named = members.join(classes, "class").select(
+        "item", F.col("kept.id").alias("copy_id"), F.col("first.id").alias("class_id"),
+        F.col("first.row").alias("kept_row"),
+        (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
+    )
+    return signed.select("doc_id", "row", "item").join(named, "item", "left").select(
         "doc_id",
         F.coalesce("class_id", "doc_id").alias("class_id"),
-        F.when(F.col("item").isNull(), 0).otherwise(F.col("weight") - 1 + F.col("links")).cast("long").alias("n_links"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("copy_id", "doc_id").alias("copy_id"),
         "row",
         (F.col("item").isNull() | (F.col("row") == F.col("kept_row"))).alias("keeper"),

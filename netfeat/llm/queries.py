@@ -10,7 +10,8 @@ from pathlib import Path
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
-from netfeat.llm import toxicity
+from netfeat.llm import quality, toxicity
+from netfeat.llm.divergence import quality_rules
 from netfeat.llm.ngram_join import ngram_join
 
 ROOT = Path(__file__).resolve().parents[2]
@@ -36,6 +37,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.quality(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
+
+
+def op2_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(_table(spark, sf_dir, "documents"))
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "copy_id")
 
@@ -46,6 +56,8 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
+    "op2_divergence": op2_divergence,
     "op3_ngram_join": op3_ngram_join,
     "op6_toxicity": op6_toxicity,
 }

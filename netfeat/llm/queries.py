@@ -13,7 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from netfeat.llm import quality, toxicity
 from netfeat.llm.divergence import quality_rules
 from netfeat.llm.ngram_join import ngram_join
+from netfeat.llm.packing import packed
 
+#: Where the public vocabularies lie; a parameter of the operators that use them.
+VOCABULARY_DIR = os.environ.get("NETFEAT_VOCABULARIES", "/opt/tokenizers")
 ROOT = Path(__file__).resolve().parents[2]
 
 
@@ -55,11 +58,16 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(_table(spark, sf_dir, "documents"), f"{VOCABULARY_DIR}/word_bpe_49k.json")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_divergence": op2_divergence,
     "op3_ngram_join": op3_ngram_join,
     "op6_toxicity": op6_toxicity,
+    "op9_packing": op9_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}

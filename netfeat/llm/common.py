@@ -75,3 +75,26 @@ def map_texts(
                 )
 
     return df.mapInArrow(run, schema)
+
+
+class Memo:
+    """A bounded memo of two generations: when the new one is full it becomes the old one.
+
+    What is used again moves to the new generation, so frequent entries stay. It only saves
+    work; what is not in it is computed again."""
+
+    def __init__(self, size: int):
+        self.size = size
+        self.new: dict = {}
+        self.old: dict = {}
+
+    def turn(self) -> None:
+        if len(self.new) > self.size:
+            self.old, self.new = self.new, {}
+
+    def again(self, key):
+        """The old generation's entry, moved to the new one; or None."""
+        value = self.old.get(key)
+        if value is not None:
+            self.new[key] = value
+        return value

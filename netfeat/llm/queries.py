@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
-from netfeat.llm import quality, toxicity
+from netfeat.llm import bpe, quality, toxicity
 from netfeat.llm.divergence import quality_rules
 from netfeat.llm.ngram_join import ngram_join
 from netfeat.llm.packing import packed
@@ -58,6 +58,14 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.digests(
+        _table(spark, sf_dir, "documents"), f"{VOCABULARY_DIR}/byte_bpe_multi_50k.tiktoken", public_tokenizers.PATTERN
+    )
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(_table(spark, sf_dir, "documents"), f"{VOCABULARY_DIR}/word_bpe_49k.json")
 
@@ -67,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_divergence": op2_divergence,
     "op3_ngram_join": op3_ngram_join,
     "op6_toxicity": op6_toxicity,
+    "op7_bpe": op7_bpe,
     "op9_packing": op9_packing,
 }
 

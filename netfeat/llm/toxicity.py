@@ -15,18 +15,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netfeat.llm import kernel
-from netfeat.llm.common import map_texts
+from netfeat.llm.common import Memo, map_texts
 from netfeat.llm.training import held_out, sample
 
 #: Bounds of the training sample: documents of each class, words of each document.
-TRAIN_DOCS = 3000
-TRAIN_WORDS = 4000
+TRAIN_DOCS = 1500
+TRAIN_WORDS = 1000
 #: A score from here on is toxic.
 TOXIC_FROM = 0.7
 _DICTIONARY_BYTES = 1 << 14
 _MAX_TOXIC_WINDOWS = 4096
 _CODE_BYTES = 6
-_CACHE = 400_000
+_MEMO = 300_000
 _LEVEL = 9
 
 
@@ -72,14 +72,17 @@ def _document_words(text: str, limit: int | None = None) -> list[str]:
     return [raw[s:e].decode("utf-8", "surrogatepass") for s, e in zip(w.start[:limit].tolist(), w.end[:limit].tolist())]
 
 
-def _different(documents: list[list[str]]) -> list[list[str]]:
-    """Documents of which at most a quarter of the word 4-grams occurred in earlier ones."""
+def _different(documents: list[str]) -> list[list[str]]:
+    """Words of the documents of which at most a quarter of the word 4-grams occurred in earlier ones.
+
+    Of the 4-grams those whose hash is divisible by 4 are compared."""
     seen, out = set(), []
-    for words in documents:
-        grams = {tuple(words[i : i + 4]) for i in range(max(1, len(words) - 3))}
+    for text in documents:
+        grams = kernel.grams(kernel.words([text]).hash, 4)
+        grams = set(grams[grams % np.uint64(4) == 0].tolist())
         if len(grams & seen) * 4 <= len(grams):
             seen |= grams
-            out.append(words)
+            out.append(text.split(" "))
     return out
 
 
@@ -106,18 +109,17 @@ class Scorer:
         self.model = model
         self.ordinary, self.toxic = model.compressors()
         self.frame = len(self.toxic.compress(b""))  # what any frame takes
-        self.known: dict[int, float] = {}
+        self.memo = Memo(_MEMO)
 
     def features(self, texts: list[str]) -> np.ndarray:
         w = kernel.words([t.lower() for t in texts], kernel.PUNCTUATION)
         h, first, back = np.unique(w.hash, return_index=True, return_inverse=True)
-        if len(self.known) > _CACHE:
-            self.known.clear()
-        raw, known = w.buffer, self.known
+        self.memo.turn()
+        raw, known, again = w.buffer, self.memo.new, self.memo.again
         saved = np.empty(len(h))
         for k, (x, i) in enumerate(zip(h.tolist(), first.tolist())):
             v = known.get(x)
-            if v is None:
+            if v is None and (v := again(x)) is None:
                 code = window_bytes(raw[w.start[i] : w.end[i]].tobytes().decode("utf-8", "surrogatepass"))
                 plain, toxic = len(self.ordinary.compress(code)), len(self.toxic.compress(code))
                 v = known[x] = 1 - max(toxic - self.frame, 1) / max(plain - self.frame, 1)
@@ -156,16 +158,16 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     Near copies among the sampled documents count once. Without labels of a class every score is 0."""
     rows = map_texts(
         sample(docs, labels, "toxic", TRAIN_DOCS),
-        lambda texts, batch: {"words": [_document_words(t, TRAIN_WORDS) for t in texts], "label": batch.column("label")},
-        "words array<string>, label int",
+        lambda texts, batch: {"words": [" ".join(_document_words(t, TRAIN_WORDS)) for t in texts], "label": batch.column("label")},
+        "words string, label int",
     ).limit(4 * TRAIN_DOCS).toPandas()
-    return fit(sorted((tuple(w), y) for w, y in zip(rows["words"], rows["label"])))
+    return fit(sorted(zip(rows["words"], rows["label"])))
 
 
-def fit(documents: list[tuple[tuple[str, ...], int]]) -> Model:
-    """The model of (words, label) pairs; the same for the same pairs in the same order."""
-    ordinary = _different([list(w) for w, y in documents if y == 0])
-    toxic = _different([list(w) for w, y in documents if y == 1])
+def fit(documents: list[tuple[str, int]]) -> Model:
+    """The model of (text, label) pairs, words parted by one space; the same for the same pairs in the same order."""
+    ordinary = _different([t for t, y in documents if y == 0])
+    toxic = _different([t for t, y in documents if y == 1])
     if not ordinary or not toxic:
         return Model(b"", b"", (-40.0, 0.0, 0.0))
     in_ordinary = Counter(x for w in ordinary for x in set(w))
@@ -184,7 +186,7 @@ def fit(documents: list[tuple[tuple[str, ...], int]]) -> Model:
         content = b"".join(samples)[:_DICTIONARY_BYTES]
     model = Model(content, b"".join(reversed(typical)), (0.0, 0.0, 0.0))
     scorer = Scorer(model)
-    texts = [" ".join(w) for w, _ in documents]
+    texts = [t for t, _ in documents]
     x = np.concatenate([scorer.features(texts[i : i + 200]) for i in range(0, len(texts), 200)])
     return Model(content, model.toxic, _logistic(x, np.array([y for _, y in documents], float)))
 

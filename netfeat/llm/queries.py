@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
-from netfeat.llm import bpe, quality, toxicity
+from netfeat.llm import bpe, quality, secrets, toxicity
 from netfeat.llm.divergence import quality_rules
 from netfeat.llm.ngram_join import ngram_join
 from netfeat.llm.packing import packed
@@ -53,6 +53,10 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "copy_id")
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.secret_spans(_table(spark, sf_dir, "documents")))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return toxicity.toxicity(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
@@ -74,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_divergence": op2_divergence,
     "op3_ngram_join": op3_ngram_join,
+    "op5_secrets": op5_secrets,
     "op6_toxicity": op6_toxicity,
     "op7_bpe": op7_bpe,
     "op9_packing": op9_packing,

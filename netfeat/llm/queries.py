@@ -10,7 +10,8 @@ from pathlib import Path
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
-from netfeat.llm import bpe, quality, secrets, toxicity
+from netfeat.llm import backoff, bpe, quality, secrets, toxicity
+from netfeat.llm.caps import near_embeddings
 from netfeat.llm.divergence import quality_rules
 from netfeat.llm.ngram_join import ngram_join
 from netfeat.llm.packing import packed
@@ -70,10 +71,18 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_embeddings(_table(spark, sf_dir, "embeddings"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(_table(spark, sf_dir, "documents"), f"{VOCABULARY_DIR}/word_bpe_49k.json")
 
 
+def op10_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff.scores(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_divergence": op2_divergence,
@@ -81,7 +90,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_secrets": op5_secrets,
     "op6_toxicity": op6_toxicity,
     "op7_bpe": op7_bpe,
+    "op8_caps": op8_caps,
     "op9_packing": op9_packing,
+    "op10_backoff": op10_backoff,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -14,50 +14,54 @@ from netfeat.llm.common import Workspace
 from netfeat.llm.components import components
 
 COSINE = 0.93
-#: The code: a filter direction is one of 32 unit vectors in each of four subspaces, 1,048,576 in all.
-SUBSPACES = 4
-WORDS = 32
+#: Independent codes, and the words of each half of a code: CODES * WORDS ** 2 filter directions in all.
+CODES = 8
+WORDS = 256
 #: Mean number of filters that a random direction exceeds; sets the caps' height.
-FILTERS = 32
+FILTERS = 56
 BLOCK = 256
 PACK = 4000
 
 
 class Code:
-    """Directions for vectors of one dimension, the same on every worker."""
+    """Directions for vectors of one dimension, the same on every worker.
+
+    A code rotates the space at random and halves it; each half has ``WORDS`` random unit vectors, and each pair of
+    them is a filter direction. Several codes even out how many filters a vector exceeds."""
 
     def __init__(self, dim: int):
         rng = np.random.default_rng([20, dim])
-        self.dim, self.size = dim, -(-dim // SUBSPACES) * SUBSPACES
-        self.rotation = np.linalg.qr(rng.standard_normal((self.size, self.size)))[0]
-        books = rng.standard_normal((SUBSPACES, WORDS, self.size // SUBSPACES))
-        self.books = books / np.linalg.norm(books, axis=2, keepdims=True)
-        sample = rng.standard_normal((200, dim))
-        halves = [self._halves(v) for v in sample / np.linalg.norm(sample, axis=1, keepdims=True)]
+        self.dim, self.half = dim, -(-dim // 2)
+        self.rotations = [np.linalg.qr(rng.standard_normal((2 * self.half, 2 * self.half)))[0][:, :dim] for _ in range(CODES)]
+        books = rng.standard_normal((CODES, 2, WORDS, self.half))
+        self.books = books / np.linalg.norm(books, axis=3, keepdims=True)
+        sample = rng.standard_normal((400, dim))
+        sample /= np.linalg.norm(sample, axis=1, keepdims=True)
+        halves = [(a[i], np.sort(b[i])) for r in range(min(2, CODES)) for a, b in [self._halves(sample, r)] for i in range(len(sample))]
         lo, hi = 0.0, 2.0
-        for _ in range(40):
+        for _ in range(30):
             self.height = (lo + hi) / 2
-            mean = np.mean([self._count(a, np.sort(b)) for a, b in halves])
+            mean = np.mean([(WORDS - np.searchsorted(b, self.height - a)).sum() for a, b in halves]) * CODES
             lo, hi = (self.height, hi) if mean > FILTERS else (lo, self.height)
 
-    def _halves(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Inner products with all pairs of words of the first and of the last two subspaces."""
-        rotated = self.rotation[:, : self.dim] @ v
-        parts = np.einsum("swk,sk->sw", self.books, rotated.reshape(SUBSPACES, -1))
-        return (parts[0][:, None] + parts[1]).ravel(), (parts[2][:, None] + parts[3]).ravel()
+    def _halves(self, units: np.ndarray, r: int) -> tuple[np.ndarray, np.ndarray]:
+        rotated = units @ self.rotations[r].T
+        return rotated[:, : self.half] @ self.books[r, 0].T, rotated[:, self.half :] @ self.books[r, 1].T
 
-    def _count(self, a: np.ndarray, b: np.ndarray) -> int:
-        return int((len(b) - np.searchsorted(b, self.height - a)).sum())
+    def decode(self, units: np.ndarray) -> list[np.ndarray]:
+        """For each unit vector all filters whose direction it exceeds by the height, sorted.
 
-    def decode(self, v: np.ndarray) -> np.ndarray:
-        """All filters whose direction the unit vector exceeds by the height: the list decoding joins the
-        sorted sums of the two halves instead of trying every direction."""
-        a, b = self._halves(v)
-        order = np.argsort(b)
-        first = np.searchsorted(b[order], self.height - a)
-        some = np.flatnonzero(first < len(b))
-        found = [x * len(b) + order[f:] for x, f in zip(some.tolist(), first[some].tolist())]
-        return np.sort(np.concatenate(found)) if found else np.zeros(0, np.int64)
+        The list decoding joins the two halves' sums: a word of the first half goes only with the words of the
+        second that reach the height with it, which stand together in the sorted order."""
+        found: list[list[np.ndarray]] = [[] for _ in units]
+        for r in range(CODES):
+            first, second = self._halves(units, r)
+            for k, (a, b) in enumerate(zip(first, second)):
+                some = np.flatnonzero(a >= self.height - b.max())
+                order = np.argsort(-b)[: int((b >= self.height - a.max()).sum())]
+                reach = np.searchsorted(-b[order], a[some] - self.height, side="right")
+                found[k].extend((r * WORDS + x) * WORDS + order[:n] for x, n in zip(some.tolist(), reach.tolist()) if n)
+        return [np.sort(np.concatenate(f)) if f else np.zeros(0, np.int64) for f in found]
 
 
 @lru_cache(maxsize=16)
@@ -74,7 +78,11 @@ def _units(vectors) -> np.ndarray:
 def _filters(batches):
     for batch in batches:
         rows = batch.column("embedding").to_pylist()
-        filters = [code(len(v)).decode(_units([v])[0]) for v in rows]
+        filters: list = [None] * len(rows)
+        for dim in {len(v) for v in rows}:
+            at = [k for k, v in enumerate(rows) if len(v) == dim]
+            for k, f in zip(at, code(dim).decode(_units([rows[k] for k in at]))):
+                filters[k] = f
         yield pa.RecordBatch.from_arrays(
             [batch.column("item"), batch.column("label"), pa.array([len(v) for v in rows], pa.int32()),
              pa.array(filters, pa.list_(pa.int32()))],

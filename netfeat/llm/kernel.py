@@ -66,12 +66,14 @@ def _long_word(a: np.ndarray) -> np.uint64:
     return h
 
 
-def words(texts: list[str], separators: np.ndarray = BLANKS) -> Words:
+def words(texts: list[str], separators: np.ndarray = BLANKS, fold: bool = False) -> Words:
+    """``fold`` lowers the case of ASCII letters, which moves no offset."""
     with np.errstate(over="ignore"):
         encoded = [t.encode("utf-8", "surrogatepass") for t in texts]
         offset = np.zeros(len(texts) + 1, np.int64)
         np.cumsum([len(e) + 1 for e in encoded], out=offset[1:])
-        a = np.frombuffer(b"\n".join([*encoded, b""]), np.uint8)
+        joined = b"\n".join([*encoded, b""])
+        a = np.frombuffer(joined.lower() if fold else joined, np.uint8)
         del encoded
         up, down = _tables()
         hashes, starts, ends = [], [], []

@@ -15,6 +15,7 @@ from netfeat.llm.caps import near_embeddings
 from netfeat.llm.divergence import quality_rules
 from netfeat.llm.ngram_join import ngram_join
 from netfeat.llm.packing import packed
+from netfeat.llm.paragraphs import deduplicated
 
 #: Where the public vocabularies lie; a parameter of the operators that use them.
 VOCABULARY_DIR = os.environ.get("NETFEAT_VOCABULARIES", "/opt/tokenizers")
@@ -54,6 +55,10 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "copy_id")
 
 
+def op4_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deduplicated(_table(spark, sf_dir, "documents")).drop("row")
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.secret_spans(_table(spark, sf_dir, "documents")))
 
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_divergence": op2_divergence,
     "op3_ngram_join": op3_ngram_join,
+    "op4_paragraphs": op4_paragraphs,
     "op5_secrets": op5_secrets,
     "op6_toxicity": op6_toxicity,
     "op7_bpe": op7_bpe,

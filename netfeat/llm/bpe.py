@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from netfeat.llm.common import Memo, map_texts
 
-_MEMO = 400_000
+_MEMO = 600_000
 _LONGEST = 48
 _SHIFT = 8  # a bitmap's node has 2 ** 8 bits
 _MASK = (1 << _SHIFT) - 1

@@ -56,7 +56,7 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return deduplicated(_table(spark, sf_dir, "documents")).drop("row")
+    return deduplicated(_table(spark, sf_dir, "documents"))
 
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,12 +10,13 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netfeat.llm import kernel
-from netfeat.llm.common import Memo, map_texts
+from netfeat.llm.common import Memo, map_texts, slices
 from netfeat.llm.training import held_out, sample
 
 #: Bounds of the training sample: documents of each class, words of each document.
@@ -207,3 +208,16 @@ def toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
         "doc_id long, score double, predicted int",
     )
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not toxic, in one pass; nulls and rows without text are not toxic
+    unless the model says so of an empty text."""
+
+    def run(batches):
+        for batch in batches:
+            texts = [t or "" for t in batch.column(text_col).to_pylist()]
+            clean = [_scorer(model).scores(texts[lo:hi]) < TOXIC_FROM for lo, hi in slices(texts)]
+            yield batch.filter(pa.array(np.concatenate(clean))) if clean else batch
+
+    return docs.mapInArrow(run, docs.schema)

@@ -71,9 +71,10 @@ from netfeat.sources.tpch import (
 )
 
 try:
+    import corpus_pipeline
     from netfeat.llm import queries as _llm
-except ModuleNotFoundError as e:
-    if e.name != "netfeat.llm":
+except ModuleNotFoundError as e:  # the training-data part may be left out
+    if e.name not in ("corpus_pipeline", "netfeat.llm"):
         raise
     _llm = None
 
@@ -374,7 +375,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {**QUERIES, **(_llm.QUERIES if _llm else {})}
+    return {**QUERIES, **({**_llm.QUERIES, "pipeline": corpus_pipeline.run} if _llm else {})}
 
 
 # ---------------------------------------------------------------------------

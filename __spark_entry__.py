@@ -17,7 +17,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 import sys
-import tempfile
+import uuid
 from collections.abc import Callable
 
 # the package lives next to this file; make it importable however this file is loaded
@@ -48,6 +48,7 @@ from netfeat.operators.labels import label_propagation
 from netfeat.operators.neighbors import edge_risk, high_risk_nodes, neighbor_counts, vertex_risk
 from netfeat.operators.pagerank import pagerank
 from netfeat.operators.risk import add_country_flag, add_prefix_flag, add_risk_flags, risk_countries
+from netfeat.operators.skew import SkewConfig
 from netfeat.operators.snapshots import assign_snapshots, in_date_range, snapshot_table, vintages
 from netfeat.operators.wire import exclude_codes, select_wire, wire_parties
 from netfeat.plans.features import (
@@ -82,6 +83,15 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 KEYS = list(SNAPSHOT_KEYS)
 HORIZON_START = dt.date(1997, 6, 30)
 RUN_WINDOWS = (6, 12)
+# vintages for the batched run: one before and one after its horizon, month ends, 29 February
+BATCH_VINTAGES = (
+    dt.date(1996, 1, 31), dt.date(1996, 2, 29), dt.date(1996, 5, 31), dt.date(1996, 8, 30), dt.date(1998, 6, 30),
+)
+BATCH_START, BATCH_MONTHS, BATCH_WINDOWS = dt.date(1996, 2, 15), 12, (1, 6)
+BATCH_END = dt.date(1997, 2, 15)
+# outside the horizon of run_features
+OUTSIDE_VINTAGES = (dt.date(1995, 1, 31), dt.date(1999, 12, 31))
+LIMIT = 200
 RANGE_START = dt.date(1997, 6, 30)
 
 
@@ -91,11 +101,11 @@ RANGE_START = dt.date(1997, 6, 30)
 
 
 def _ready(spark: SparkSession) -> None:
-    """The algorithms cut lineage in the shared checkpoint folder; a local
-    session without one gets a scratch folder (tests and smoke runs only)."""
+    """The algorithms cut lineage in the shared checkpoint folder; a session
+    without one gets a folder in its warehouse, which is shared as well."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir() and not spark.conf.get("spark.checkpoint.dir", None):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="netfeat-ckpt-"))
+        sc.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_netfeat_checkpoints")
 
 
 def _trxn(spark: SparkSession, sf_dir: str, distinct: bool = False) -> DataFrame:
@@ -153,7 +163,7 @@ def q_risk_flags(spark, sf_dir):
 
 
 def q_vintage_horizon(spark, sf_dir):
-    return vintages(_drivers(spark, sf_dir), HORIZON_START, 24)
+    return vintages(read_driver(spark, tpch_drivers(spark, sf_dir, BATCH_VINTAGES)), BATCH_START, BATCH_MONTHS)
 
 
 def q_date_range(spark, sf_dir):
@@ -240,17 +250,62 @@ def q_network_features(spark, sf_dir):
 
 
 def q_run_features(spark, sf_dir):
-    """The whole job (F4): vintages of the horizon, features for windows 6 and 12,
-    written partitioned by vintage, read back."""
+    """The whole job (F4): vintages of the horizon (and not those outside it), features for
+    windows 6 and 12, written partitioned by vintage, read back."""
     target = _output_dir(spark, "run")
     run(
-        spark, tpch_drivers(spark, sf_dir), tpch_transactions(spark, sf_dir), target,
+        spark, tpch_drivers(spark, sf_dir, TEST_VINTAGES + OUTSIDE_VINTAGES), tpch_transactions(spark, sf_dir), target,
         start=HORIZON_START, months=24, windows=RUN_WINDOWS,
     )
     out = read_features(spark, target)
     return _round(out, [f"pagerank_centrality_{w}m" for w in RUN_WINDOWS])
 
 
+def q_run_batched(spark, sf_dir):
+    """The whole job with two vintages a batch, three batches' worth of drivers of which two lie
+    outside the horizon."""
+    target = _output_dir(spark, "batched")
+    run(
+        spark, tpch_drivers(spark, sf_dir, BATCH_VINTAGES), tpch_transactions(spark, sf_dir), target,
+        start=BATCH_START, months=BATCH_MONTHS, windows=BATCH_WINDOWS, vintages_per_batch=2,
+    )
+    out = read_features(spark, target)
+    return _round(out, [f"pagerank_centrality_{w}m" for w in BATCH_WINDOWS])
+
+
+def _new_window(spark, sf_dir, mode):
+    """Sources and target as catalog tables: a run with window 6, then one with windows 6 and 12
+    into the same table."""
+    _ready(spark)
+    tag = uuid.uuid4().hex[:12]
+    drivers, trxn, target = (f"netfeat_{kind}_{tag}" for kind in ("drivers", "trxn", "features"))
+    tpch_drivers(spark, sf_dir).write.saveAsTable(drivers)
+    tpch_transactions(spark, sf_dir).write.saveAsTable(trxn)
+    for windows in (RUN_WINDOWS[:1], RUN_WINDOWS):
+        run(spark, drivers, trxn, target, start=HORIZON_START, months=24, windows=windows, mode=mode)
+    out = read_features(spark, target)
+    return _round(out, [f"pagerank_centrality_{w}m" for w in RUN_WINDOWS])
+
+
+def q_write_new_window(spark, sf_dir):
+    """The second run replaces the vintages, with the new window's columns."""
+    return _new_window(spark, sf_dir, "overwrite_partitions")
+
+
+def q_append_new_window(spark, sf_dir):
+    """The second run adds rows; the first run's rows are null in the new window's columns."""
+    return _new_window(spark, sf_dir, "append")
+
+
+def q_network_features_hot(spark, sf_dir):
+    """The flagship with a threshold so low that thousands of vertices count as hot."""
+    _ready(spark)
+    out = network_features(
+        _drivers(spark, sf_dir), _trxn(spark, sf_dir), RUN_WINDOWS, skew=SkewConfig(threshold=20)
+    )
+    return _round(out, [f"pagerank_centrality_{w}m" for w in RUN_WINDOWS])
+
+
 def q_country_risk(spark, sf_dir):
     """Every country code seen on either side, with its mentions and list membership."""
     t = _trxn(spark, sf_dir, distinct=True)
@@ -271,6 +326,21 @@ def q_graph_stats(spark, sf_dir):
     return _done(g, graph_stats(g, comp, labels))
 
 
+def q_trxn_limit(spark, sf_dir):
+    t = read_transactions(spark, tpch_transactions(spark, sf_dir), distinct=True, limit=LIMIT)
+    return t.select(
+        "TRXN_REF_ID", "EXT_ENTITYID", "COUNTER_PARTY_ENTITYID", "POSTING_DATE",
+        F.array_join("combinedCountryCodes", ",").alias("entity_countries"),
+    )
+
+
+def q_neighbor_features_hrg(spark, sf_dir):
+    """Neighbour counts at the combined level: both country lists."""
+    _ready(spark)
+    sg = prepare(_sliced(spark, sf_dir), KEYS, level="hrg")
+    return _done(sg.graph, cut_lineage(neighbor_features(sg, level="hrg")))
+
+
 def q_ordered_limit(spark, sf_dir):
     return read_driver(spark, tpch_drivers(spark, sf_dir), limit=100)
 
@@ -305,12 +375,7 @@ def _output_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder next to the checkpoints (shared storage on a cluster)."""
     _ready(spark)
     base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir")
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    if "://" not in base:
-        os.makedirs(base, exist_ok=True)
-        return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
-    return f"{base.rstrip('/')}/{name}-{os.getpid()}-{dt.datetime.now().strftime('%Y%m%d%H%M%S%f')}"
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def q_write_append(spark, sf_dir):
@@ -332,6 +397,12 @@ def q_write_overwrite_partitions(spark, sf_dir):
     return read_features(spark, target).select(*KEYS, "EXT_ENTITYID", "vhrg_neighbor_ct")
 
 
+def q_write_unpartitioned(spark, sf_dir):
+    target = _output_dir(spark, "plain")
+    write_features(q_neighbor_features(spark, sf_dir), target, mode="overwrite", partition_col=None)
+    return read_features(spark, target).select(*KEYS, "EXT_ENTITYID", "vhrg_neighbor_ct")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "driver_scan": q_driver_scan,
     "trxn_clean": q_trxn_clean,
@@ -366,6 +437,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "write_append": q_write_append,
     "write_overwrite_partitions": q_write_overwrite_partitions,
     "run_features": q_run_features,
+    "run_batched": q_run_batched,
+    "write_new_window": q_write_new_window,
+    "append_new_window": q_append_new_window,
+    "write_unpartitioned": q_write_unpartitioned,
+    "network_features_hot": q_network_features_hot,
+    "neighbor_features_hrg": q_neighbor_features_hrg,
+    "trxn_limit": q_trxn_limit,
 }
 
 
@@ -399,9 +477,9 @@ K = "VINTAGE_DT, window_m"
 SENT = _in(SENTINEL_IDS)
 
 
-def _base_ctes(windows=TEST_WINDOWS) -> list[str]:
+def _base_ctes(windows=TEST_WINDOWS, vintage_list=TEST_VINTAGES) -> list[str]:
     iso = ", ".join(f"({i}, '{c}')" for i, c in enumerate(NATION_ISO3))
-    vint = ", ".join(f"(DATE '{v.isoformat()}')" for v in TEST_VINTAGES)
+    vint = ", ".join(f"(DATE '{v.isoformat()}')" for v in vintage_list)
     wins = ", ".join(f"({w})" for w in windows)
     hrg, vhrg = _list(risk_countries("hrg")), _list(risk_countries("vhrg"))
     return [
@@ -626,6 +704,11 @@ def _wide_ctes(windows=TEST_WINDOWS) -> list[str]:
     ]
 
 
+_CENTRALITY_TYPES = tuple(
+    (c, "BIGINT" if c in ("degree_centrality", "community_size", "network_size") else "DOUBLE") for c in CENTRALITY_COLUMNS
+)
+
+
 def _wide_select(windows=TEST_WINDOWS) -> str:
     metrics = [*CENTRALITY_COLUMNS, "vhrg_neighbor_ct"]
     cols = ", ".join(f"w.{c}_{wn}m" for wn in windows for c in metrics)
@@ -696,7 +779,36 @@ def _oracles() -> dict[str, str]:
     prefix_test = " OR ".join(f"coalesce(starts_with(ORIG_REMITTER_ACCT_ID, '{p}'), false)" for p in RISKY_ACCOUNT_PREFIXES)
     strip_cols = ", ".join(f"replace({c}, '{ACCOUNT_PREFIX}', '') AS {c}" if c in _WIRE_FIXTURE_COLUMNS else f"CAST(NULL AS VARCHAR) AS {c}" for c in ACCOUNT_ID_COLUMNS)
     lp_all = _pagerank_ctes() + _label_ctes() + _community_ctes() + _component_ctes()
+    batch_dates = ", ".join(f"(DATE '{v.isoformat()}')" for v in BATCH_VINTAGES)
+    wide_tail = lp_all + _centrality_ctes() + _neighbor_ctes()  # noqa: E501
+    run_windows = _with(_base_ctes(RUN_WINDOWS) + wide_tail + _wide_ctes(RUN_WINDOWS), _wide_select(RUN_WINDOWS), recursive=True)
+    old = [f"CAST(NULL AS {t}) AS {c}_{RUN_WINDOWS[1]}m" for c, t in (*_CENTRALITY_TYPES, ("vhrg_neighbor_ct", "BIGINT"))]
+    first_window = _wide_select(RUN_WINDOWS[:1]).replace("\nFROM (SELECT DISTINCT", f", {', '.join(old)}\nFROM (SELECT DISTINCT", 1)
     return {
+        "run_batched": _with(
+            _base_ctes(BATCH_WINDOWS, [v for v in BATCH_VINTAGES if BATCH_START <= v <= BATCH_END])
+            + wide_tail + _wide_ctes(BATCH_WINDOWS),
+            _wide_select(BATCH_WINDOWS),
+            recursive=True,
+        ),
+        "write_new_window": run_windows,
+        "append_new_window": _with(
+            _base_ctes(RUN_WINDOWS) + wide_tail + _wide_ctes(RUN_WINDOWS),
+            f"{_wide_select(RUN_WINDOWS)} UNION ALL BY NAME {first_window}",
+            recursive=True,
+        ),
+        "write_unpartitioned": _graph_sql(_neighbor_ctes(), f"SELECT {K}, EXT_ENTITYID, vhrg_neighbor_ct FROM nf"),
+        "network_features_hot": run_windows,
+        "neighbor_features_hrg": _graph_sql(
+            _neighbor_ctes("hrg"), f"SELECT {K}, EXT_ENTITYID, vhrg_neighbor_ct AS hrg_neighbor_ct FROM nf"
+        ),
+        "trxn_limit": _graph_sql(
+            [f"""lim AS (
+  SELECT * FROM t0 ORDER BY TRXN_REF_ID NULLS FIRST, EXT_ENTITYID NULLS FIRST, COUNTER_PARTY_ENTITYID NULLS FIRST,
+    POSTING_DATE NULLS FIRST, ext_country NULLS FIRST, cp_country NULLS FIRST LIMIT {LIMIT})"""],
+            "SELECT TRXN_REF_ID, EXT_ENTITYID, coalesce(COUNTER_PARTY_ENTITYID, 'NaN') AS COUNTER_PARTY_ENTITYID, "
+            "POSTING_DATE, ext_country AS entity_countries FROM lim WHERE EXT_ENTITYID IS NOT NULL",
+        ),
         "driver_scan": _graph_sql([], f"SELECT DISTINCT EXT_ENTITYID, VINTAGE_DT FROM drv WHERE VINTAGE_DT = DATE '{v0}'"),
         "trxn_clean": _graph_sql(
             [],
@@ -718,8 +830,9 @@ GROUP BY country""",
         ),
         "vintage_horizon": _graph_sql(
             [],
-            f"SELECT DISTINCT VINTAGE_DT FROM drv WHERE VINTAGE_DT BETWEEN DATE '{HORIZON_START.isoformat()}' "
-            f"AND CAST(DATE '{HORIZON_START.isoformat()}' + INTERVAL 24 MONTH AS DATE)",
+            f"SELECT DISTINCT VINTAGE_DT FROM (VALUES {batch_dates}) x(VINTAGE_DT), customer "
+            f"WHERE VINTAGE_DT BETWEEN DATE '{BATCH_START.isoformat()}' "
+            f"AND CAST(DATE '{BATCH_START.isoformat()}' + INTERVAL {BATCH_MONTHS} MONTH AS DATE)",
         ),
         "date_range": _graph_sql(
             [],

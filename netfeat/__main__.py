@@ -31,7 +31,6 @@ def parse(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--mode", default="overwrite_partitions", choices=["overwrite_partitions", "append"])
     p.add_argument("--vintages-per-batch", type=int, default=None)
     p.add_argument("--hot-threshold", type=int, default=SkewConfig.threshold)
-    p.add_argument("--hot-max-rows", type=int, default=SkewConfig.max_rows)
     return p.parse_args(argv)
 
 
@@ -49,7 +48,7 @@ def main(argv: list[str] | None = None) -> list:
         level=a.level,
         mode=a.mode,
         vintages_per_batch=a.vintages_per_batch,
-        skew=SkewConfig(a.hot_threshold, a.hot_max_rows),
+        skew=SkewConfig(a.hot_threshold),
     )
     print(f"netfeat: wrote {len(done)} vintage(s) to {a.target}: {', '.join(map(str, done))}")
     return done

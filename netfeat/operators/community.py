@@ -17,25 +17,20 @@ from netfeat.operators.graph import Graph
 from netfeat.operators.skew import SkewConfig, hot_keys, salted_join
 
 
-def labelled_edges(graph: Graph, labels: DataFrame) -> DataFrame:
-    """(*keys, src, dst, src_community, dst_community).
-
-    Every vertex has a label, so the source side reads the source-bucketed
-    edge copy in place (``Graph.gather``); only the destination look-up
-    shuffles the edges (salted for hubs).
-    """
-    e = graph.gather("src", labels.withColumnRenamed("label", "src_community"))
-    return graph.join_endpoint(e, "dst", labels.withColumnRenamed("label", "dst_community"), "left")
-
-
 def community_metrics(graph: Graph, labels: DataFrame) -> DataFrame:
     """(*keys, label, community_size, edge_count, community_density, community_avg_degree)."""
     k = graph.key_list
+    # edges per (destination, label of the source): summed before the shuffle, so a hub is its
+    # distinct neighbour labels; only those that meet the destination's own label survive the join
+    arriving = (
+        graph.gather("src", labels)
+        .groupBy(*k, F.col("dst").alias("id"), "label")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
     intra = (
-        labelled_edges(graph, labels)
-        .where(F.col("src_community") == F.col("dst_community"))
-        .groupBy(*k, F.col("src_community").alias("label"))
-        .agg(F.count(F.lit(1)).alias("edge_count"))
+        arriving.join(labels.select(*k, "id", "label"), [*k, "id", "label"])
+        .groupBy(*k, "label")
+        .agg(F.sum("n").alias("edge_count"))
     )
     size = labels.groupBy(*k, "label").agg(F.count(F.lit(1)).alias("community_size"))
     n = F.col("community_size")

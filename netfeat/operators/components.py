@@ -18,8 +18,7 @@ centre of a giant component ends with one edge per member), so both
 look-ups of m(u) are salted on hot centres, found each round from the same
 aggregation that computes m(u).
 
-Convergence: the edge set is unchanged, tested by (count, xor of 64-bit
-hashes, sum of 31-bit hashes) in one aggregation. The edge set is written to the
+Convergence: the edge set is unchanged, tested exactly (equal size and no new edge). The edge set is written to the
 checkpoint folder every ``checkpoint_interval`` rounds and persisted in
 between.
 """
@@ -35,18 +34,6 @@ from netfeat.operators.skew import SkewConfig, hot_keys, salted_join
 from netfeat.session import cut_lineage
 
 MAX_ROUNDS = 1_000
-LAST_ROUNDS = [0]  # rounds of the last run, for diagnostics
-
-
-def _signature(edges: DataFrame, k: list[str]) -> tuple:
-    cols = [*k, "a", "b"]
-    # xor of 64-bit hashes and a sum of 31-bit hashes: neither can overflow
-    row = edges.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.bit_xor(F.xxhash64(*cols)).alias("h1"),
-        F.sum(F.pmod(F.hash(*cols).cast("long"), F.lit(2147483647))).alias("h2"),
-    ).first()
-    return (row["n"], row["h1"], row["h2"])
 
 
 def _lookup_min(
@@ -119,26 +106,26 @@ def _min_label_rounds(graph: Graph, rounds: int) -> DataFrame:
 def _star_rounds(edges: DataFrame, k: list[str], skew: SkewConfig, checkpoint_interval: int, max_rounds: int) -> DataFrame:
     """Alternate large-star and small-star on canonical edges (a < b) until the
     edge set is unchanged; returns the final stars (centre a, member b)."""
-    sig = _signature(edges, k)
+    size = edges.count()
     previous: DataFrame | None = None  # persisted (not checkpointed) edge set of the last round
     for rnd in range(1, max_rounds + 1):
-        # each star step emits at most one edge per input edge, so sig[0] bounds every count
-        large, m1 = _large_star(edges, k, skew, sig[0])
+        # each star step emits at most one edge per input edge, so the size bounds every count
+        large, m1 = _large_star(edges, k, skew, size)
         large = large.persist(StorageLevel.MEMORY_AND_DISK)
-        small, m2 = _small_star(large, k, skew, sig[0])
+        small, m2 = _small_star(large, k, skew, size)
         if rnd % max(1, checkpoint_interval) == 0:
             nxt, kept = cut_lineage(small), None
         else:
             nxt = kept = small.persist(StorageLevel.MEMORY_AND_DISK)
-        new_sig = _signature(nxt, k)
-        LAST_ROUNDS[0] = rnd
+        # both are sets, so an equal size and no new edge mean the same set
+        before, size = size, nxt.count()
+        done = size == before and nxt.join(edges, [*k, "a", "b"], "left_anti").isEmpty()
         for f in (m1, large, m2, previous):
             if f is not None:
                 f.unpersist()
         previous, edges = kept, nxt
-        if new_sig == sig:
+        if done:
             break
-        sig = new_sig
     else:
         raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
     if previous is None:

@@ -11,7 +11,6 @@ from __future__ import annotations
 import math
 import threading
 import uuid
-import warnings
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
@@ -20,7 +19,7 @@ from pyspark.sql import functions as F
 
 from netfeat.constants import COUNTERPARTY, ENTITY, SENTINEL_IDS
 from netfeat.functions import valid_id
-from netfeat.operators.skew import DEFAULT_SKEW, SkewConfig, hot_keys, salted_join
+from netfeat.operators.skew import DEFAULT_SKEW, N_SALT, SkewConfig, hot_keys, salted_join
 from netfeat.session import checkpoint_dir, cut_lineage, delete_path, in_parallel
 
 # Edge rows per partition of the endpoint-partitioned edge copies.
@@ -67,7 +66,7 @@ class Graph:
         bound = 2 * self.sizes()[1]  # a degree never exceeds twice the edge rows
         with self._lock:
             if not self._hot_done:
-                self._hot = hot_keys(degrees(self), [*self.keys, "id"], "degree", self.skew, bound)
+                self._hot = hot_keys(degrees(self), [*self.keys, "id"], "degree", self.skew, bound, self._paths)
                 self._hot_done = True
             return self._hot
 
@@ -98,32 +97,30 @@ class Graph:
             if endpoint not in self._by_endpoint:
                 spark = self.edges.sparkSession
                 k = self.key_list
+                # beyond Spark's limit the buckets grow instead
+                most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
                 n = max(spark.sparkContext.defaultParallelism, math.ceil(self.sizes()[1] / EDGES_PER_PARTITION))
+                n = min(n, most)
                 e = self.edges.select(*k, "src", "dst")
                 hot = self.hot()
                 hot_edges = None
                 if hot is not None:
-                    h = F.broadcast(hot.select(*k, F.col("id").alias(endpoint)))
+                    h = hot.select(*k, F.col("id").alias(endpoint))
                     hot_edges = cut_lineage(e.join(h, [*k, endpoint], "left_semi"))
                     e = e.join(h, [*k, endpoint], "left_anti")
                 name = f"netfeat_edges_by_{endpoint}_{uuid.uuid4().hex[:16]}"
                 path = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
-                try:
-                    (
-                        e.repartition(n, *k, endpoint)  # one file per bucket
-                        .write.bucketBy(n, *k, endpoint)
-                        .mode("error")
-                        .option("path", path)
-                        .saveAsTable(name)
-                    )
-                    with self._lock:
-                        self._tables.append(name)
-                        self._paths.append(path)
-                    cold = spark.table(name)
-                except Exception as err:  # a catalog that refuses tables: same results, edges shuffled per round
-                    warnings.warn(f"bucketed edge copy not written ({err}); using a checkpoint", stacklevel=2)
-                    cold = cut_lineage(e)
-                self._by_endpoint[endpoint] = (cold, hot_edges)
+                with self._lock:  # before the write, so that a failed one is cleaned up too
+                    self._tables.append(name)
+                    self._paths.append(path)
+                (
+                    e.repartition(n, *k, endpoint)  # one file per bucket
+                    .write.bucketBy(n, *k, endpoint)
+                    .mode("error")
+                    .option("path", path)
+                    .saveAsTable(name)
+                )
+                self._by_endpoint[endpoint] = (spark.table(name), hot_edges)
             return self._by_endpoint[endpoint]
 
     def release(self, delete_files: bool = False) -> None:
@@ -146,8 +143,7 @@ class Graph:
 
         The edge copy of :meth:`by_endpoint` is bucketed on the join key, so
         only the (vertex-sized) state is shuffled to meet it, in every round.
-        Edges of hot vertices meet the state of those vertices by broadcast:
-        that state has at most ``SkewConfig.max_rows`` rows.
+        Edges of hot vertices meet the state of those vertices in a salted join.
         """
         k = self.key_list
         on = [*k, endpoint]
@@ -155,9 +151,10 @@ class Graph:
         s = state.withColumnRenamed("id", endpoint)
         out = cold.join(s, on)
         if hot_edges is not None:
-            h = F.broadcast(self.hot().select(*k, F.col("id").alias(endpoint)))
-            s_hot = s.join(h, on, "left_semi")
-            out = out.unionByName(hot_edges.join(F.broadcast(s_hot), on))
+            hot = self.hot().withColumnRenamed("id", endpoint)
+            s_hot = s.join(hot.drop(N_SALT), on, "left_semi")
+            other = "dst" if endpoint == "src" else "src"
+            out = out.unionByName(salted_join(hot_edges, s_hot, on, hot, F.col(other)))
         return out
 
     def materialize(self) -> Graph:
@@ -237,11 +234,12 @@ def graph_stats(
         F.coalesce(F.sum("is_isolated"), F.lit(0)).cast("long").alias("n_isolated"),
     ]
     if components is not None:
-        parts.append(components.select(*k, "component"))
-        aggs.append(F.countDistinct("component").alias("n_components"))
+        # a component is named by its own smallest member
+        parts.append(components.where(F.col("id") == F.col("component")).select(*k, F.lit(1).alias("is_component")))
+        aggs.append(F.coalesce(F.sum("is_component"), F.lit(0)).cast("long").alias("n_components"))
     if labels is not None:
-        parts.append(labels.select(*k, "label"))
-        aggs.append(F.countDistinct("label").alias("n_communities"))
+        parts.append(labels.select(*k, "label").distinct().select(*k, F.lit(1).alias("is_community")))
+        aggs.append(F.coalesce(F.sum("is_community"), F.lit(0)).cast("long").alias("n_communities"))
     facts = parts[0]
     for p in parts[1:]:
         facts = facts.unionByName(p, allowMissingColumns=True)

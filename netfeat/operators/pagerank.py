@@ -7,7 +7,7 @@ up to the number of vertices (isolated ones included).
 
 Per round: the rank share of each source meets its out-edges, which are
 partitioned by source once for the whole run (only the vertex-sized shares
-move; hub sources meet theirs by a bounded broadcast), contributions are
+move; hub sources meet theirs in a salted join), contributions are
 summed per destination with map-side partial sums, and the new ranks are
 written to the checkpoint folder.
 """
@@ -56,8 +56,7 @@ def normalise(ranks: DataFrame, keys: list[str]) -> DataFrame:
     """Scale ranks so that they add up to the vertex count of their snapshot."""
     totals = ranks.groupBy(*keys).agg(F.sum("rank").alias("_sum"), F.count(F.lit(1)).alias("_n"))
     if keys:
-        # one row per snapshot; the snapshot table was size-checked when assigned
-        scaled = ranks.join(F.broadcast(totals), keys)
+        scaled = ranks.join(totals, keys)  # one row per snapshot
     else:
         row = totals.first()
         scaled = ranks.withColumns({"_sum": F.lit(row["_sum"] if row else 1.0), "_n": F.lit(row["_n"] if row else 0)})

@@ -9,20 +9,21 @@ their rows are salted: the large side spreads a hot key over ``n`` salt
 values by a hash of another column, the attribute side is copied ``n``
 times. Cold keys join as usual with salt 0.
 
-The hot-key table is built on the driver from collected rows, so its size is
-bounded before it is broadcast: at most ``max_rows`` rows, and the
-threshold is raised (to total / max_rows) when more keys than that are hot.
+The hot-key table is a small table in the checkpoint folder: every key above
+the threshold is in it, however many there are, and none comes to the driver. It carries no
+broadcast hint; from its real size Spark picks the join.
 """
 
 from __future__ import annotations
 
-import math
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+
+from netfeat.session import checkpoint_dir
 
 SALT = "_salt"
 N_SALT = "_n_salt"
@@ -30,15 +31,10 @@ N_SALT = "_n_salt"
 
 @dataclass(frozen=True)
 class SkewConfig:
-    """When is a key hot, and how large may the hot-key table get.
-
-    ``threshold``: rows per key above which the key is salted, and the number
-    of rows each salt bucket receives at most (on average).
-    ``max_rows``: upper bound of the broadcast hot-key table.
-    """
+    """When is a key hot: ``threshold`` rows per key, which is also the number of
+    rows each salt bucket receives at most (on average)."""
 
     threshold: int = 1_000_000
-    max_rows: int = 100_000
 
 
 DEFAULT_SKEW = SkewConfig()
@@ -50,32 +46,30 @@ def hot_keys(
     count_col: str,
     skew: SkewConfig = DEFAULT_SKEW,
     bound: int | None = None,
+    paths: list[str] | None = None,
 ) -> DataFrame | None:
     """Keys whose count exceeds the threshold, with their salt count.
 
-    Returns a small DataFrame ``(*key_cols, _n_salt)`` or None when no key is
+    Returns a table ``(*key_cols, _n_salt)`` of all of them, or None when no key is
     hot. ``counts`` has one row per key. ``bound`` is a known upper bound of
     every count (for example the row count of the counted table); when it is
-    within the threshold no key can be hot and no job is run.
+    within the threshold no key can be hot and no job is run. The table's folder is
+    added to ``paths``, whose owner deletes it.
     """
     keys = list(key_cols)
     threshold = max(1, int(skew.threshold))
     if bound is not None and bound <= threshold:
         return None
-    hot = counts.where(F.col(count_col) > threshold).select(*keys, count_col)
-    rows = hot.limit(skew.max_rows + 1).collect()
-    if len(rows) > skew.max_rows:
-        total = counts.agg(F.sum(count_col)).first()[0] or 0
-        threshold = max(threshold, math.ceil(total / skew.max_rows))
-        # count > total / max_rows holds for at most max_rows keys
-        rows = counts.where(F.col(count_col) > threshold).select(*keys, count_col).collect()
-    if not rows:
-        return None
-    data = [tuple(r[:-1]) + (int(math.ceil(r[-1] / threshold)),) for r in rows]
-    key_fields = [f for f in counts.schema.fields if f.name in keys]
-    key_fields.sort(key=lambda f: keys.index(f.name))
-    schema = StructType(key_fields + [StructField(N_SALT, IntegerType(), False)])
-    return counts.sparkSession.createDataFrame(data, schema)
+    hot = counts.where(F.col(count_col) > threshold).select(
+        *keys, F.ceil(F.col(count_col) / threshold).cast("int").alias(N_SALT)
+    )
+    spark = counts.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/netfeat_hot_{uuid.uuid4().hex[:16]}"
+    hot.write.parquet(path)
+    if paths is not None:
+        paths.append(path)
+    stored = spark.read.schema(hot.schema).parquet(path)
+    return None if stored.isEmpty() else stored
 
 
 def salted_join(
@@ -97,11 +91,10 @@ def salted_join(
     on = list(on)
     if hot is None:
         return big.join(table, on, how)
-    h = F.broadcast(hot)  # bounded by SkewConfig.max_rows
     n = F.coalesce(F.col(N_SALT), F.lit(1)).cast("long")
-    big_s = big.join(h, on, "left").withColumn(SALT, F.pmod(F.xxhash64(spread), n)).drop(N_SALT)
+    big_s = big.join(hot, on, "left").withColumn(SALT, F.pmod(F.xxhash64(spread), n)).drop(N_SALT)
     table_s = (
-        table.join(h, on, "left")
+        table.join(hot, on, "left")
         .withColumn(SALT, F.explode(F.sequence(F.lit(0).cast("long"), n - 1)))
         .drop(N_SALT)
     )

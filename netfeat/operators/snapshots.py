@@ -15,17 +15,11 @@ from dateutil.relativedelta import relativedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netfeat.constants import ENTITY, POSTING, VINTAGE, WINDOW
+from netfeat.constants import POSTING, VINTAGE, WINDOW
 from netfeat.functions import lookback_date, month_index
 
-# Upper bound of the snapshot table, which is broadcast.
-MAX_SNAPSHOTS = 100_000
-
-
-def drivers_at(driver: DataFrame, vintage: dt.date | str) -> DataFrame:
-    """Distinct (entity, vintage) driver keys of one vintage."""
-    v = F.lit(vintage).cast("date")
-    return driver.where(F.col(VINTAGE) == v).select(ENTITY, VINTAGE).distinct()
+# Upper bound of the rows that are broadcast: the months of all snapshots.
+MAX_SNAPSHOT_MONTHS = 1_000_000
 
 
 def vintages(driver: DataFrame, start: dt.date | str, months: int = 24) -> DataFrame:
@@ -79,7 +73,7 @@ def slice_window(trxn: DataFrame, vintage: dt.date | str, months: int) -> DataFr
     return trxn.where((p <= v) & (p > lookback_date(v, months)))
 
 
-def assign_snapshots(trxn: DataFrame, snapshots: DataFrame, max_snapshots: int = MAX_SNAPSHOTS) -> DataFrame:
+def assign_snapshots(trxn: DataFrame, snapshots: DataFrame, max_months: int = MAX_SNAPSHOT_MONTHS) -> DataFrame:
     """Every transaction once per snapshot that contains it, with the snapshot keys.
 
     A range join made an equi-join: each snapshot is expanded to the calendar
@@ -89,10 +83,13 @@ def assign_snapshots(trxn: DataFrame, snapshots: DataFrame, max_snapshots: int =
     as literals, so they reach the file scan as pushed filters.
     """
     stats = snapshots.agg(
-        F.count(F.lit(1)).alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
+        F.count(F.lit(1)).alias("n"),
+        F.min("lo").alias("lo"),
+        F.max("hi").alias("hi"),
+        F.sum(month_index("hi") - month_index("lo") + 1).alias("months"),
     ).first()
-    if stats["n"] > max_snapshots:
-        raise ValueError(f"{stats['n']} snapshots exceed {max_snapshots}; process fewer vintages per batch")
+    if (stats["months"] or 0) > max_months:
+        raise ValueError(f"{stats['months']} snapshot months exceed {max_months}; process fewer vintages per batch")
     p = F.col(POSTING)
     if stats["n"] == 0:
         return trxn.drop(VINTAGE, WINDOW).where(F.lit(False)).withColumns({VINTAGE: F.lit(None).cast("date"), WINDOW: F.lit(None).cast("int")})

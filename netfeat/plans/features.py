@@ -214,29 +214,33 @@ def network_features(
     windows: Iterable[int] = DEFAULT_WINDOWS,
     level: str = "vhrg",
     skew: SkewConfig = DEFAULT_SKEW,
+    graphs: list[SnapshotGraph] | None = None,
 ) -> DataFrame:
     """Driver keys with eight features per look-back window.
 
     ``trxn`` must carry the risk flags (:func:`add_risk_flags`). All
     (vintage, window) graphs are computed in one pass; windows become columns
-    by a fixed-list conditional aggregation (no data-dependent pivot).
+    by a fixed-list conditional aggregation (no data-dependent pivot). The graph is
+    added to ``graphs``; its ``discard`` deletes the intermediate tables once the result is written.
     """
-    return _network_features(driver, trxn, windows, level, skew)[0]
+    return _network_features(driver, trxn, windows, level, skew, [] if graphs is None else graphs)
 
 
-def _network_features(driver, trxn, windows, level, skew) -> tuple[DataFrame, SnapshotGraph]:
+def _network_features(driver, trxn, windows, level, skew, graphs: list[SnapshotGraph]) -> DataFrame:
     windows = list(dict.fromkeys(int(w) for w in windows))  # unique, in the given order
     keys = list(SNAPSHOT_KEYS)
     drivers = driver.select(ENTITY, VINTAGE).distinct()
     snaps = snapshot_table(drivers.select(VINTAGE), windows)
     sg = prepare(assign_snapshots(trxn, snaps), keys, level, skew)
+    graphs.append(sg)
     long = snapshot_features(sg, level)
     metrics = [*CENTRALITY_COLUMNS, neighbor_column(level)]
+    long = long.join(drivers, [ENTITY, VINTAGE], "left_semi")  # before the pivot
     wide = long.groupBy(ENTITY, VINTAGE).agg(
         *[F.max(F.when(F.col(WINDOW) == w, F.col(c))).alias(f"{c}_{w}m") for w in windows for c in metrics]
     )
     out = drivers.join(wide, [ENTITY, VINTAGE], "left").select(ENTITY, VINTAGE, *wide_columns(windows, level))
-    return out, sg
+    return out
 
 
 def run(
@@ -270,7 +274,11 @@ def run(
     step = vintages_per_batch or len(found)
     for i in range(0, len(found), step):
         batch = found[i : i + step]
-        feats, sg = _network_features(driver.where(F.col(VINTAGE).isin(batch)), trxn, windows, level, skew)
-        write_features(feats, target, mode=mode)
-        sg.discard()  # written: the batch's intermediate tables are not read again
+        graphs: list[SnapshotGraph] = []
+        try:
+            feats = _network_features(driver.where(F.col(VINTAGE).isin(batch)), trxn, windows, level, skew, graphs)
+            write_features(feats, target, mode=mode)
+        finally:  # written or failed: the batch's intermediate tables are not read again
+            for sg in graphs:
+                sg.discard()
     return found

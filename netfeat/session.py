@@ -6,6 +6,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -34,10 +35,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
     A reliable checkpoint, never a local one: if an executor is lost, the
     blocks are read back from shared storage instead of being recomputed from
-    the start of an iterative loop. The physical partitioning of ``df`` is kept,
-    so a frame hash-partitioned before the checkpoint joins later without a
-    shuffle. (The eager checkpoint runs two jobs on the same RDD; the second
-    reuses the shuffle output of the first and only repeats the last stage.)
+    the start of an iterative loop. Under adaptive execution the result has no known
+    partitioning, so a later join shuffles it again; what must stay in place is written
+    as a bucketed table instead (``Graph.by_endpoint``).
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
@@ -56,10 +56,18 @@ def in_parallel(*thunks: Callable[[], Any]) -> list[Any]:
     Spark schedules jobs submitted from different threads of one application
     at the same time ("scheduling within an application"), so independent
     iterative algorithms overlap instead of waiting on each other's small
-    stages. Exceptions propagate.
+    stages. The threads inherit the caller's job group, pool and description. When one
+    fails, those that have not begun are cancelled and its exception propagates.
     """
     if len(thunks) <= 1:
         return [t() for t in thunks]
     with ThreadPoolExecutor(max_workers=len(thunks)) as pool:
-        futures = [pool.submit(t) for t in thunks]
-        return [f.result() for f in futures]
+        session = SparkSession.getActiveSession()
+        inherit = inheritable_thread_target(session) if session else inheritable_thread_target
+        futures = [pool.submit(inherit(t)) for t in thunks]
+        try:
+            return [f.result() for f in futures]
+        except BaseException:
+            for f in futures:
+                f.cancel()
+            raise

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from netfeat.constants import VINTAGE
 
@@ -20,22 +21,17 @@ def write_features(
 
     ``append`` adds rows (a re-run duplicates a vintage); ``overwrite_partitions``
     replaces only the partitions present in ``df`` (dynamic partition
-    overwrite), so re-running a vintage is idempotent; on an existing catalog
-    table it inserts with overwrite instead of replacing the table. On paths,
+    overwrite), so re-running a vintage is idempotent. In both modes the schemas
+    merge: an existing catalog table gets the frame's new columns (null in
+    older rows), and columns that the frame lacks are null in its rows. On paths,
     new columns of later runs are read back with ``mergeSchema``.
     """
     if mode not in MODES:
         raise ValueError(f"mode {mode!r} not in {MODES}")
     spark = df.sparkSession
     is_table = "/" not in target
-    if is_table and mode == "overwrite_partitions" and spark.catalog.tableExists(target):
-        # saveAsTable would replace the whole table: insert into it instead, replacing
-        # only the partitions present (insertInto matches columns by position)
-        cols = spark.table(target).columns
-        missing = [c for c in cols if c not in df.columns]
-        if missing:
-            raise ValueError(f"{target} has columns the frame lacks: {missing}")
-        df.select(*cols).write.option("partitionOverwriteMode", "dynamic").insertInto(target, overwrite=True)
+    if is_table and mode in ("append", "overwrite_partitions") and spark.catalog.tableExists(target):
+        _insert(df, target, overwrite=mode == "overwrite_partitions")
         return
     w = df.write.format(fmt)
     if mode == "overwrite_partitions":
@@ -50,6 +46,25 @@ def write_features(
         w.save(target)
 
 
+def _insert(df: DataFrame, table: str, overwrite: bool) -> None:
+    """Insert into an existing table, replacing only the partitions present if ``overwrite``.
+
+    Columns that only the frame has are added to the table first. ``insertInto`` matches by
+    position, so the frame is put in the table's order and types."""
+    spark = df.sparkSession
+    held = spark.table(table)
+    new = [f for f in df.schema.fields if f.name not in held.columns]
+    if new:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+        held = spark.table(table)
+    own = set(df.columns)
+    cols = [
+        (F.col(f.name) if f.name in own else F.lit(None)).cast(f.dataType).alias(f.name) for f in held.schema.fields
+    ]
+    df.select(*cols).write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=overwrite)
+
+
 def read_features(spark, target: str, fmt: str = "parquet") -> DataFrame:
     """Read a feature table back, merging the schemas of its partitions."""
     if "/" in target:

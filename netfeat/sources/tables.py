@@ -96,11 +96,12 @@ def read_transactions(
     """Typed transactions: entity not null, null counterparty as ``NaN``.
 
     ``date_from`` / ``date_to`` bound POSTING_DATE (both included) at the
-    scan. Duplicate rows do not change any feature (vertices, edges,
+    scan. The country columns must exist: without them every risk flag would be 0.
+    ``limit`` keeps the first rows in the order of all columns. Duplicate rows do not change any feature (vertices, edges,
     high-risk sets and entity sets are all distinct), so ``distinct`` is off
     by default: it would cost a full shuffle of the transaction table.
     """
-    df = conform(load(spark, source), TRANSACTION_SCHEMA, [ENTITY, COUNTERPARTY, POSTING])
+    df = conform(load(spark, source), TRANSACTION_SCHEMA, [ENTITY, ENTITY_COUNTRIES, COUNTERPARTY, COUNTERPARTY_COUNTRIES, POSTING])
     if date_from is not None:
         df = df.where(F.col(POSTING) >= F.lit(date_from).cast("date"))
     if date_to is not None:
@@ -108,5 +109,7 @@ def read_transactions(
     if distinct:
         df = df.distinct()
     if limit is not None:
-        df = df.orderBy(TRXN_REF, ENTITY, COUNTERPARTY, POSTING).limit(int(limit))
+        # every column, so that no tie is left to chance
+        df = df.orderBy(TRXN_REF, ENTITY, COUNTERPARTY, POSTING, VINTAGE, ENTITY_COUNTRIES, COUNTERPARTY_COUNTRIES)
+        df = df.limit(int(limit))
     return clean_transactions(df)

@@ -142,5 +142,5 @@ def test_flagship_with_hot_vertices_equals_plain(spark):
     trxn = entry._trxn(spark, SF)
     cols = ["pagerank_centrality_6m", "pagerank_centrality_12m"]
     plain = entry._round(network_features(drivers, trxn, [6, 12]), cols)
-    hot = entry._round(network_features(drivers, trxn, [6, 12], skew=SkewConfig(threshold=3, max_rows=100_000)), cols)
+    hot = entry._round(network_features(drivers, trxn, [6, 12], skew=SkewConfig(threshold=3)), cols)
     assert _rows(plain) == _rows(hot)

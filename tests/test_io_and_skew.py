@@ -61,7 +61,7 @@ def test_salted_join_equals_plain_join(spark):
     table = spark.range(50).select(F.col("id").cast("string").alias("k"), (F.col("id") * 10).alias("attr"))
     table = table.unionByName(spark.range(1).select(F.lit("hub").alias("k"), F.lit(-1).cast("long").alias("attr")))
     counts = big.groupBy("k").count()
-    hot = hot_keys(counts, ["k"], "count", SkewConfig(threshold=1000, max_rows=10))
+    hot = hot_keys(counts, ["k"], "count", SkewConfig(threshold=1000))
     got = {r.k for r in hot.collect()}
     assert got == {"hub"}
     n_salt = hot.collect()[0]["_n_salt"]
@@ -76,39 +76,90 @@ def test_salted_join_equals_plain_join(spark):
     assert len(buckets) == n_salt and max(r["count"] for r in buckets) < 1300
 
 
-def test_hot_keys_bounded(spark):
-    """More hot keys than max_rows: the threshold rises to total / max_rows,
-    which at most max_rows keys can exceed; the truly hot key stays hot."""
-    many = spark.range(100).select(F.col("id").alias("k"), F.lit(100).cast("long").alias("n"))
-    one = spark.range(1).select(F.lit(1000).cast("long").alias("k"), F.lit(1_000_000).cast("long").alias("n"))
-    counts = many.unionByName(one)
-    hot = hot_keys(counts, ["k"], "n", SkewConfig(threshold=10, max_rows=50))
-    rows = hot.collect()
-    assert [r.k for r in rows] == [1000]
-    assert rows[0]["_n_salt"] == 50  # ceil(1e6 / ceil(1_010_000 / 50))
-    assert hot_keys(counts, ["k"], "n", SkewConfig(threshold=10, max_rows=50), bound=10) is None
+def test_every_hot_key_is_salted(spark):
+    """However many keys are hot, all of them are split, each by its own count."""
+    many = spark.range(5000).select(F.col("id").alias("k"), F.lit(100).cast("long").alias("n"))
+    one = spark.range(1).select(F.lit(9000).cast("long").alias("k"), F.lit(1_000_000).cast("long").alias("n"))
+    cold = spark.range(1).select(F.lit(9001).cast("long").alias("k"), F.lit(10).cast("long").alias("n"))
+    counts = many.unionByName(one).unionByName(cold)
+    paths = []
+    rows = hot_keys(counts, ["k"], "n", SkewConfig(threshold=10), paths=paths).collect()
+    assert {r.k: r["_n_salt"] for r in rows} == {**{k: 10 for k in range(5000)}, 9000: 100_000}
+    assert len(paths) == 1
+    assert hot_keys(counts, ["k"], "n", SkewConfig(threshold=10), bound=10) is None
 
 
-def test_bucketed_copy_falls_back_to_checkpoint(spark, monkeypatch):
-    """A catalog that refuses tables: same PageRank, from checkpointed edge copies."""
+def test_refused_bucketed_copy_is_an_error_and_leaves_nothing(spark, monkeypatch):
+    """No silent change of plan; what was written belongs to the graph and goes with it."""
     from pyspark.sql.readwriter import DataFrameWriter
 
     from netfeat.operators.clean import clean_transactions
     from netfeat.operators.graph import build_graph
     from netfeat.operators.pagerank import pagerank
 
-    trxn = clean_transactions(micro.transactions(spark))
-    want = {r.id: r.pagerank for r in pagerank(build_graph(trxn).materialize()).collect()}
-
     def refuse(self, *a, **k):
         raise RuntimeError("no catalog here")
 
+    g = build_graph(clean_transactions(micro.transactions(spark)))
     monkeypatch.setattr(DataFrameWriter, "saveAsTable", refuse)
-    g = build_graph(trxn).materialize()
-    got = {r.id: r.pagerank for r in pagerank(g).collect()}
-    assert got.keys() == want.keys()
-    assert all(abs(got[v] - want[v]) < 1e-12 for v in want)
-    assert g._tables == []
+    with pytest.raises(RuntimeError, match="no catalog here"):
+        pagerank(g)
+    g.release(delete_files=True)
+    assert g._tables == [] and g._paths == []
+
+
+def test_bucket_count_stays_within_sparks_limit(spark):
+    from netfeat.operators.clean import clean_transactions
+    from netfeat.operators.graph import build_graph
+
+    spark.conf.set("spark.sql.sources.bucketing.maxBuckets", "3")
+    try:
+        g = build_graph(clean_transactions(micro.transactions(spark)))
+        cold, _ = g.by_endpoint("src")
+        assert "3 buckets" in spark.sql(f"DESCRIBE EXTENDED {g._tables[0]}").toPandas().to_string() or cold.count() > 0
+        assert cold.count() == g.edges.count()
+        g.release(delete_files=True)
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.maxBuckets")
+
+
+def test_missing_country_columns_are_an_error(spark):
+    t = micro.transactions(spark)
+    with pytest.raises(ValueError, match="lacks columns"):
+        read_transactions(spark, t.drop("combinedCountryCodes"))
+
+
+@pytest.mark.parametrize("mode", ["append", "overwrite_partitions"])
+def test_new_columns_reach_an_existing_table(spark, mode):
+    name = f"nf_merge_{os.urandom(4).hex()}"
+    a = spark.createDataFrame([("A", dt.date(2024, 1, 31), 1), ("B", dt.date(2024, 2, 29), 2)], "EXT_ENTITYID string, VINTAGE_DT date, x int")
+    b = spark.createDataFrame([("C", dt.date(2024, 2, 29), 9.0)], "EXT_ENTITYID string, VINTAGE_DT date, y double")
+    try:
+        write_features(a, name, mode=mode)
+        write_features(b, name, mode=mode)
+        rows = {r.EXT_ENTITYID: (r.x, r.y) for r in spark.table(name).collect()}
+        want = {"A": (1, None), "B": (2, None), "C": (None, 9.0)}
+        if mode == "overwrite_partitions":
+            del want["B"]
+        assert rows == want
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_run_cleans_up_after_a_failed_write(spark, scratch_dir, monkeypatch):
+    from netfeat.plans import features as PF
+
+    graphs = []
+    original = PF.prepare
+    monkeypatch.setattr(PF, "prepare", lambda *a, **k: graphs.append(original(*a, **k)) or graphs[-1])
+
+    def fail(*a, **k):
+        raise OSError("disk full")
+
+    monkeypatch.setattr(PF, "write_features", fail)
+    with pytest.raises(OSError, match="disk full"):
+        PF.run(spark, micro.drivers(spark), micro.transactions(spark), os.path.join(scratch_dir, "never"), start="2024-01-01", months=12)
+    assert len(graphs) == 1 and graphs[0].facts_path is None and graphs[0].graph._paths == []
 
 
 def test_no_checkpoint_folder_is_an_error():
@@ -164,9 +215,9 @@ def test_run_deletes_its_intermediate_tables(spark, scratch_dir, monkeypatch):
     original = PF._network_features
 
     def spy(*a, **k):
-        out, sg = original(*a, **k)
-        seen.append((sg, sg.facts_path))
-        return out, sg
+        out = original(*a, **k)
+        seen.extend((sg, sg.facts_path) for sg in a[-1])
+        return out
 
     monkeypatch.setattr(PF, "_network_features", spy)
     target = os.path.join(scratch_dir, "run_clean")

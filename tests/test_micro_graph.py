@@ -26,7 +26,7 @@ def _graph(spark, skew):
 
 @pytest.mark.parametrize("threshold", [1_000_000, 1], ids=["plain", "all-salted"])
 def test_golden_values(spark, threshold):
-    skew = SkewConfig(threshold=threshold, max_rows=1000)
+    skew = SkewConfig(threshold=threshold)
     sg = _graph(spark, skew)
     g = sg.graph
     deg = {(r.window_m, r.id): r.degree for r in degrees(g).collect()}

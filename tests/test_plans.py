@@ -61,7 +61,7 @@ def test_iterative_lookup_reads_edges_in_place(spark):
 
 def test_hot_vertices_are_salted(spark):
     entry._ready(spark)
-    g = prepare(entry._sliced(spark, SF), entry.KEYS, skew=SkewConfig(threshold=3, max_rows=100_000)).graph
+    g = prepare(entry._sliced(spark, SF), entry.KEYS, skew=SkewConfig(threshold=3)).graph
     assert g.hot() is not None
     labels = g.vertices.select(*entry.KEYS, "id", F.col("id").alias("label"))
     with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):

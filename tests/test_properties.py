@@ -25,7 +25,7 @@ from netfeat.plans.features import neighbor_features, prepare
 def test_salted_join_is_a_join(spark, keys, threshold, how):
     big = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k int, v long")
     table = spark.createDataFrame([(k, k * 10) for k in range(0, 7, 2)], "k int, attr int")
-    hot = hot_keys(big.groupBy("k").count(), ["k"], "count", SkewConfig(threshold=threshold, max_rows=3))
+    hot = hot_keys(big.groupBy("k").count(), ["k"], "count", SkewConfig(threshold=threshold))
     got = sorted(map(tuple, salted_join(big, table, ["k"], hot, F.col("v"), how).select("k", "v", "attr").collect()), key=repr)
     want = sorted(map(tuple, big.join(table, ["k"], how).select("k", "v", "attr").collect()), key=repr)
     assert got == want

@@ -46,6 +46,17 @@ def row_key(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col).cast("string"), F.col(text_col))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores added to those that ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def slices(texts: list[str], limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive texts with about ``limit`` characters; a longer text has its own."""
     lo, size = 0, 0

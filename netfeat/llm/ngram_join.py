@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netfeat.llm import kernel
-from netfeat.llm.common import Workspace, map_texts, row_key
+from netfeat.llm.common import Workspace, map_texts, row_key, unused
 from netfeat.llm.minhash import candidate_groups, choose_bands, verified
 
 NGRAM = 5
@@ -97,6 +97,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def one_per_class(docs: DataFrame, joined: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that ``ngram_join`` keeps, equal rows once."""
-    kept = joined.where("keeper").select(F.col("row").alias("_row")).distinct()
-    keyed = docs.withColumn("_row", row_key(id_col, text_col))
-    return keyed.join(kept, "_row", "left_semi").dropDuplicates(["_row"]).drop("_row")
+    (key,) = unused(docs, "_row")
+    kept = joined.where("keeper").select(F.col("row").alias(key)).distinct()
+    keyed = docs.withColumn(key, row_key(id_col, text_col))
+    return keyed.join(kept, key, "left_semi").dropDuplicates([key]).drop(key)

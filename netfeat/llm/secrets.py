@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from netfeat.llm.common import Workspace, row_key
+from netfeat.llm.common import Workspace, row_key, unused
 
 #: fixed values: kinds in their order, patterns, and the least length of the part that counts
 KINDS = ("assign", "access", "hex", "owned")
@@ -175,9 +175,10 @@ def digests(spans: DataFrame) -> DataFrame:
 
 def redacted(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every span of its text replaced by ``REDACTED``; overlapping spans become one."""
-    hits = spans.where(F.size("spans") > 0).select(F.col("row").alias("_row"), F.col("spans").alias("_spans"))
-    hits = hits.dropDuplicates(["_row"])
-    keyed = docs.withColumn("_row", row_key(id_col, text_col)).join(hits, "_row", "left")
+    key, found, result = unused(docs, "_row", "_spans", "_done")
+    hits = spans.where(F.size("spans") > 0).select(F.col("row").alias(key), F.col("spans").alias(found))
+    hits = hits.dropDuplicates([key])
+    keyed = docs.withColumn(key, row_key(id_col, text_col)).join(hits, key, "left")
     text = F.col(text_col)
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
 
@@ -189,8 +190,8 @@ def redacted(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col
             F.greatest(s["at"], m["end"]).alias("at"),
         )
 
-    done = F.aggregate("_spans", start, step)
-    keyed = keyed.withColumn("_done", F.when(F.col("_spans").isNotNull(), done))
-    rest = F.substring(text, (F.col("_done.at") + 1).cast("int"), F.length(text))
-    new = F.when(F.col("_done").isNotNull(), F.concat(F.col("_done.out"), rest)).otherwise(text)
+    done = F.aggregate(found, start, step)
+    keyed = keyed.withColumn(result, F.when(F.col(found).isNotNull(), done))
+    rest = F.substring(text, (F.col(result)["at"] + 1).cast("int"), F.length(text))
+    new = F.when(F.col(result).isNotNull(), F.concat(F.col(result)["out"], rest)).otherwise(text)
     return keyed.withColumn(text_col, new).select(*docs.columns)

@@ -16,7 +16,7 @@ from netfeat.llm.common import Workspace
 from netfeat.llm.ngram_join import ngram_join, one_per_class
 from netfeat.llm.packing import packed
 from netfeat.llm.paragraphs import deduplicated
-from netfeat.llm.queries import VOCABULARY_DIR, ship
+from netfeat.llm.queries import ship, vocabulary
 
 ORACLE_SQL = None
 
@@ -57,7 +57,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of each document and their places in sequences of 2048 tokens."""
     ship(spark)
-    return packed(docs, f"{VOCABULARY_DIR}/word_bpe_49k.json")
+    return packed(docs, vocabulary("word_bpe_49k.json"))
 
 
 STAGES = [

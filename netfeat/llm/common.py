@@ -27,9 +27,11 @@ class Workspace:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        self.names: set[str] = set()
 
     def store(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.path}/{name}"
+        self.names.add(name)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
@@ -37,6 +39,12 @@ class Workspace:
         hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
         hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
+    def keep_only(self, *names: str) -> None:
+        """Drop all tables but these."""
+        for name in self.names.difference(names):
+            self.drop(name)
+        self.names.intersection_update(names)
+
     def close(self) -> None:
         self.drop()
 

@@ -78,7 +78,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     links = verified(sets, work, "verify")
     members = items.select("item", "kept", "weight").join(links, "item", "left")
     members = work.store(members.withColumn("class", F.coalesce("class", "item")), "members")
-    work.drop("sets")
+    work.keep_only("signed", "members")
     classes = members.groupBy("class").agg(F.min("kept").alias("first"))
     named = members.join(classes, "class").select(
         "item", F.col("kept.id").alias("copy_id"), F.col("first.id").alias("class_id"),

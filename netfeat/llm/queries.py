@@ -7,6 +7,7 @@ import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
+import public_tokenizers
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,14 +18,19 @@ from netfeat.llm.ngram_join import ngram_join
 from netfeat.llm.packing import packed
 from netfeat.llm.paragraphs import deduplicated
 
-#: Where the public vocabularies lie; a parameter of the operators that use them.
-VOCABULARY_DIR = os.environ.get("NETFEAT_VOCABULARIES", "/opt/tokenizers")
 ROOT = Path(__file__).resolve().parents[2]
 
 
+def vocabulary(name: str) -> str:
+    """The path of a public vocabulary, on the driver and on every worker."""
+    return public_tokenizers.path(name)
+
+
 def ship(spark: SparkSession) -> None:
     """Send the package to the Python workers, unless they find it on their path already."""
-    on_path = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    on_path = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if spark.sparkContext.master.startswith("local["):
+        on_path.append(os.getcwd())  # where local workers start
     if any(p and Path(p).resolve() == ROOT for p in on_path):
         return
     target = Path(SparkFiles.getRootDirectory(), "source", "netfeat-source.zip")
@@ -69,10 +75,8 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import public_tokenizers
-
     return bpe.digests(
-        _table(spark, sf_dir, "documents"), f"{VOCABULARY_DIR}/byte_bpe_multi_50k.tiktoken", public_tokenizers.PATTERN
+        _table(spark, sf_dir, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     )
 
 
@@ -81,7 +85,7 @@ def op8_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packed(_table(spark, sf_dir, "documents"), f"{VOCABULARY_DIR}/word_bpe_49k.json")
+    return packed(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
 def op10_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 import brute
 from netfeat.llm import backoff, boosting, bpe, kernel, packing, quality, toxicity
 from netfeat.llm.divergence import distance, quality_rules
-from netfeat.llm.queries import QUERIES, VOCABULARY_DIR
+from netfeat.llm.queries import QUERIES, vocabulary
 
-WORDS = f"{VOCABULARY_DIR}/word_bpe_49k.json"
-RANKS = f"{VOCABULARY_DIR}/byte_bpe_multi_50k.tiktoken"
+WORDS = vocabulary("word_bpe_49k.json")
+RANKS = vocabulary("byte_bpe_multi_50k.tiktoken")
 
 
 def pattern():

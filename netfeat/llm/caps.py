@@ -16,11 +16,12 @@ from netfeat.llm.components import components
 COSINE = 0.93
 #: Independent codes, and the words of each half of a code: CODES * WORDS ** 2 filter directions in all.
 CODES = 8
-WORDS = 256
+WORDS = 512
 #: Mean number of filters that a random direction exceeds; sets the caps' height.
 FILTERS = 56
 BLOCK = 256
 PACK = 4000
+_SMALL = 16
 
 
 class Code:
@@ -31,7 +32,8 @@ class Code:
 
     def __init__(self, dim: int):
         rng = np.random.default_rng([20, dim])
-        self.dim, self.half = dim, -(-dim // 2)
+        # vectors of few dimensions are turned into a larger space, where the caps are as wide as elsewhere
+        self.dim, self.half = dim, max(16, -(-dim // 2))
         self.rotations = [np.linalg.qr(rng.standard_normal((2 * self.half, 2 * self.half)))[0][:, :dim] for _ in range(CODES)]
         books = rng.standard_normal((CODES, 2, WORDS, self.half))
         self.books = books / np.linalg.norm(books, axis=3, keepdims=True)
@@ -108,13 +110,30 @@ def _joint(filters: list[np.ndarray], below: int) -> np.ndarray:
 
 
 def _verify(pdf: pd.DataFrame, cosine: float) -> pd.DataFrame:
+    """Links of a unit's buckets. Small buckets are first screened together, so that only those that hold a
+    link are looked at one by one."""
+    dims = pdf["embedding"].map(len)
+    if dims.nunique() > 1:
+        return pd.concat([_verify(part, cosine) for _, part in pdf.groupby(dims)])
+    pdf = pdf.drop_duplicates(["bucket", "item"]).sort_values("bucket", ignore_index=True)
+    position, items = pd.factorize(pdf["item"])
+    unit = _units(pdf["embedding"].iloc[np.unique(position, return_index=True)[1]])
+    bucket = pdf["bucket"].to_numpy()
+    first = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+    size = np.diff(np.append(first, len(bucket)))
+    number = np.repeat(np.arange(len(first)), size)
+    promising = size > _SMALL
+    for d in range(1, min(_SMALL, len(bucket))):
+        k = np.flatnonzero((bucket[d:] == bucket[:-d]) & ~promising[number[:-d]])
+        for lo in range(0, len(k), 4096):
+            part = k[lo : lo + 4096]
+            dot = np.einsum("ij,ij->i", unit[position[part]], unit[position[part + d]])
+            promising[number[part[dot >= cosine - 1e-9]]] = True
     out = []
-    for (_, filter_id), g in pdf.groupby(["bucket", "filter"], sort=False):
-        g = g.drop_duplicates("item")
-        if len(g) < 2:
-            continue
-        unit = _units(g["embedding"])
-        linked = unit @ unit.T >= cosine
+    for b in np.flatnonzero(promising & (size > 1)).tolist():
+        rows = slice(int(first[b]), int(first[b] + size[b]))
+        g, own = pdf.iloc[rows], unit[position[rows]]
+        linked = own @ own.T >= cosine
         np.fill_diagonal(linked, False)
         if g["i"].iat[0] != g["j"].iat[0]:
             block = g["block"].to_numpy()
@@ -123,7 +142,7 @@ def _verify(pdf: pd.DataFrame, cosine: float) -> pd.DataFrame:
         if not len(some):
             continue
         g, linked = g.iloc[some], linked[np.ix_(some, some)]
-        linked &= ~_joint([np.asarray(f) for f in g["filters"]], int(filter_id))
+        linked &= ~_joint([np.asarray(f) for f in g["filters"]], int(g["filter"].iat[0]))
         label = np.arange(len(g))
         while True:
             low = np.minimum(label, np.where(linked, label[None, :], len(g)).min(axis=1))

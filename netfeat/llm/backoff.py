@@ -6,12 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netfeat.llm import kernel
-from netfeat.llm.common import Workspace, slices
+from netfeat.llm.common import map_texts, slices
 
 ORDER = 2
 ALPHA = 0.4
@@ -45,7 +44,19 @@ def exploded(texts: list[str], order: int) -> tuple[list[tuple[np.ndarray, np.nd
 
 
 def _parts(hashes: np.ndarray, parts: int) -> np.ndarray:
-    return (hashes >> np.uint64(33)).astype(np.int64) % parts
+    """Ranges of the hash, so that sorted hashes stand in order of their parts."""
+    return ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
+def _pack(sorted_hashes: np.ndarray) -> bytes:
+    """Differences, byte plane by byte plane: the upper planes are zeros, which the shuffle compresses away."""
+    step = np.diff(sorted_hashes, prepend=np.uint64(0))
+    return step.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(packed, np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
 
 
 def _requests(pdf: pd.DataFrame, order: int, parts: int) -> Iterator[dict]:
@@ -53,20 +64,15 @@ def _requests(pdf: pd.DataFrame, order: int, parts: int) -> Iterator[dict]:
     grams, _ = exploded(pdf["text"].fillna("").tolist(), order)
     distinct, count = np.unique(np.concatenate([g for g, _ in grams]), return_counts=True)
     part = _parts(distinct, parts)
-    by = np.argsort(part, kind="stable")
-    distinct, count, part = distinct[by], count[by], part[by]
     cut = np.flatnonzero(np.diff(part)) + 1
-    n_words = len(grams[0][0])
     for h, c in zip(np.split(distinct, cut), np.split(count, cut)):
         if len(h):
             yield {
                 "block": int(pdf["block"].iat[0]),
                 "part": int(_parts(h[:1], parts)[0]),
-                "hashes": h.tobytes(),
+                "hashes": _pack(h),
                 "counts": c.astype("<u4").tobytes(),
-                "n_words": n_words,
             }
-            n_words = 0
 
 
 def _score(
@@ -115,28 +121,27 @@ def scores(
     N-grams are named by 64-bit hashes. A null, empty or wordless text has the score 0 and no words. Rows that repeat
     an id, also equal rows, are rows of their own (each other's *other* rows). An empty table gives an
     empty result; other columns are ignored."""
-    work = Workspace(docs.sparkSession, "backoff")
     docs = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
-    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count(F.lit(1))).first()
-    blocks = max(1, -(-size[0] // BLOCK_BYTES), -(-size[1] // 50_000))
-    parts = max(1, -(-size[0] // 4 // PART_ENTRIES))
+    size = map_texts(
+        docs, lambda texts, batch: {"bytes": [sum(map(len, texts))], "rows": [len(texts)], "words": [len(_texts(texts)[0])]},
+        "bytes long, rows long, words long",
+    ).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("bytes", "rows", "words")]).first()
+    n_corpus = size["words"]
+    blocks = max(1, -(-size["bytes"] // BLOCK_BYTES), -(-size["rows"] // 50_000))
+    parts = max(1, -(-size["bytes"] // 4 // PART_ENTRIES))
     dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
 
     def request(pdf: pd.DataFrame) -> pd.DataFrame:
-        columns = ["block", "part", "hashes", "counts", "n_words"]
+        columns = ["block", "part", "hashes", "counts"]
         return pd.DataFrame(list(_requests(pdf, order, parts)), columns=columns)
 
-    asked = dealt.groupBy("block").applyInPandas(
-        request, "block int, part int, hashes binary, counts binary, n_words long"
-    )
-    asked = work.store(asked, "ngrams")
-    n_corpus = asked.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
+    asked = dealt.groupBy("block").applyInPandas(request, "block int, part int, hashes binary, counts binary")
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
-        hashes = [np.frombuffer(h, np.uint64) for h in pdf["hashes"]]
+        hashes = [_unpack(h) for h in pdf["hashes"]]
         _, back = np.unique(np.concatenate(hashes), return_inverse=True)
         counts = np.concatenate([np.frombuffer(c, "<u4") for c in pdf["counts"]])
-        totals = np.bincount(back, weights=counts).astype("<u8")[back]
+        totals = np.bincount(back, weights=counts).astype("<u8")[back]  # exact below 2 ** 53
         cut = np.cumsum([len(h) for h in hashes])[:-1]
         return pd.DataFrame({"block": pdf["block"], "part": pdf["part"], "totals": [t.tobytes() for t in np.split(totals, cut)]})
 
@@ -145,10 +150,9 @@ def scores(
     def score(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         grams, first = exploded(rows["text"].fillna("").tolist(), order)
         distinct = np.unique(np.concatenate([g for g, _ in grams]))
-        by = np.argsort(_parts(distinct, parts), kind="stable")
         total = np.zeros(len(distinct), np.int64)
         if len(distinct):
-            total[by] = np.concatenate([np.frombuffer(t, "<u8") for t in answers.sort_values("part")["totals"]])
+            total[:] = np.concatenate([np.frombuffer(t, "<u8") for t in answers.sort_values("part")["totals"]])
         logs, backed = _score(grams, first, distinct, total, n_corpus, alpha)
         text = np.repeat(np.arange(len(rows)), np.diff(first))
         return pd.DataFrame(

@@ -43,9 +43,9 @@ from netfeat.constants import (
 from netfeat.operators.clean import strip_account_prefix
 from netfeat.operators.community import community_metrics
 from netfeat.operators.components import connected_components, network_sizes
-from netfeat.operators.graph import build_graph, degrees, graph_stats
+from netfeat.operators.graph import degrees, graph_stats
 from netfeat.operators.labels import label_propagation
-from netfeat.operators.neighbors import edge_risk, high_risk_nodes, neighbor_counts, vertex_risk
+from netfeat.operators.neighbors import edge_risk, risky_neighbor_counts, vertex_risk
 from netfeat.operators.pagerank import pagerank
 from netfeat.operators.risk import add_country_flag, add_prefix_flag, add_risk_flags, risk_countries
 from netfeat.operators.skew import SkewConfig
@@ -178,11 +178,11 @@ def q_window_slice(spark, sf_dir):
 
 
 def q_graph_vertices(spark, sf_dir):
-    return build_graph(_sliced(spark, sf_dir), KEYS).vertices
+    return _graph(spark, sf_dir).graph.vertices
 
 
 def q_graph_edges(spark, sf_dir):
-    return build_graph(_sliced(spark, sf_dir), KEYS).edges
+    return _graph(spark, sf_dir).graph.edges
 
 
 def q_degrees(spark, sf_dir):
@@ -215,7 +215,7 @@ def q_community_metrics(spark, sf_dir):
 
 
 def q_high_risk_nodes(spark, sf_dir):
-    return high_risk_nodes(_sliced(spark, sf_dir), KEYS).select(*KEYS, "id")
+    return _graph(spark, sf_dir).risky.select(*KEYS, "id")
 
 
 def q_vertex_risk(spark, sf_dir):
@@ -230,7 +230,9 @@ def q_edge_risk(spark, sf_dir):
 
 def q_neighbor_counts(spark, sf_dir):
     sg = _graph(spark, sf_dir)
-    return neighbor_counts(sg.graph, edge_risk(sg.graph, vertex_risk(sg.graph, sg.risky)))
+    counts = cut_lineage(risky_neighbor_counts(sg.graph, sg.risky))
+    out = degrees(sg.graph).select(*KEYS, "id").join(counts, [*KEYS, "id"], "left")
+    return _done(sg.graph, out.na.fill({"high_risk_neighbor_count": 0}))
 
 
 def q_neighbor_features(spark, sf_dir):

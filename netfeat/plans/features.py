@@ -46,6 +46,10 @@ from netfeat.sources.sinks import write_features
 from netfeat.sources.tables import Source, read_driver, read_transactions
 
 
+# roles of an id in a snapshot, as bits
+VERTEX, ENTITY_ROLE, RISKY = 1, 2, 4
+
+
 def neighbor_column(level: str) -> str:
     return f"{'vhrg' if level == 'vhrg' else 'hrg'}_neighbor_ct"
 
@@ -73,57 +77,55 @@ def prepare(
 ) -> SnapshotGraph:
     """Build the graph and the entity / high-risk sets from flagged transactions.
 
-    One pass: every (snapshot-expanded) row emits tagged facts: up to two
-    vertices, one edge, one entity and up to two high-risk ids. One distinct
-    (partial on the map side) removes repeats, and the facts are written once
-    as a table partitioned by kind in the checkpoint folder. Vertices, edges,
-    entities and high-risk ids are partition-pruned reads of it. The expanded
-    rows are never cached or scanned twice.
+    One pass: every (snapshot-expanded) row emits at most three facts: an id on either
+    side with the roles it plays there as bits, and an edge. One aggregation (partial
+    on the map side) removes repeats and joins the bits of an id, and the facts are
+    written once as a table partitioned by kind in the checkpoint folder. Edges and ids are
+    partition-pruned reads of it; vertices, entities and high-risk ids are the ids that
+    have the role's bit. The expanded rows are never cached or scanned twice.
     """
     k = list(keys)
     ef, cf = flag_columns(level)
     spark = trxn.sparkSession
     src, dst = F.col(ENTITY), F.col(COUNTERPARTY)
     ok_src, ok_dst = valid_id(src), valid_id(dst)
-    none = F.lit(None).cast("string")
 
-    def fact(kind: str, a, b=none):
-        return F.struct(F.lit(kind).alias("kind"), a.alias("a"), b.alias("b"))
+    def bit(condition, value: int):
+        return F.when(condition, F.lit(value)).otherwise(0)
 
+    def fact(a, b, roles):
+        return F.struct(a.alias("a"), b.alias("b"), roles.cast("int").alias("roles"))
+
+    none = F.lit(None).cast("string")
+    of_src = bit(ok_src, VERTEX).bitwiseOR(bit(src.isNotNull(), ENTITY_ROLE)).bitwiseOR(bit((F.col(ef) == 1) & src.isNotNull(), RISKY))
+    of_dst = bit(ok_dst, VERTEX).bitwiseOR(bit((F.col(cf) == 1) & dst.isNotNull(), RISKY))
     facts = (
         trxn.select(
             *k,
             F.explode(
                 F.array(
-                    F.when(ok_src, fact("vertex", src)),
-                    F.when(ok_dst, fact("vertex", dst)),
-                    F.when(ok_src & ok_dst, fact("edge", src, dst)),
-                    F.when(src.isNotNull(), fact("entity", src)),
-                    F.when((F.col(ef) == 1) & src.isNotNull(), fact("risky", src)),
-                    F.when((F.col(cf) == 1) & dst.isNotNull(), fact("risky", dst)),
+                    F.when(of_src > 0, fact(src, none, of_src)),
+                    F.when(of_dst > 0, fact(dst, none, of_dst)),
+                    F.when(ok_src & ok_dst, fact(src, dst, F.lit(0))),
                 )
             ).alias("f"),
         )
         .where(F.col("f").isNotNull())
-        .select(*k, "f.kind", "f.a", "f.b")
-        .distinct()
+        .groupBy(*k, F.col("f.a").alias("a"), F.col("f.b").alias("b"))
+        .agg(F.bit_or("f.roles").alias("roles"))
+        .withColumn("kind", F.when(F.col("b").isNull(), "id").otherwise("edge"))
     )
     path = f"{checkpoint_dir(spark).rstrip('/')}/netfeat_facts_{uuid.uuid4().hex[:16]}"
     facts.write.partitionBy("kind").parquet(path)
     stored = spark.read.schema(facts.schema).parquet(path)
+    ids = stored.where(F.col("kind") == "id")
 
-    def part(kind: str) -> DataFrame:
-        return stored.where(F.col("kind") == kind)
+    def having(role: int) -> DataFrame:
+        return ids.where(F.col("roles").bitwiseAND(role) != 0).select(*k, F.col("a").alias("id"))
 
-    graph = Graph(
-        part("vertex").select(*k, F.col("a").alias("id")),
-        part("edge").select(*k, F.col("a").alias("src"), F.col("b").alias("dst")),
-        tuple(k),
-        skew,
-    )
-    entities = part("entity").select(*k, F.col("a").alias("id"))
-    risky = part("risky").select(*k, F.col("a").alias("id"), F.lit(1).alias("is_high_risk"))
-    return SnapshotGraph(graph, entities, risky, path)
+    edges = stored.where(F.col("kind") == "edge").select(*k, F.col("a").alias("src"), F.col("b").alias("dst"))
+    graph = Graph(having(VERTEX), edges, tuple(k), skew)
+    return SnapshotGraph(graph, having(ENTITY_ROLE), having(RISKY).withColumn("is_high_risk", F.lit(1)), path)
 
 
 def centrality_features(sg: SnapshotGraph) -> DataFrame:

@@ -69,7 +69,7 @@ def test_hot_vertices_are_salted(spark):
         gathered = plan(g.gather("src", labels))
     g.release()
     assert "_salt" in salted and "xxhash64(dst" in salted
-    assert "BroadcastHashJoin" in gathered  # hot edges meet their (bounded) state by broadcast
+    assert "_salt" in gathered and "BroadcastHashJoin" not in gathered  # hot edges are split, nothing is broadcast
 
 
 def test_flagship_has_no_python_udf_and_no_cartesian_product(spark):
@@ -82,6 +82,6 @@ def test_flagship_has_no_python_udf_and_no_cartesian_product(spark):
 def test_graph_parts_are_partition_pruned_reads(spark):
     entry._ready(spark)
     sg = prepare(entry._sliced(spark, SF), entry.KEYS)
-    for df, kind in ((sg.graph.vertices, "vertex"), (sg.graph.edges, "edge"), (sg.entities, "entity"), (sg.risky, "risky")):
+    for df, kind in ((sg.graph.vertices, "id"), (sg.graph.edges, "edge"), (sg.entities, "id"), (sg.risky, "id")):
         p = plan(df)
         assert f"PartitionFilters: [isnotnull(kind" in p and f"(kind#" in p and f"= {kind})" in p, p

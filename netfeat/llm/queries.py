@@ -10,14 +10,18 @@ from pathlib import Path
 import public_tokenizers
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from netfeat.llm import backoff, bpe, quality, secrets, toxicity
 from netfeat.llm.caps import near_embeddings
 from netfeat.llm.divergence import quality_rules
 from netfeat.llm.ngram_join import ngram_join
+from netfeat.llm.oracles import ORACLE_SQL
 from netfeat.llm.packing import packed
 from netfeat.llm.paragraphs import deduplicated
 
+__all__ = ["ORACLE_SQL", "QUERIES", "ship", "vocabulary"]
+
 ROOT = Path(__file__).resolve().parents[2]
 
 
@@ -89,7 +93,8 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return backoff.scores(_table(spark, sf_dir, "documents"))
+    # sums depend on their order in the last places
+    return backoff.scores(_table(spark, sf_dir, "documents")).withColumn("score", F.round("score", 6))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -104,5 +109,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
     "op10_backoff": op10_backoff,
 }
-
-ORACLE_SQL: dict[str, str] = {}

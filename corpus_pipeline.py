@@ -35,7 +35,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without passages of 50 words or more that an earlier document holds; a document that loses all its
+    """Without passages that an earlier document holds; a document that loses all its
     text goes."""
     ship(spark)
     return deduplicated(docs, keep=docs.columns).where((F.col("removed_words") == 0) | F.col("text").rlike(r"\S")).select(
@@ -57,7 +57,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of each document and their places in sequences of 2048 tokens."""
     ship(spark)
-    return packed(docs, vocabulary("word_bpe_49k.json"))
+    # a small memo: the workers still hold what earlier stages keep
+    return packed(docs, vocabulary("word_bpe_49k.json"), memo=250_000)
 
 
 STAGES = [

@@ -23,7 +23,7 @@ def _texts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts, in lower case and without punctuation, and each text's first word."""
     hashes, first = [], [np.zeros(1, np.int64)]
     at = 0
-    for lo, hi in slices(texts):
+    for lo, hi in slices(map(len, texts)):
         w = kernel.words([t.lower() for t in texts[lo:hi]], kernel.PUNCTUATION)
         hashes.append(w.hash)
         first.append(w.first[1:] + at)

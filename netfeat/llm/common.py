@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,16 +66,24 @@ def unused(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def slices(texts: list[str], limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    """Ranges of consecutive texts with about ``limit`` characters; a longer text has its own."""
-    lo, size = 0, 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > limit:
+def slices(lengths: Iterable[int], limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive texts of about ``limit`` in all; a longer text has its own."""
+    lo, size, i = 0, 0, -1
+    for i, n in enumerate(lengths):
+        if size and size + n > limit:
             yield lo, i
             lo, size = i, 0
-        size += len(t) + 1
-    if lo < len(texts):
-        yield lo, len(texts)
+        size += n + 1
+    if i >= lo:
+        yield lo, i + 1
+
+
+def text_slices(batch: pa.RecordBatch, text_col: str) -> Iterator[tuple[list[str], pa.RecordBatch]]:
+    """A batch in slices of about a megabyte, each with its texts; a null text is empty there."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_pylist()
+    for lo, hi in slices(lengths):
+        part = batch.slice(lo, hi - lo)
+        yield [t or "" for t in part.column(text_col).to_pylist()], part
 
 
 def map_texts(
@@ -86,9 +95,8 @@ def map_texts(
 
     def run(batches):
         for batch in batches:
-            texts = [t or "" for t in batch.column(text_col).to_pylist()]
-            for lo, hi in slices(texts):
-                out = fn(texts[lo:hi], batch.slice(lo, hi - lo))
+            for texts, part in text_slices(batch, text_col):
+                out = fn(texts, part)
                 yield pa.RecordBatch.from_arrays(
                     [c if isinstance(c, pa.Array) else pa.array(c) for c in out.values()], names=list(out)
                 )

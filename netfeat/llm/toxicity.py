@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netfeat.llm import kernel
-from netfeat.llm.common import Memo, map_texts, slices
+from netfeat.llm.common import Memo, map_texts, text_slices
 from netfeat.llm.training import held_out, sample
 
 #: Bounds of the training sample: documents of each class, words of each document.
@@ -27,7 +27,7 @@ TOXIC_FROM = 0.7
 _DICTIONARY_BYTES = 1 << 14
 _MAX_TOXIC_WINDOWS = 4096
 _CODE_BYTES = 6
-_MEMO = 300_000
+_MEMO = 200_000
 _LEVEL = 9
 
 
@@ -216,8 +216,7 @@ def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
 
     def run(batches):
         for batch in batches:
-            texts = [t or "" for t in batch.column(text_col).to_pylist()]
-            clean = [_scorer(model).scores(texts[lo:hi]) < TOXIC_FROM for lo, hi in slices(texts)]
-            yield batch.filter(pa.array(np.concatenate(clean))) if clean else batch
+            for texts, part in text_slices(batch, text_col):
+                yield part.filter(pa.array(_scorer(model).scores(texts) < TOXIC_FROM))
 
     return docs.mapInArrow(run, docs.schema)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 from functools import lru_cache
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +12,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netfeat.llm.common import Memo, map_texts
+from netfeat.llm.common import Memo, gaps, map_texts
 
 _MEMO = 600_000
 _LONGEST = 48
@@ -139,15 +140,17 @@ class Encoding:
             else:
                 pieces = text.replace("\n", " \n").split(" ")
                 split.append([pieces[0], *[p if p[0] == "\n" else " " + p for p in pieces[1:]]])
-        found = [list(map(self.memo.new.get, pieces)) for pieces in split]
-        short = [k for k, ids in enumerate(found) if None in ids]
-        if short:
-            new = {p for k in short for p, i in zip(split[k], found[k]) if i is None}
-            learnt = {p: i for p in new if (i := self.memo.again(p)) is not None}
-            learnt |= self._learn(new.difference(learnt))
-            for k in short:
-                found[k] = [learnt[p] if i is None else i for p, i in zip(split[k], found[k])]
-        return [b"".join(ids) for ids in found]
+        pieces = list(chain.from_iterable(split))
+        found = list(map(self.memo.new.get, pieces))
+        missing = gaps(found)
+        if missing:
+            new = {pieces[k] for k in missing}
+            learnt = {p: ids for p in new if (ids := self.memo.again(p)) is not None}
+            learnt.update(self._learn(new.difference(learnt)))
+            for k in missing:
+                found[k] = learnt[pieces[k]]
+        cut = [0, *accumulate(map(len, split))]
+        return [b"".join(found[a:b]) for a, b in zip(cut, cut[1:])]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))

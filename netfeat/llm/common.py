@@ -125,3 +125,14 @@ class Memo:
         if value is not None:
             self.new[key] = value
         return value
+
+
+def gaps(found: list) -> list[int]:
+    """Where a list holds None."""
+    out, k = [], -1
+    try:
+        while True:
+            k = found.index(None, k + 1)
+            out.append(k)
+    except ValueError:
+        return out

@@ -58,7 +58,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """The pieces of each document and their places in sequences of 2048 tokens."""
     ship(spark)
     # a small memo: the workers still hold what earlier stages keep
-    return packed(docs, vocabulary("word_bpe_49k.json"), memo=250_000)
+    return packed(docs, vocabulary("word_bpe_49k.json"), memo=100_000)
 
 
 STAGES = [

@@ -27,7 +27,7 @@ TOXIC_FROM = 0.7
 _DICTIONARY_BYTES = 1 << 14
 _MAX_TOXIC_WINDOWS = 4096
 _CODE_BYTES = 6
-_MEMO = 200_000
+_MEMO = 80_000
 _LEVEL = 9
 
 

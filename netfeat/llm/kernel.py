@@ -124,6 +124,29 @@ def grams(hashes: np.ndarray, n: int) -> np.ndarray:
         return mix(out + np.uint64(n))
 
 
+class Sequences:
+    """Hashes of sequences of words, int64. For long n-grams: the work does not grow with their length."""
+
+    def __init__(self, hashes: np.ndarray):
+        with np.errstate(over="ignore"):
+            n = len(hashes)
+            up, down = _tables() if n <= _SLICE else (_powers(_P, n + 1), _powers(_INVERSE, n + 1))
+            self.run, self.up = np.zeros(n + 1, np.uint64), up[: n + 1]
+            np.cumsum(hashes * down[:n], out=self.run[1:])
+
+    def ngrams(self, size: int) -> np.ndarray:
+        """Those of ``size`` words that begin at each word but the last ``size - 1``."""
+        with np.errstate(over="ignore"):
+            total = (self.run[size:] - self.run[:-size]) * self.up[size:]
+            return mix(total + np.uint64(size) * _Q).view(np.int64)
+
+    def between(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Those from ``first`` up to, not with, ``last``."""
+        with np.errstate(over="ignore"):
+            total = (self.run[last] - self.run[first]) * self.up[last]
+            return mix(total + (last - first).astype(np.uint64) * _Q).view(np.int64)
+
+
 def shingle_sets(w: Words, n: int = 5) -> list[np.ndarray]:
     """The sorted distinct n-grams of each text. A text of fewer words has one
     shingle, all of them; a text without words has none."""

@@ -132,6 +132,55 @@ def test_passages_inside_lines_and_whole_paragraphs(spark):
         assert kept == r.text
 
 
+def without_common_runs(texts, n=51):
+    """The words of each text outside runs of ``n`` words that an earlier text holds."""
+    seen, out = set(), []
+    for text in texts:
+        w = brute.WORD.findall(text.lower())
+        grams = [tuple(w[i : i + n]) for i in range(len(w) - n + 1)]
+        gone = {j for i, g in enumerate(grams) if g in seen for j in range(i, i + n)}
+        out.append([x for j, x in enumerate(w) if j not in gone])
+        seen.update(grams)
+    return out
+
+
+def test_passages_cut_inside_sentences_against_common_runs(spark):
+    """Hosts that begin and end inside a passage's sentences; the first holder of a window need not hold the run."""
+    rng = random.Random(12)
+    words = lambda n: [f"w{rng.randrange(100_000)}" for _ in range(n)]
+    source = [words(200) for _ in range(6)]
+    texts = []
+    for _ in range(60):
+        parts = words(rng.randint(60, 90))
+        for _ in range(rng.randint(0, 3)):
+            passage, n = rng.choice(source), rng.choice([16, 30, 49, 50, 51, 52, 61, 90, 130])
+            at = rng.randint(0, len(passage) - n)
+            parts += passage[at : at + n] + words(rng.randint(25, 60))
+        texts.append(" ".join(parts))
+    passage = " ".join(f"{' '.join(words(13))}." for _ in range(4))
+    texts += [f"{' '.join(words(90))} {passage} {' '.join(words(90))}", f"{' '.join(words(80))} {passage} {' '.join(words(80))}"]
+    texts += [" ".join(["la"] * 300), "so " + " ".join(["la"] * 60) + " end", texts[3], ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    out = {r.doc_id: r for r in paragraphs.deduplicated(df).collect()}
+    want = without_common_runs(texts)
+    assert [brute.WORD.findall(out[k].text.lower()) for k in range(len(texts))] == want
+    assert [out[k].removed_words for k in range(len(texts))] == [len(brute.WORD.findall(t)) - len(w) for t, w in zip(texts, want)]
+
+
+def test_no_common_run_is_left(real):
+    texts, df = real
+    out = {r.doc_id: r for r in paragraphs.deduplicated(df).collect()}
+    seen = set()
+    for i, text in sorted(texts):
+        spans = [tuple(map(int, s.split(":"))) for s in out[i].removed_spans.split(",") if s]
+        found = [(m.group().lower(), any(a <= m.start() < b for a, b in spans)) for m in brute.WORD.finditer(text)]
+        for k in range(len(found) - 50):
+            if tuple(w for w, _ in found[k : k + 51]) in seen:
+                assert all(gone for _, gone in found[k : k + 51]), i
+        w = [w for w, _ in found]
+        seen.update(tuple(w[k : k + 51]) for k in range(len(w) - 50))
+
+
 def test_no_long_passage_is_left_twice(real):
     _, df = real
     out = paragraphs.deduplicated(df).collect()

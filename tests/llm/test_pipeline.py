@@ -3,7 +3,7 @@
 import corpus_pipeline
 import brute
 import pytest
-from netfeat.llm import secrets, toxicity
+from netfeat.llm import paragraphs, secrets, toxicity
 from test_pair_operators import rows_by_join
 from test_text_operators import check_packing
 from netfeat.llm.paragraphs import passages, layout
@@ -59,6 +59,37 @@ def test_pipeline_against_brute_force(spark, sf, real):
     check_packing(corpus_pipeline.run(spark, sf).collect(), want)
 
 
+def test_pipeline_against_brute_force_with_common_runs(spark, sf, real, monkeypatch):
+    """As above, the reference also without runs of 51 words that an earlier text of its stage holds."""
+    seen = set()
+
+    def with_runs(text, repeated):
+        w = [x.encode().lower() for x in brute.WORD.findall(text)]
+        grams = [tuple(w[k : k + 51]) for k in range(len(w) - 50)]
+        again = {int(h) for g, h in zip(grams, paragraphs.chunks(layout([text]).words).runs) if g in seen}
+        seen.update(grams)
+        return paragraphs.passages(text, repeated | again)
+
+    _, df = real
+    monkeypatch.setitem(globals(), "passages", with_runs)
+    want = reference(spark, df, sf)
+    check_packing(corpus_pipeline.run(spark, sf).collect(), want)
+
+
+def test_paragraphs_stage_leaves_no_common_run(spark, sf, real):
+    """No run of 51 words of a document that leaves the stage is in an earlier document that entered it."""
+    docs = real[1]
+    for _, stage in corpus_pipeline.STAGES[:2]:
+        docs = stage(spark, docs, sf)
+    entered = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    left = {r.doc_id: r.text for r in corpus_pipeline.STAGES[2][1](spark, docs, sf).select("doc_id", "text").collect()}
+    runs = lambda w: {tuple(w[k : k + 51]) for k in range(len(w) - 50)}
+    seen = set()
+    for i in sorted(entered):
+        assert not seen & runs(brute.WORD.findall(left.get(i, "").lower())), i
+        seen |= runs(brute.WORD.findall(entered[i].lower()))
+
+
 def test_stages_keep_the_columns(spark, sf, messy_df, empty_df):
     for docs in (messy_df, empty_df):
         for name, stage in corpus_pipeline.STAGES[:-1]:

@@ -4,8 +4,6 @@ of toxic text, compress the windows of a document; what the toxic one saves is t
 from __future__ import annotations
 
 import hashlib
-import math
-from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -16,12 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netfeat.llm import kernel
-from netfeat.llm.common import Memo, map_texts, text_slices
+from netfeat.llm.common import Memo, Workspace, map_texts, text_slices
 from netfeat.llm.training import held_out, sample
 
-#: Bounds of the training sample: documents of each class, words of each document.
+#: Bound of the training sample: documents of each class. Their texts are whole.
 TRAIN_DOCS = 1500
-TRAIN_WORDS = 1000
 #: A score from here on is toxic.
 TOXIC_FROM = 0.7
 _DICTIONARY_BYTES = 1 << 14
@@ -67,23 +64,26 @@ def _compressor(content: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(dict_data=data, compression_params=params)
 
 
-def _document_words(text: str, limit: int | None = None) -> list[str]:
+def _document_words(text: str) -> list[str]:
     w = kernel.words([text.lower()], kernel.PUNCTUATION)
     raw = w.buffer.tobytes()
-    return [raw[s:e].decode("utf-8", "surrogatepass") for s, e in zip(w.start[:limit].tolist(), w.end[:limit].tolist())]
+    return [raw[s:e].decode("utf-8", "surrogatepass") for s, e in zip(w.start.tolist(), w.end.tolist())]
 
 
-def _different(documents: list[str]) -> list[list[str]]:
-    """Words of the documents of which at most a quarter of the word 4-grams occurred in earlier ones.
+def _grams(text: str) -> bytes:
+    """Of the distinct word 4-grams of the whole text those whose hash is divisible by 4."""
+    grams = kernel.grams(kernel.words([text.lower()], kernel.PUNCTUATION).hash, 4)
+    return np.unique(grams[grams % np.uint64(4) == 0]).tobytes()
 
-    Of the 4-grams those whose hash is divisible by 4 are compared."""
-    seen, out = set(), []
-    for text in documents:
-        grams = kernel.grams(kernel.words([text]).hash, 4)
-        grams = set(grams[grams % np.uint64(4) == 0].tolist())
-        if len(grams & seen) * 4 <= len(grams):
-            seen |= grams
-            out.append(text.split(" "))
+
+def _different(documents) -> list[int]:
+    """Keys of the (key, label, grams) of which at most a quarter of the 4-grams occurred in earlier ones of the label."""
+    seen, out = (set(), set()), []
+    for key, label, grams in documents:
+        grams = set(np.frombuffer(grams, np.uint64).tolist())
+        if len(grams & seen[label]) * 4 <= len(grams):
+            seen[label].update(grams)
+            out.append(key)
     return out
 
 
@@ -152,44 +152,62 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float,
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    """Dictionaries and calibration from a bounded sample of labelled rows outside the held-out fold.
+    """Dictionaries and calibration from a bounded sample of labelled rows outside the held-out fold, their texts whole.
 
     The ordinary dictionary is trained on ordinary documents. The toxic one adds the windows that are
     characteristic of toxic documents: in 3 and in 1.5 percent of them, and by odds of 20 to 1.
-    Near copies among the sampled documents count once. Without labels of a class every score is 0."""
-    rows = map_texts(
-        sample(docs, labels, "toxic", TRAIN_DOCS),
-        lambda texts, batch: {"words": [" ".join(_document_words(t, TRAIN_WORDS)) for t in texts], "label": batch.column("label")},
-        "words string, label int",
-    ).limit(4 * TRAIN_DOCS).toPandas()
-    return fit(sorted(zip(rows["words"], rows["label"])))
-
-
-def fit(documents: list[tuple[str, int]]) -> Model:
-    """The model of (text, label) pairs, words parted by one space; the same for the same pairs in the same order."""
-    ordinary = _different([t for t, y in documents if y == 0])
-    toxic = _different([t for t, y in documents if y == 1])
-    if not ordinary or not toxic:
-        return Model(b"", b"", (-40.0, 0.0, 0.0))
-    in_ordinary = Counter(x for w in ordinary for x in set(w))
-    in_toxic = Counter(x for w in toxic for x in set(w))
-    least = max(3, -(-len(toxic) * 3 // 200))
-
-    def odds(x: str) -> float:
-        return math.log((in_toxic[x] + 0.5) / (len(toxic) + 1)) - math.log((in_ordinary[x] + 0.5) / (len(ordinary) + 1))
+    Near copies among the sampled documents count once. Without labels of a class every score is 0.
 
-    typical = sorted(((odds(x), x) for x, n in in_toxic.items() if n >= least), reverse=True)
-    typical = [window_bytes(x) for o, x in typical[:_MAX_TOXIC_WINDOWS] if o > math.log(20)]
-    samples = [b"".join(map(window_bytes, w[:400])) for w in ordinary]
+    Documents are counted for each word, and the features of the calibration computed, on the executors."""
+    work = Workspace(docs.sparkSession, "toxicity")
+    try:
+        return _fit(sample(docs, labels, "toxic", TRAIN_DOCS), work)
+    finally:
+        work.close()
+
+
+def _fit(rows: DataFrame, work: Workspace) -> Model:
+    """The model of (text, label) rows; the same for the same rows in any order."""
+    rows = work.store(rows.withColumn("key", F.xxhash64("text", "label")), "sample")
+    signed = work.store(
+        map_texts(
+            rows,
+            lambda texts, batch: {
+                "key": batch.column("key"), "label": batch.column("label"), "grams": [_grams(t) for t in texts],
+                "words": [list(dict.fromkeys(_document_words(t))) for t in texts],
+            },
+            "key long, label int, grams binary, words array<string>",
+        ).dropDuplicates(["key"]),
+        "signed",
+    )
+    kept = _different(signed.select("key", "label", "grams").orderBy("key").toLocalIterator())
+    chosen = F.broadcast(work.spark.createDataFrame([(k,) for k in kept], "key long"))
+    n = {r["label"]: r["count"] for r in signed.join(chosen, "key").groupBy("label").count().collect()}
+    if not n.get(0) or not n.get(1):
+        return Model(b"", b"", (-40.0, 0.0, 0.0))
+    least = max(3, -(-n[1] * 3 // 200))
+    found = signed.join(chosen, "key").select("label", F.explode("words").alias("word")).groupBy("word").agg(
+        F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("ordinary")
+    )
+    odds = (F.col("toxic") + 0.5) * (n[0] + 1) / ((F.col("ordinary") + 0.5) * (n[1] + 1))
+    typical = found.where((F.col("toxic") >= least) & (odds > 20)).orderBy(odds.desc(), F.col("word").desc())
+    typical = [window_bytes(r.word) for r in typical.select("word").limit(_MAX_TOXIC_WINDOWS).collect()]
+    ordinary = rows.where("label = 0").dropDuplicates(["key"]).join(chosen, "key").orderBy("key").select("text")
+    samples = [b"".join(map(window_bytes, _document_words(r.text or ""))) for r in ordinary.toLocalIterator()]
     try:
         content = zstandard.train_dictionary(_DICTIONARY_BYTES, samples, level=3).as_bytes()
     except zstandard.ZstdError:  # too few samples to train on
         content = b"".join(samples)[:_DICTIONARY_BYTES]
+    del samples
     model = Model(content, b"".join(reversed(typical)), (0.0, 0.0, 0.0))
-    scorer = Scorer(model)
-    texts = [t for t, _ in documents]
-    x = np.concatenate([scorer.features(texts[i : i + 200]) for i in range(0, len(texts), 200)])
-    return Model(content, model.toxic, _logistic(x, np.array([y for _, y in documents], float)))
+
+    def features(texts, batch):
+        x = _scorer(model).features(texts)
+        return {"key": batch.column("key"), "label": batch.column("label"), "first": x[:, 0], "second": x[:, 1]}
+
+    x = map_texts(rows, features, "key long, label int, first double, second double").limit(4 * TRAIN_DOCS).collect()
+    x = np.array(sorted(tuple(r) for r in x), float)
+    return Model(content, model.toxic, _logistic(x[:, 2:], x[:, 1]))
 
 
 def toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -138,6 +138,27 @@ def test_toxicity_finds_planted_words(spark):
     assert (out.predicted == out.toxic).mean() > 0.97
 
 
+def test_toxicity_learns_from_whole_texts(spark):
+    """The words that tell stand behind the first 1,500 words of each toxic document."""
+    rng = random.Random(7)
+    syllables = ["ba", "ko", "ri", "tu", "men", "sal", "vo", "li"]
+    word = lambda: "".join(rng.choice(syllables) for _ in range(rng.randint(1, 4)))
+    docs, labels = [], []
+    for i in range(240):
+        text = [word() for _ in range(1600)]
+        if i % 4 == 0:
+            for at in rng.sample(range(1500, 1600), 2):
+                text[at] = rng.choice(["zgrumpf", "qwaddel", "xyrrk"])
+        docs.append((i, " ".join(text)))
+        labels.append((i, int(i % 4 == 0)))
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    lab = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.train(d, lab)
+    assert all(toxicity.window_bytes(x) in model.toxic for x in ("zgrumpf", "qwaddel", "xyrrk"))
+    out = toxicity.toxicity(d, model).toPandas().merge(lab.toPandas(), on="doc_id").query("held_out")
+    assert (out.predicted == out.toxic).mean() > 0.97
+
+
 # --- op7
 
 

@@ -75,13 +75,9 @@ def _verify_group(pdf: pd.DataFrame, ratio: Fraction) -> pd.DataFrame:
         if len(g) < 2:
             continue
         item, weight, block = g["item"].to_numpy(), g["weight"].to_numpy(), g["block"].to_numpy()
-        keys = np.stack(g["keys"].to_numpy())
-        near = np.zeros((len(g), len(g)), bool)
-        for b in range(keys.shape[1]):
-            near |= keys[:, b][:, None] == keys[:, b][None, :]
+        linked = _similar([np.frombuffer(s, np.uint64) for s in g["shingles"]], ratio)
         if g["i"].iat[0] != g["j"].iat[0]:  # pairs within a block are another unit's
-            near &= block[:, None] != block[None, :]
-        linked = near & _similar([np.frombuffer(s, np.uint64) for s in g["shingles"]], ratio)
+            linked &= block[:, None] != block[None, :]
         if not linked.any():
             continue
         label = np.arange(len(g))
@@ -101,12 +97,12 @@ def _verify_group(pdf: pd.DataFrame, ratio: Fraction) -> pd.DataFrame:
 
 
 def verified(sets: DataFrame, work: Workspace, name: str, ratio: Fraction = Fraction(4, 5)) -> DataFrame:
-    """``sets`` (grp, item, keys, shingles: sorted uint64 as binary, weight) ->
+    """``sets`` (grp, item, shingles: sorted uint64 as binary, weight) ->
     (item, class, links): for every linked item an item that names what links reach and the
     summed weight of the items linked to it directly.
 
-    A link is a pair with a common band and a Jaccard similarity of at least ``ratio``
-    on the full sets. A large group is cut into blocks of about ``BLOCK`` items and each
+    A link is a pair in one group with a Jaccard similarity of at least ``ratio`` on the full sets,
+    whether or not the two share a band. A large group is cut into blocks of about ``BLOCK`` items and each
     pair of blocks is a unit of work of its own, so no task holds a whole group; small groups
     share units. A unit returns, for each item, its link count and one forest edge."""
     sizes = sets.groupBy("grp").agg(F.count(F.lit(1)).alias("size"))
@@ -115,7 +111,7 @@ def verified(sets: DataFrame, work: Workspace, name: str, ratio: Fraction = Frac
     spread = F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("item"), F.col("blocks"))).otherwise(0).cast("int")
     placed = sets.join(sizes.drop("size"), "grp").withColumn("block", spread)
     units = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "grp", "item", "keys", "shingles", "weight", "block",
+        "grp", "item", "shingles", "weight", "block",
         F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
         F.when(F.col("blocks") > 1, F.col("grp"))
         .otherwise(F.pmod(F.xxhash64("grp"), F.lit(max(1, -(-total // PACK))))).alias("unit"),

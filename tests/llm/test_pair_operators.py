@@ -95,6 +95,17 @@ def test_ngram_join_across_blocks(spark, monkeypatch):
     assert sorted((str(r.doc_id), str(r.class_id), r.n_links) for r in ngram_join(df).collect()) == sorted(rows_by_join(texts))
 
 
+@pytest.mark.parametrize("block", [2, 256])
+def test_pairs_of_a_group_without_a_common_band_are_links(spark, monkeypatch, block):
+    """Two items that share bands only with a third one are similar enough on their full sets."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    sets = [list(range(100)), list(range(1, 101)), list(range(2, 102))]
+    rows = [(1, k, keys, bytearray(np.array(s, np.uint64).tobytes()), 1) for k, (keys, s) in enumerate(zip(([1, 2], [1, 3], [4, 3]), sets))]
+    df = spark.createDataFrame(rows, "grp long, item long, keys array<long>, shingles binary, weight long")
+    out = minhash.verified(df, Workspace(spark, "t"), "verify").collect()
+    assert sorted((r.item, r.links) for r in out) == [(0, 2), (1, 2), (2, 2)] and len({r["class"] for r in out}) == 1
+
+
 # --- op4
 
 

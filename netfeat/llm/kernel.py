@@ -66,14 +66,13 @@ def _long_word(a: np.ndarray) -> np.uint64:
     return h
 
 
-def words(texts: list[str], separators: np.ndarray = BLANKS, fold: bool = False) -> Words:
-    """``fold`` lowers the case of ASCII letters, which moves no offset."""
+def words(texts: list[str], separators: np.ndarray = BLANKS) -> Words:
     with np.errstate(over="ignore"):
         encoded = [t.encode("utf-8", "surrogatepass") for t in texts]
         offset = np.zeros(len(texts) + 1, np.int64)
         np.cumsum([len(e) + 1 for e in encoded], out=offset[1:])
         joined = b"\n".join([*encoded, b""])
-        a = np.frombuffer(joined.lower() if fold else joined, np.uint8)
+        a = np.frombuffer(joined, np.uint8)
         del encoded
         up, down = _tables()
         hashes, starts, ends = [], [], []
@@ -112,6 +111,22 @@ def words(texts: list[str], separators: np.ndarray = BLANKS, fold: bool = False)
         return Words(h, text, start, end, first, a, offset)
 
 
+def lower_words(texts: list[str], separators: np.ndarray) -> Words:
+    """``words`` hashed in lower case, with the offsets of the texts as they are.
+
+    Lower case can change a character's length; then the words are looked for in both forms, which have the
+    same words in the same order: all that is not ASCII belongs to words, and so do letters."""
+    low = [t.lower() for t in texts]
+    w = words(low, separators)
+    if all(t.isascii() for t in texts):
+        return w
+    encoded = b"\n".join([*(t.encode("utf-8", "surrogatepass") for t in texts), b""])
+    a = np.frombuffer(encoded, np.uint8)
+    if len(a) == len(w.buffer) and ((a & 0xC0 == 0x80) == (w.buffer & 0xC0 == 0x80)).all():
+        return w
+    return words(texts, separators)._replace(hash=w.hash)
+
+
 def grams(hashes: np.ndarray, n: int) -> np.ndarray:
     """Hashes of the n-grams that begin at each position but the last n - 1."""
     with np.errstate(over="ignore"):

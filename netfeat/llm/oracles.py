@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from netfeat.llm import backoff, caps, secrets
+from netfeat.llm import backoff, caps, secrets, sources_audit
 
 WORD = r"[a-z0-9\x{80}-\x{10FFFF}]+"
 
@@ -59,9 +59,11 @@ more AS (
     AND NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = r.rid AND r.s < b.e AND b.s < r.e)),
 every AS (SELECT * FROM base UNION ALL SELECT * FROM more),
 owners AS (
-  SELECT v, count(DISTINCT coalesce('+' || source, '-')) AS n FROM every JOIN d USING (rid) GROUP BY v),
+  SELECT v, count(*) AS n, sum(r) AS r FROM (
+    SELECT v, source, count(DISTINCT coalesce('+' || doc_id, '-')) AS r FROM every JOIN d USING (rid) GROUP BY v, source)
+  GROUP BY v),
 spans AS (
-  SELECT x.*, o.n >= {secrets.COPIED_OWNERS} AS copied,
+  SELECT x.*, o.n >= {secrets.COPIED_OWNERS} OR o.r >= {secrets.COPIED_REPOSITORIES} AS copied,
          ['assign', 'access', 'hex', 'owned'][kind + 1] || ':' || CAST(s AS BIGINT) || ':' || CAST(e AS BIGINT) AS name
   FROM every x JOIN owners o USING (v)),
 per AS (
@@ -107,9 +109,37 @@ SELECT w.id AS doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(coalesce(x.b, 0
 FROM w LEFT JOIN (SELECT id, sum(s) AS s, sum(CASE WHEN backed THEN 1 ELSE 0 END) AS b FROM s GROUP BY id) x ON x.id = w.id"""
 
 
+SOURCE_AUDIT = rf"""WITH
+d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT rid, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS whole FROM w GROUP BY ALL HAVING count(DISTINCT rid) >= {sources_audit.MIN_DOCUMENTS}),
+langs AS (SELECT lang, count(*) AS v, sum(whole) AS n FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS c FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (SELECT lang, source, coalesce(sum(c), 0) AS n
+      FROM (SELECT DISTINCT lang, source FROM d) x LEFT JOIN c USING (lang, source) GROUP BY ALL),
+p AS (
+  SELECT lang, source, term, coalesce(c, 0) AS c,
+         1 + (1000000000::HUGEINT * (coalesce(c, 0) + {sources_audit.PRIOR})) // (g.n + {sources_audit.PRIOR} * v) AS p,
+         1 + (1000000000::HUGEINT * (whole + {sources_audit.PRIOR})) // (langs.n + {sources_audit.PRIOR} * v) AS q
+  FROM g JOIN langs USING (lang) JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)),
+f AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang, x.source, y.source AS other, sum(abs(x.p - y.p)) AS value
+             FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term GROUP BY ALL) s
+    ON s.lang = a.lang AND s.source = a.source AND s.other = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM p WHERE c > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM f)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM r WHERE part = 'pair' OR rank <= {sources_audit.TOP_TERMS}"""
+
+
 ORACLE_SQL = {
     "op3_ngram_join": NGRAM_JOIN,
     "op5_secrets": SECRETS,
     "op8_caps": CAPS,
     "op10_backoff": BACKOFF,
+    "op13_source_audit": SOURCE_AUDIT,
 }

@@ -13,12 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netfeat.llm import backoff, bpe, quality, secrets, toxicity
+from netfeat.llm.alignment import alignment
 from netfeat.llm.caps import near_embeddings
 from netfeat.llm.divergence import quality_rules
 from netfeat.llm.ngram_join import ngram_join
 from netfeat.llm.oracles import ORACLE_SQL
 from netfeat.llm.packing import packed
 from netfeat.llm.paragraphs import deduplicated
+from netfeat.llm.sequences import token_sequences
+from netfeat.llm.sources_audit import divergence
 
 __all__ = ["ORACLE_SQL", "QUERIES", "ship", "vocabulary"]
 
@@ -97,6 +100,20 @@ def op10_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backoff.scores(_table(spark, sf_dir, "documents")).withColumn("score", F.round("score", 6))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment(
+        _table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")
+    )
+
+
+def op12_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_sequences(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_divergence": op2_divergence,
@@ -108,4 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_caps": op8_caps,
     "op9_packing": op9_packing,
     "op10_backoff": op10_backoff,
+    "op11_alignment": op11_alignment,
+    "op12_sequences": op12_sequences,
+    "op13_source_audit": op13_source_audit,
 }

@@ -20,6 +20,8 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 LEAST_DIFFERENT = 10
 #: A value that so many owners or more hold is a widely copied example.
 COPIED_OWNERS = 3
+#: One owner may hold a live credential in a few repositories; a value in so many is copied from an example.
+COPIED_REPOSITORIES = 10
 REDACTED = "[SECRET]"
 _BLOCK = 1000
 
@@ -115,7 +117,8 @@ def secret_spans(
 
     The base spans are the matches of the three patterns. Every value found, also that of a
     live-looking run outside them, is counted over the corpus by the distinct owners and
-    repositories that hold it. A run of fewer than ``COPIED_OWNERS`` owners is a credential of
+    repositories that hold it. A run of fewer than ``COPIED_OWNERS`` owners and fewer than ``COPIED_REPOSITORIES``
+    repositories is a credential of
     its owner and becomes a span of the kind ``owned``; one of more is a copied example and does not.
     ``n_copied`` counts the base spans whose value is such an example; base spans stay all the same.
 
@@ -134,7 +137,7 @@ def secret_spans(
     found = work.store(found, "found")  # from here on ``at`` is fixed
     every = found.select("at", "owner", "repository", F.explode(F.concat("base", "more")).alias("span"))
     every = every.select("*", F.sha2("span.value", 256).alias("hash"))
-    copied = F.col("n_owners") >= COPIED_OWNERS
+    copied = (F.col("n_owners") >= COPIED_OWNERS) | (F.col("n_repositories") >= COPIED_REPOSITORIES)
     judged = every.join(ownership(every), "hash").groupBy("at").agg(
         F.collect_list(F.when((F.col("span.kind") == KINDS.index("owned")) & ~copied, F.col("span"))).alias("owned"),
         F.count(F.when((F.col("span.kind") != KINDS.index("owned")) & copied, 1)).alias("n_copied"),

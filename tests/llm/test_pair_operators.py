@@ -1,6 +1,8 @@
 """Joins, deduplication, secrets, embeddings."""
 
+import os
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -10,7 +12,7 @@ import brute
 from netfeat.llm import minhash, paragraphs, secrets
 from netfeat.llm.caps import near_embeddings
 from netfeat.llm.common import Workspace
-from netfeat.llm.components import components
+from netfeat.llm.components import components, hub_join, hubs
 from netfeat.llm.ngram_join import ngram_join, one_per_class
 
 
@@ -106,6 +108,67 @@ def test_pairs_of_a_group_without_a_common_band_are_links(spark, monkeypatch, bl
     assert sorted((r.item, r.links) for r in out) == [(0, 2), (1, 2), (2, 2)] and len({r["class"] for r in out}) == 1
 
 
+@pytest.mark.parametrize("tile", [3, 256])
+def test_links_within_and_across_sides(monkeypatch, tile):
+    """Counts and roots as by comparing all pairs, for sets of many sizes."""
+    monkeypatch.setattr(minhash, "TILE", tile)
+    rng = random.Random(9)
+    for n in (1, 2, 40):
+        sets = []
+        for _ in range(n):
+            s = {rng.randrange(3) * 1000 + k for k in range(rng.choice([4, 20, 24, 30, 60]))}
+            for _ in range(rng.randrange(5)):
+                s.add(rng.randrange(10**6))
+            sets.append(s)
+        weight = np.array([rng.randrange(1, 4) for _ in sets])
+        arrays = [np.array(sorted(s), np.uint64) for s in sets]
+        for side in (None, np.array([rng.random() < 0.5 for _ in sets])):
+            if side is not None and (side.all() or not side.any()):
+                continue
+            links = [(a, b) for a, b in brute.jaccard_links(sets) if side is None or side[a] != side[b]]
+            count = np.zeros(n, int)
+            for a, b in links:
+                count[a] += weight[b]
+                count[b] += weight[a]
+            got, root = minhash._link(arrays, weight, Fraction(4, 5), side)
+            assert got.tolist() == count.tolist() and root.tolist() == brute.classes(n, links)
+
+
+@pytest.mark.parametrize("n", [512, 2048, 8192])
+def test_rows_of_a_group_grow_with_its_items(spark, n):
+    """A group of near copies gives one row an item, however many pairs it has."""
+    rows = [(1, k, [0], bytearray(np.sort(np.append(np.arange(40, dtype=np.uint64), np.uint64(1000 + k))).tobytes()), 1) for k in range(n)]
+    df = spark.createDataFrame(rows, "grp long, item long, keys array<long>, shingles binary, weight long")
+    work = Workspace(spark, "t")
+    out = minhash.verified(df, work, "v").agg(F.count("*"), F.countDistinct("class"), F.min("links"), F.max("links")).first()
+    assert tuple(out) == (n, 1, n - 1, n - 1)
+    assert spark.read.parquet(f"{work.path}/v-links").count() == n
+
+
+def test_hubs_are_bounded_and_their_rows_are_spread(spark):
+    """A key of a third of all rows reaches many salts; the join's rows are those of a plain one."""
+    rows = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") + 100).alias("k"), F.col("id").alias("v"))
+    table = rows.groupBy("k").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    found = hubs(table, "k", "n")
+    assert found == [7] and hubs(table.where("k <> 7"), "k", "n") == []
+    joined = hub_join(rows, "k", table.drop("n"), found)
+    assert "salt" in joined._jdf.queryExecution().toString()
+    assert sorted(map(tuple, joined.select("k", "v", "m").collect())) == sorted(map(tuple, rows.join(table.drop("n"), "k").select("k", "v", "m").collect()))
+
+
+def test_components_with_a_hub(spark, monkeypatch):
+    from netfeat.llm import components as module
+
+    monkeypatch.setattr(module, "HUB_ROWS", 20)
+    rng = random.Random(2)
+    edges = [(500, k) for k in range(300)] + [(rng.randrange(1000, 1400), rng.randrange(1000, 1400)) for _ in range(200)]
+    got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long"), Workspace(spark, "t")).collect()}
+    ids = sorted({x for e in edges if e[0] != e[1] for x in e})
+    at = {x: k for k, x in enumerate(ids)}
+    want = brute.classes(len(ids), [(at[a], at[b]) for a, b in edges if a != b])
+    assert got == {x: ids[c] for x, c in zip(ids, want)}
+
+
 # --- op4
 
 
@@ -192,6 +255,43 @@ def test_no_common_run_is_left(real):
         seen.update(tuple(w[k : k + 51]) for k in range(len(w) - 50))
 
 
+def check_passages(rows, out):
+    """``rows`` (id, text) against ``out`` (id, text, removed_spans, removed_words), by definition."""
+    order = sorted(rows, key=lambda r: (r[0] is None, r[0]))
+    want = brute.without_passages([t for _, t in order])
+    got = {r.doc_id: (r.text, r.removed_spans, r.removed_words) for r in out}
+    assert len(got) == len(rows)
+    for (i, _), (text, spans, gone) in zip(order, want):
+        assert got[i] == (text, ",".join(f"{a}:{b}" for a, b in spans), gone), i
+
+
+def test_passages_by_definition(real):
+    texts, df = real
+    check_passages(texts, paragraphs.deduplicated(df).collect())
+
+
+def test_passages_by_definition_on_more_documents(spark):
+    path = "/root/testdata/sf0.01/documents.parquet"
+    if not os.path.exists(path):
+        pytest.skip("test tables not present")
+    df = spark.read.parquet(path)
+    texts = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+    check_passages(texts, paragraphs.deduplicated(df).collect())
+
+
+def test_case_outside_ascii_and_changing_lengths(spark):
+    """Upper and lower case are one word in all alphabets, also where a character's length changes; offsets are those of the text."""
+    rng = random.Random(14)
+    letters = ["é", "ß", "ж", "ω", "ñ", "ü", "z", "k", "i\u0307"]
+    low = ["".join(rng.choice(letters) for _ in range(6)) + str(k) for k in range(70)]
+    high = [w.replace("i\u0307", "İ").replace("k", "\u212a").replace("é", "É").replace("ж", "Ж").replace("ω", "Ω").replace("ñ", "Ñ").replace("ü", "Ü") for w in low]
+    assert [w.lower() for w in high] == low and any(len(a.encode()) != len(b.encode()) for a, b in zip(low, high))
+    rows = [(1, "İ before " + " ".join(low)), (2, "Ⱥ " + " ".join(high) + " İ after"), (3, "nothing in common")]
+    out = paragraphs.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    check_passages(rows, out)
+    assert {r.doc_id: r.removed_words for r in out} == {1: 0, 2: 70, 3: 0}
+
+
 def test_no_long_passage_is_left_twice(real):
     _, df = real
     out = paragraphs.deduplicated(df).collect()
@@ -210,6 +310,20 @@ def test_paragraphs_of_messy_rows(messy, messy_df, empty_df):
     assert paragraphs.deduplicated(empty_df).count() == 0
 
 
+def test_repeated_rows_ties_and_null_ids(spark):
+    """Equal rows are one document; of two texts under one id one keeps the passage; a null id comes last."""
+    rng = random.Random(15)
+    passage = " ".join(sentence(rng, 12) for _ in range(5))
+    own = [sentence(rng, 30) for _ in range(4)]
+    rows = [(5, f"{own[0]}\n{passage}"), (5, f"{own[0]}\n{passage}"), (5, f"{own[1]}\n{passage}"), (None, f"{own[2]}\n{passage}"), (2**62, f"{own[3]}\n{passage}")]
+    out = paragraphs.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    kept = sorted((str(r.doc_id), r.text.split("\n")[0], passage in r.text) for r in out)
+    assert [k for i, t, k in kept if i != "5"] == [False, False]
+    same = [k for i, t, k in kept if t == own[0]]
+    assert len(same) == 2 and same[0] == same[1]
+    assert [k for i, t, k in kept if t == own[1]] == [not same[0]]
+
+
 # --- op5
 
 
@@ -256,6 +370,16 @@ def test_owned_runs_become_spans_and_copied_ones_do_not(spark):
     assert clean == {1: "live [SECRET] here", 2: f"copy {example}", 3: f"copy {example}", 4: f"copy {example}", 5: "again [SECRET]"}
 
 
+def test_a_value_of_one_owner_in_many_repositories_is_copied(spark):
+    """A key that one source repeats in ten repositories is boilerplate; in nine it is still the owner's."""
+    often, seldom = "Zk3pQ9rT7wXa2LmN8vBc4", "Ak3pQ9rT7wXa2LmN8vBc9"
+    rows = [(k, f"key {often}" + (f" and {seldom}" if k < 9 else ""), "a") for k in range(10)] + [(k, f"key {often}", "a") for k in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = [(r.doc_id, r.spans) for r in secrets.digests(secrets.secret_spans(df)).collect()]
+    at = 4 + len(often) + 5
+    assert sorted(got) == sorted((i, f"owned:{at}:{at + len(seldom)}" if seldom in t else "") for i, t, _ in rows)
+
+
 def test_secrets_plan_has_no_python(messy_df):
     plan = secrets.digests(secrets.secret_spans(messy_df))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan

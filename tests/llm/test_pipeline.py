@@ -2,48 +2,23 @@
 
 import corpus_pipeline
 import brute
-import pytest
-from netfeat.llm import paragraphs, secrets, toxicity
+from netfeat.llm import secrets, toxicity
 from test_pair_operators import rows_by_join
 from test_text_operators import check_packing
-from netfeat.llm.paragraphs import passages, layout
 
 
 def reference(spark, df, sf):
     """Texts that reach the last stage. The model is the stage's own; all else is plain Python."""
     labels = spark.read.parquet(f"{sf}/labels.parquet")
     scorer = toxicity.Scorer(toxicity.train(df, labels))
-    rows = sorted((r.doc_id, r.text, r.source) for r in df.select("doc_id", "text", "source").collect())
+    rows = sorted((r.doc_id, r.text) for r in df.select("doc_id", "text").collect())
     rows = [r for r in rows if scorer.scores([r[1] or ""])[0] < 0.7]
-    joined = rows_by_join([(i, t) for i, t, _ in rows])
+    joined = rows_by_join(rows)
     rows = [r for r, (i, c, _) in zip(rows, joined) if i == c or not brute.shingles(r[1])]
-    # units that an earlier document holds: sentences by their words, lines by similarity
-    lines, units = [], []
-    for k, (_, text, _) in enumerate(rows):
-        x = layout([text])
-        units.append({int(h): k for h in x.sentence_hash})
-        for p, h in enumerate(x.paragraph_hash.tolist()):
-            w = [x.words.buffer[s:e].tobytes() for s, e in zip(x.words.start[x.paragraph == p], x.words.end[x.paragraph == p])]
-            if len(w) >= 10:
-                lines.append((k, h, {tuple(w[i : i + 5]) for i in range(len(w) - 4)}))
-    label = brute.classes(len(lines), brute.jaccard_links([s for *_, s in lines]))
-    first_line, first_sentence, repeated = {}, {}, [set() for _ in rows]
-    for (k, _, _), c in zip(lines, label):
-        first_line.setdefault(c, k)
-    for (k, h, _), c in zip(lines, label):
-        if first_line[c] != k:
-            repeated[k].add(h)
-    for k, own in enumerate(units):
-        for h in own:
-            if first_sentence.setdefault(h, k) != k:
-                repeated[k].add(h)
-    out = []
-    for k, (i, text, source) in enumerate(rows):
-        new, _, gone = passages(text, repeated[k]) if text else (text, [], 0)
-        if not gone or new.strip():
-            out.append((i, new))
     done = []
-    for i, text in out:
+    for (i, _), (text, _, gone) in zip(rows, brute.without_passages([t for _, t in rows])):
+        if gone and not text.strip():
+            continue
         at, parts = 0, []
         for start, _, end in brute.secret_spans(text, ((secrets.ASSIGN, 2), (secrets.ACCESS, 0), (secrets.HEX, 0)), list(secrets.LEAST.values())):
             if start >= at:
@@ -59,23 +34,6 @@ def test_pipeline_against_brute_force(spark, sf, real):
     check_packing(corpus_pipeline.run(spark, sf).collect(), want)
 
 
-def test_pipeline_against_brute_force_with_common_runs(spark, sf, real, monkeypatch):
-    """As above, the reference also without runs of 51 words that an earlier text of its stage holds."""
-    seen = set()
-
-    def with_runs(text, repeated):
-        w = [x.encode().lower() for x in brute.WORD.findall(text)]
-        grams = [tuple(w[k : k + 51]) for k in range(len(w) - 50)]
-        again = {int(h) for g, h in zip(grams, paragraphs.chunks(layout([text]).words).runs) if g in seen}
-        seen.update(grams)
-        return paragraphs.passages(text, repeated | again)
-
-    _, df = real
-    monkeypatch.setitem(globals(), "passages", with_runs)
-    want = reference(spark, df, sf)
-    check_packing(corpus_pipeline.run(spark, sf).collect(), want)
-
-
 def test_paragraphs_stage_leaves_no_common_run(spark, sf, real):
     """No run of 51 words of a document that leaves the stage is in an earlier document that entered it."""
     docs = real[1]

@@ -47,9 +47,16 @@ from netfeat.operators.graph import degrees, graph_stats
 from netfeat.operators.labels import label_propagation
 from netfeat.operators.neighbors import edge_risk, risky_neighbor_counts, vertex_risk
 from netfeat.operators.pagerank import pagerank
-from netfeat.operators.risk import add_country_flag, add_prefix_flag, add_risk_flags, risk_countries
+from netfeat.operators.risk import (
+    add_country_flag,
+    add_dated_risk_flags,
+    add_prefix_flag,
+    add_risk_flags,
+    risk_countries,
+)
 from netfeat.operators.skew import SkewConfig
 from netfeat.operators.snapshots import assign_snapshots, in_date_range, snapshot_table, vintages
+from netfeat.operators.timeline import Timeline
 from netfeat.operators.wire import exclude_codes, select_wire, wire_parties
 from netfeat.plans.features import (
     centrality_features,
@@ -60,7 +67,7 @@ from netfeat.plans.features import (
 )
 from netfeat.session import cut_lineage, in_parallel
 from netfeat.sources.sinks import read_features, write_features
-from netfeat.sources.tables import read_driver, read_transactions
+from netfeat.sources.tables import read_driver, read_transactions, write_by_month
 from netfeat.sources.tpch import (
     EXTRA_DRIVER_PREFIX,
     NATION_ISO3,
@@ -91,6 +98,8 @@ BATCH_START, BATCH_MONTHS, BATCH_WINDOWS = dt.date(1996, 2, 15), 12, (1, 6)
 BATCH_END = dt.date(1997, 2, 15)
 # outside the horizon of run_features
 OUTSIDE_VINTAGES = (dt.date(1995, 1, 31), dt.date(1999, 12, 31))
+APART_VINTAGES = (dt.date(1994, 6, 30), dt.date(1996, 12, 31))
+LISTS_START = dt.date(1992, 1, 1)
 LIMIT = 200
 RANGE_START = dt.date(1997, 6, 30)
 
@@ -124,16 +133,17 @@ def _sliced(spark: SparkSession, sf_dir: str, distinct: bool = False) -> DataFra
     return assign_snapshots(_trxn(spark, sf_dir, distinct), snapshot_table(drivers, TEST_WINDOWS))
 
 
-def _graph(spark: SparkSession, sf_dir: str):
+def _graph(spark: SparkSession, sf_dir: str, level: str = "vhrg"):
     _ready(spark)
-    return prepare(_sliced(spark, sf_dir), KEYS)
+    snaps = snapshot_table(_drivers(spark, sf_dir), TEST_WINDOWS)
+    return prepare(_trxn(spark, sf_dir), level=level, timeline=Timeline.of(snaps))
 
 
-def _done(graph, df: DataFrame) -> DataFrame:
-    """Drop the catalog entries of the graph's bucketed edge copies; ``df`` must
-    not read them (it is built from checkpointed frames)."""
-    graph.release()
-    return df
+def _done(sg, df: DataFrame) -> DataFrame:
+    """``df`` by vintage and window. The catalog entries of the graph's bucketed tables are dropped; ``df``
+    reads checkpoints, or files that stay."""
+    sg.graph.release()
+    return sg.named(df)
 
 
 def _round(df: DataFrame, cols: list[str], places: int = 6) -> DataFrame:
@@ -178,71 +188,75 @@ def q_window_slice(spark, sf_dir):
 
 
 def q_graph_vertices(spark, sf_dir):
-    return _graph(spark, sf_dir).graph.vertices
+    sg = _graph(spark, sf_dir)
+    return sg.named(sg.graph.vertices)
 
 
 def q_graph_edges(spark, sf_dir):
-    return _graph(spark, sf_dir).graph.edges
+    sg = _graph(spark, sf_dir)
+    return sg.named(sg.graph.edges)
 
 
 def q_degrees(spark, sf_dir):
-    return degrees(_graph(spark, sf_dir).graph)
+    sg = _graph(spark, sf_dir)
+    return sg.named(degrees(sg.graph))
 
 
 def q_pagerank(spark, sf_dir):
-    g = _graph(spark, sf_dir).graph
-    return _done(g, _round(pagerank(g), ["pagerank"]))
+    sg = _graph(spark, sf_dir)
+    return _done(sg, _round(pagerank(sg.graph), ["pagerank"]))
 
 
 def q_components(spark, sf_dir):
-    g = _graph(spark, sf_dir).graph
-    return _done(g, connected_components(g))
+    sg = _graph(spark, sf_dir)
+    return _done(sg, connected_components(sg.graph))
 
 
 def q_network_size(spark, sf_dir):
-    g = _graph(spark, sf_dir).graph
-    return _done(g, network_sizes(connected_components(g), KEYS, g.skew))
+    sg = _graph(spark, sf_dir)
+    return _done(sg, network_sizes(connected_components(sg.graph), sg.graph.key_list, sg.graph.skew))
 
 
 def q_label_propagation(spark, sf_dir):
-    g = _graph(spark, sf_dir).graph
-    return _done(g, label_propagation(g))
+    sg = _graph(spark, sf_dir)
+    return _done(sg, label_propagation(sg.graph))
 
 
 def q_community_metrics(spark, sf_dir):
-    g = _graph(spark, sf_dir).graph
-    return _done(g, cut_lineage(community_metrics(g, label_propagation(g))))
+    sg = _graph(spark, sf_dir)
+    return _done(sg, cut_lineage(community_metrics(sg.graph, label_propagation(sg.graph))))
 
 
 def q_high_risk_nodes(spark, sf_dir):
-    return _graph(spark, sf_dir).risky.select(*KEYS, "id")
+    sg = _graph(spark, sf_dir)
+    return sg.named(sg.risky).select(*KEYS, "id")
 
 
 def q_vertex_risk(spark, sf_dir):
     sg = _graph(spark, sf_dir)
-    return vertex_risk(sg.graph, sg.risky)
+    return sg.named(vertex_risk(sg.graph, sg.risky))
 
 
 def q_edge_risk(spark, sf_dir):
     sg = _graph(spark, sf_dir)
-    return edge_risk(sg.graph, vertex_risk(sg.graph, sg.risky))
+    return sg.named(edge_risk(sg.graph, vertex_risk(sg.graph, sg.risky)))
 
 
 def q_neighbor_counts(spark, sf_dir):
     sg = _graph(spark, sf_dir)
-    counts = cut_lineage(risky_neighbor_counts(sg.graph, sg.risky))
-    out = degrees(sg.graph).select(*KEYS, "id").join(counts, [*KEYS, "id"], "left")
-    return _done(sg.graph, out.na.fill({"high_risk_neighbor_count": 0}))
+    counts = risky_neighbor_counts(sg.graph, sg.risky, sg.risky_spans)
+    out = degrees(sg.graph).select("snap", "id").join(counts, ["snap", "id"], "left")
+    return sg.named(out.na.fill({"high_risk_neighbor_count": 0}))
 
 
 def q_neighbor_features(spark, sf_dir):
     sg = _graph(spark, sf_dir)
-    return _done(sg.graph, cut_lineage(neighbor_features(sg)))
+    return _done(sg, cut_lineage(neighbor_features(sg)))
 
 
 def q_centrality_features(spark, sf_dir):
     sg = _graph(spark, sf_dir)
-    return _done(sg.graph, _round(centrality_features(sg), ["pagerank_centrality"]))
+    return _done(sg, _round(centrality_features(sg), ["pagerank_centrality"]))
 
 
 def q_network_features(spark, sf_dir):
@@ -275,6 +289,69 @@ def q_run_batched(spark, sf_dir):
     return _round(out, [f"pagerank_centrality_{w}m" for w in BATCH_WINDOWS])
 
 
+class _Stopped(Exception):
+    pass
+
+
+def q_run_resumed(spark, sf_dir):
+    """A run that stops before its second batch, then one over the same inputs that goes on there."""
+    target = _output_dir(spark, "resumed")
+    seen: list[list[dt.date]] = []
+
+    def stop(batch):
+        seen.append(batch)
+        if len(seen) == 2:
+            raise _Stopped
+
+    def again(before_batch):
+        return run(
+            spark, tpch_drivers(spark, sf_dir, BATCH_VINTAGES), tpch_transactions(spark, sf_dir), target,
+            start=BATCH_START, months=BATCH_MONTHS, windows=BATCH_WINDOWS, vintages_per_batch=1, resume=True,
+            before_batch=before_batch,
+        )
+
+    try:
+        again(stop)
+    except _Stopped:
+        pass
+    rest = again(seen.append)
+    if seen[0][0] in rest or [b for batch in seen[1:] for b in batch] != [seen[1][0], *rest]:
+        raise RuntimeError(f"batches {seen}, written at last {rest}")
+    out = read_features(spark, target)
+    return _round(out, [f"pagerank_centrality_{w}m" for w in BATCH_WINDOWS])
+
+
+def q_run_by_month(spark, sf_dir):
+    """The job over transactions stored by posting month, vintages two and a half years apart: the months between
+    them are not read."""
+    source, target = _output_dir(spark, "by-month"), _output_dir(spark, "apart")
+    write_by_month(tpch_transactions(spark, sf_dir), source)
+    run(
+        spark, tpch_drivers(spark, sf_dir, APART_VINTAGES), source, target,
+        start=APART_VINTAGES[0], months=31, windows=BATCH_WINDOWS,
+    )
+    out = read_features(spark, target)
+    return _round(out, [f"pagerank_centrality_{w}m" for w in BATCH_WINDOWS])
+
+
+def q_risk_flags_dated(spark, sf_dir):
+    """Flags by country lists that change over time: each nation is listed from a date of its own, every second
+    one for a while only, and the lowest ones always were; every third one is on the very-high-risk list."""
+    key = F.col("n_nationkey").cast("int")
+    iso = F.element_at(F.array(*map(F.lit, NATION_ISO3)), key + 1)
+    begin = F.when(key >= 5, F.date_add(F.lit(LISTS_START), key * 90))
+    lists = spark.read.parquet(f"{sf_dir.rstrip('/')}/nation.parquet").select(
+        iso.alias("country"),
+        F.when(key % 3 == 0, "vhrg").otherwise("hrg").alias("level"),
+        begin.alias("valid_from"),
+        F.when(key % 2 == 0, F.date_add(F.coalesce(begin, F.lit(LISTS_START)), 400)).alias("valid_to"),
+    )
+    trxn = read_transactions(spark, tpch_transactions(spark, sf_dir), distinct=True)
+    return add_dated_risk_flags(trxn, lists).select(
+        "TRXN_REF_ID", "entity_hrg_flag", "cp_hrg_flag", "entity_vhrg_flag", "cp_vhrg_flag"
+    )
+
+
 def _new_window(spark, sf_dir, mode):
     """Sources and target as catalog tables: a run with window 6, then one with windows 6 and 12
     into the same table."""
@@ -323,9 +400,10 @@ def q_country_risk(spark, sf_dir):
 
 
 def q_graph_stats(spark, sf_dir):
-    g = _graph(spark, sf_dir).graph
+    sg = _graph(spark, sf_dir)
+    g = sg.graph
     comp, labels = in_parallel(lambda: connected_components(g), lambda: label_propagation(g))
-    return _done(g, graph_stats(g, comp, labels))
+    return _done(sg, graph_stats(g, comp, labels))
 
 
 def q_trxn_limit(spark, sf_dir):
@@ -338,9 +416,8 @@ def q_trxn_limit(spark, sf_dir):
 
 def q_neighbor_features_hrg(spark, sf_dir):
     """Neighbour counts at the combined level: both country lists."""
-    _ready(spark)
-    sg = prepare(_sliced(spark, sf_dir), KEYS, level="hrg")
-    return _done(sg.graph, cut_lineage(neighbor_features(sg, level="hrg")))
+    sg = _graph(spark, sf_dir, level="hrg")
+    return _done(sg, cut_lineage(neighbor_features(sg, level="hrg")))
 
 
 def q_ordered_limit(spark, sf_dir):
@@ -399,6 +476,17 @@ def q_write_overwrite_partitions(spark, sf_dir):
     return read_features(spark, target).select(*KEYS, "EXT_ENTITYID", "vhrg_neighbor_ct")
 
 
+def q_write_widened(spark, sf_dir):
+    """A vintage written with a narrow count column, then another with a wider one: the target widens."""
+    target = _output_dir(spark, "widened")
+    feats = q_neighbor_features(spark, sf_dir)
+    first = F.col("VINTAGE_DT") == F.lit(TEST_VINTAGES[0])
+    narrow = feats.where(first).withColumn("vhrg_neighbor_ct", F.col("vhrg_neighbor_ct").cast("int"))
+    write_features(narrow, target)
+    write_features(feats.where(~first), target)
+    return read_features(spark, target).select(*KEYS, "EXT_ENTITYID", "vhrg_neighbor_ct")
+
+
 def q_write_unpartitioned(spark, sf_dir):
     target = _output_dir(spark, "plain")
     write_features(q_neighbor_features(spark, sf_dir), target, mode="overwrite", partition_col=None)
@@ -446,6 +534,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "network_features_hot": q_network_features_hot,
     "neighbor_features_hrg": q_neighbor_features_hrg,
     "trxn_limit": q_trxn_limit,
+    "run_resumed": q_run_resumed,
+    "run_by_month": q_run_by_month,
+    "risk_flags_dated": q_risk_flags_dated,
+    "write_widened": q_write_widened,
 }
 
 
@@ -786,13 +878,44 @@ def _oracles() -> dict[str, str]:
     run_windows = _with(_base_ctes(RUN_WINDOWS) + wide_tail + _wide_ctes(RUN_WINDOWS), _wide_select(RUN_WINDOWS), recursive=True)
     old = [f"CAST(NULL AS {t}) AS {c}_{RUN_WINDOWS[1]}m" for c, t in (*_CENTRALITY_TYPES, ("vhrg_neighbor_ct", "BIGINT"))]
     first_window = _wide_select(RUN_WINDOWS[:1]).replace("\nFROM (SELECT DISTINCT", f", {', '.join(old)}\nFROM (SELECT DISTINCT", 1)
+    batched = _with(
+        _base_ctes(BATCH_WINDOWS, [v for v in BATCH_VINTAGES if BATCH_START <= v <= BATCH_END])
+        + wide_tail + _wide_ctes(BATCH_WINDOWS),
+        _wide_select(BATCH_WINDOWS),
+        recursive=True,
+    )
+    start = f"DATE '{LISTS_START.isoformat()}'"
+
+    def dated(column: str, levels: str) -> str:
+        return (
+            "CAST(EXISTS (SELECT 1 FROM lists l WHERE l.level IN "
+            f"{levels} AND list_contains({column}, l.country) AND (l.lo IS NULL OR l.lo <= t.POSTING_DATE) "
+            "AND (l.hi IS NULL OR t.POSTING_DATE <= l.hi)) AS INTEGER)"
+        )
+
     return {
-        "run_batched": _with(
-            _base_ctes(BATCH_WINDOWS, [v for v in BATCH_VINTAGES if BATCH_START <= v <= BATCH_END])
-            + wide_tail + _wide_ctes(BATCH_WINDOWS),
+        "run_batched": batched,
+        "run_resumed": batched,
+        "run_by_month": _with(
+            _base_ctes(BATCH_WINDOWS, APART_VINTAGES) + wide_tail + _wide_ctes(BATCH_WINDOWS),
             _wide_select(BATCH_WINDOWS),
             recursive=True,
         ),
+        "risk_flags_dated": _graph_sql(
+            [f"""lists AS (
+  SELECT c AS country, CASE WHEN k % 3 = 0 THEN 'vhrg' ELSE 'hrg' END AS level,
+         CASE WHEN k >= 5 THEN {start} + CAST(k * 90 AS INTEGER) END AS lo,
+         CASE WHEN k % 2 = 0 THEN {start} + CAST(CASE WHEN k >= 5 THEN k * 90 ELSE 0 END + 400 AS INTEGER) END AS hi
+  FROM nation JOIN iso ON k = n_nationkey)"""],
+            "SELECT TRXN_REF_ID, "
+            + ", ".join(
+                f"{dated(column, levels)} AS {side}_{level}_flag"
+                for side, column in (("entity", "combinedCountryCodes"), ("cp", "COUNTER_PARTY_COMBINEDCOUNTRYCODES"))
+                for level, levels in (("hrg", "('hrg', 'vhrg')"), ("vhrg", "('vhrg')"))
+            )
+            + " FROM trxn t",
+        ),
+        "write_widened": _graph_sql(_neighbor_ctes(), f"SELECT {K}, EXT_ENTITYID, vhrg_neighbor_ct FROM nf"),
         "write_new_window": run_windows,
         "append_new_window": _with(
             _base_ctes(RUN_WINDOWS) + wide_tail + _wide_ctes(RUN_WINDOWS),

@@ -30,6 +30,7 @@ def parse(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--level", default="vhrg", choices=["vhrg", "hrg", "all"], help="risk level of the neighbour count")
     p.add_argument("--mode", default="overwrite_partitions", choices=["overwrite_partitions", "append"])
     p.add_argument("--vintages-per-batch", type=int, default=None)
+    p.add_argument("--resume", action="store_true", help="skip the vintages that an earlier run of the same inputs finished")
     p.add_argument("--hot-threshold", type=int, default=SkewConfig.threshold)
     return p.parse_args(argv)
 
@@ -49,6 +50,7 @@ def main(argv: list[str] | None = None) -> list:
         mode=a.mode,
         vintages_per_batch=a.vintages_per_batch,
         skew=SkewConfig(a.hot_threshold),
+        resume=a.resume,
     )
     print(f"netfeat: wrote {len(done)} vintage(s) to {a.target}: {', '.join(map(str, done))}")
     return done

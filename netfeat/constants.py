@@ -113,6 +113,7 @@ COUNTERPARTY_COUNTRIES = "COUNTER_PARTY_COMBINEDCOUNTRYCODES"
 TRXN_REF = "TRXN_REF_ID"
 VINTAGE = "VINTAGE_DT"
 POSTING = "POSTING_DATE"
+POSTING_MONTH = "POSTING_MONTH"  # optional partition column: first day of the month of POSTING_DATE
 WINDOW = "window_m"
 
 # Snapshot key columns carried through every batched operator.

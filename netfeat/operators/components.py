@@ -11,29 +11,38 @@ in MapReduce and Beyond" (SoCC 2014). Edges are kept undirected as pairs
 
 The edge set converges to one star per component centred on its smallest
 id, in O(log^2 n) rounds, unlike plain min-label spreading whose round count
-is the diameter. Two cheap rounds of min-label spreading on the static graph
-come first (edges stay in place, only labels move) and the star rounds run on
-the edges between labels, which are far fewer. The star centres grow into hubs by construction (the
+is the diameter. The rounds begin with fewer edges than the graph has:
+
+- a numbered graph (``Graph.spans``) is first reduced within its partitions: a union-find over the edges of a
+  partition, for every snapshot, hands on one edge from each vertex to the smallest vertex it reaches there
+  (fewer edges than the partition has vertices);
+- otherwise two cheap rounds of min-label spreading on the static
+  graph come first (edges stay in place, only labels move), and the star rounds run on
+  the edges between labels.
+
+The star centres grow into hubs by construction (the
 centre of a giant component ends with one edge per member), so both
 look-ups of m(u) are salted on hot centres, found each round from the same
 aggregation that computes m(u).
 
-Convergence: the edge set is unchanged, tested exactly (equal size and no new edge). The edge set is written to the
-checkpoint folder every ``checkpoint_interval`` rounds and persisted in
-between.
+A star step turns every edge into one edge, so the set never grows, and each edge carries whether it moved: the
+loop ends, exactly, with the first round that moved none. The edge set is written to the
+checkpoint folder in every round.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netfeat.operators.graph import Graph
 from netfeat.operators.skew import SkewConfig, hot_keys, salted_join
+from netfeat.operators.timeline import CHUNK, CHUNK_COL, MASK, SNAP
 from netfeat.session import cut_lineage
 
 MAX_ROUNDS = 1_000
+#: Edges that a task collects, over all snapshots, before it reduces them to a forest.
+FOREST_EDGES = 2_000_000
 
 
 def _lookup_min(
@@ -45,42 +54,29 @@ def _lookup_min(
     return salted_join(edges, mins.select(*k, key, "m"), [*k, key], hot, F.col(other))
 
 
-def _large_star(edges: DataFrame, k: list[str], skew: SkewConfig, n_edges: int) -> DataFrame:
-    pairs = edges.select(
-        *k,
-        F.explode(
-            F.array(
-                F.struct(F.col("a").alias("u"), F.col("b").alias("v")),
-                F.struct(F.col("b").alias("u"), F.col("a").alias("v")),
-            )
-        ).alias("p"),
-    ).select(*k, "p.u", "p.v")
+def _star_round(edges: DataFrame, k: list[str], skew: SkewConfig, bound: int) -> DataFrame:
+    """Large-star, then small-star on canonical edges (a < b): (*k, a, b, moved), each edge once."""
+    ends = F.array(
+        F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v"))
+    )
     mins = (
-        pairs.groupBy(*k, "u")
+        edges.select(*k, F.explode(ends).alias("p")).select(*k, "p.u", "p.v")
+        .groupBy(*k, "u")
         .agg(F.min("v").alias("mv"), F.count(F.lit(1)).alias("deg"))
         .select(*k, "u", F.least("u", "mv").alias("m"), "deg")
     )
-    if 2 * n_edges > skew.threshold:  # read twice: hot-key check, then the join
-        mins = mins.persist(StorageLevel.MEMORY_AND_DISK)
-    # every larger neighbour b of a goes to m(a); m(a) <= a < b. One output row
-    # per input edge, so duplicates are left to the distinct of small-star.
-    out = _lookup_min(edges, mins, "a", "b", k, skew, 2 * n_edges).select(*k, F.col("m").alias("a"), "b")
-    return out, mins
-
-
-def _small_star(edges: DataFrame, k: list[str], skew: SkewConfig, n_edges: int) -> DataFrame:
-    mins = edges.groupBy(*k, F.col("b").alias("u")).agg(F.min("a").alias("m"), F.count(F.lit(1)).alias("deg"))
-    if n_edges > skew.threshold:  # read twice: hot-key check, then the join
-        mins = mins.persist(StorageLevel.MEMORY_AND_DISK)
-    # b and each smaller neighbour a go to m(b) = min of the smaller neighbours
-    linked = _lookup_min(edges, mins, "b", "a", k, skew, n_edges)
-    out = (
-        linked.select(*k, "m", F.explode(F.array("a", "b")).alias("x"))
-        .where(F.col("x") != F.col("m"))
-        .select(*k, F.col("m").alias("a"), F.col("x").alias("b"))
-        .distinct()
+    # every larger neighbour b of a goes to m(a); m(a) <= a < b
+    large = _lookup_min(edges, mins, "a", "b", k, skew, 2 * bound).select(
+        *k, F.col("m").alias("a"), "b", (F.col("m") != F.col("a")).alias("moved")
     )
-    return out, mins
+    least = large.groupBy(*k, F.col("b").alias("u")).agg(F.min("a").alias("m"), F.count(F.lit(1)).alias("deg"))
+    # the edge of b to its smallest neighbour m stays; its other smaller neighbours go to m
+    stays = F.col("a") == F.col("m")
+    small = _lookup_min(large, least, "b", "a", k, skew, bound).select(
+        *k, F.col("m").alias("a"), F.when(stays, F.col("b")).otherwise(F.col("a")).alias("b"),
+        (F.col("moved") | ~stays).alias("moved"),
+    )
+    return small.groupBy(*k, "a", "b").agg(F.max("moved").alias("moved"))
 
 
 def _min_label_rounds(graph: Graph, rounds: int) -> DataFrame:
@@ -92,63 +88,106 @@ def _min_label_rounds(graph: Graph, rounds: int) -> DataFrame:
     """
     k = graph.key_list
     on = [*k, "id"]
-    labels = graph.vertices.select(*on, F.col("id").alias("label"))
+    labels, state = graph.vertex_table().select(*on, F.col("id").alias("label")), None
     for _ in range(rounds):
         to_dst = graph.gather("src", labels).select(*k, F.col("dst").alias("id"), "label")
         to_src = graph.gather("dst", labels).select(*k, F.col("src").alias("id"), "label")
         best = to_dst.unionByName(to_src).groupBy(*on).agg(F.min("label").alias("m"))
-        labels = cut_lineage(
-            labels.join(best, on, "left").select(*on, F.least("label", F.coalesce("m", "label")).alias("label"))
+        state = graph.put(
+            labels.join(best, on, "left").select(*on, F.least("label", F.coalesce("m", "label")).alias("label")), old=state
         )
+        labels = state.frame
     return labels
 
 
-def _star_rounds(edges: DataFrame, k: list[str], skew: SkewConfig, checkpoint_interval: int, max_rounds: int) -> DataFrame:
-    """Alternate large-star and small-star on canonical edges (a < b) until the
-    edge set is unchanged; returns the final stars (centre a, member b)."""
-    size = edges.count()
-    previous: DataFrame | None = None  # persisted (not checkpointed) edge set of the last round
-    for rnd in range(1, max_rounds + 1):
-        # each star step emits at most one edge per input edge, so the size bounds every count
-        large, m1 = _large_star(edges, k, skew, size)
-        large = large.persist(StorageLevel.MEMORY_AND_DISK)
-        small, m2 = _small_star(large, k, skew, size)
-        if rnd % max(1, checkpoint_interval) == 0:
-            nxt, kept = cut_lineage(small), None
-        else:
-            nxt = kept = small.persist(StorageLevel.MEMORY_AND_DISK)
-        # both are sets, so an equal size and no new edge mean the same set
-        before, size = size, nxt.count()
-        done = size == before and nxt.join(edges, [*k, "a", "b"], "left_anti").isEmpty()
-        for f in (m1, large, m2, previous):
-            if f is not None:
-                f.unpersist()
-        previous, edges = kept, nxt
-        if done:
-            break
-    else:
-        raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
-    if previous is None:
-        return edges
-    final = cut_lineage(edges)
-    previous.unpersist()
-    return final
-
-
-def connected_components(
-    graph: Graph, spread_rounds: int = 2, checkpoint_interval: int = 2, max_rounds: int = MAX_ROUNDS
-) -> DataFrame:
+def _local_forests(spans: DataFrame) -> DataFrame:
+    """(snap, a, b): for every snapshot and partition of ``spans`` (_chunk, src, dst, _mask; ids as longs) an edge from
+    the smallest vertex of each tree of a spanning forest to each other vertex of it.
+
+    The state of a task is one tree edge for each vertex that it has seen in a snapshot, and a bounded number of
+    edges on top; the batches are Arrow arrays of longs. The function is pure, so a task may run again."""
+    chunk, limit = CHUNK, FOREST_EDGES
+
+    # all of it is inside, so that workers need no copy of this package
+    def forests(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def stars(a, b):
+            ids, ends = np.unique(np.concatenate((a, b)), return_inverse=True)
+            label, u, v = np.arange(len(ids)), ends[: len(a)], ends[len(a) :]
+            while len(u):
+                u, v = label[u], label[v]
+                low, high = np.minimum(u, v), np.maximum(u, v)
+                open_ = low < high
+                u, v = low[open_], high[open_]
+                np.minimum.at(label, v, u)
+                while True:
+                    jumped = label[label]
+                    if (jumped == label).all():
+                        break
+                    label = jumped
+            member = np.flatnonzero(label != np.arange(len(ids)))
+            return ids[label[member]], ids[member]
+
+        held, waiting, n = {}, {}, 0
+
+        def reduce():
+            for snap, parts in waiting.items():
+                a, b = (np.concatenate(x) for x in zip(*parts, held.get(snap, (np.zeros(0, np.int64),) * 2)))
+                held[snap] = stars(a, b)
+            waiting.clear()
+
+        for batch in batches:
+            of, src, dst, mask = (batch.column(c).to_numpy() for c in range(4))
+            for c in np.unique(of).tolist():
+                mine = of == c
+                some = int(np.bitwise_or.reduce(mask[mine]))
+                for bit in range(chunk):
+                    if some >> bit & 1:
+                        edge = mine & ((mask >> bit) & 1 == 1) & (src != dst)
+                        waiting.setdefault(c * chunk + bit, []).append((src[edge], dst[edge]))
+                        n += int(edge.sum())
+            if n >= limit:
+                reduce()
+                n = 0
+        reduce()
+        for snap, (a, b) in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), snap, np.int32)), pa.array(a), pa.array(b)], names=["snap", "a", "b"])
+
+    return spans.select(CHUNK_COL, "src", "dst", MASK).mapInArrow(forests, f"{SNAP} int, a long, b long")
+
+
+def _star_rounds(edges: DataFrame, k: list[str], skew: SkewConfig, bound: int, max_rounds: int) -> DataFrame:
+    """Star rounds on canonical edges (a < b), each once, until none moves; returns the final stars (centre a, member b).
+    ``bound``: an upper bound of their number."""
+    for _ in range(max_rounds):
+        after = cut_lineage(_star_round(edges, k, skew, bound))
+        edges = after.drop("moved")
+        if after.where("moved").isEmpty():
+            return edges
+    raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
+
+
+def connected_components(graph: Graph, spread_rounds: int = 2, max_rounds: int = MAX_ROUNDS) -> DataFrame:
     """(*keys, id, component) where component is the smallest id of the component.
 
-    Isolated vertices are components of their own. First ``spread_rounds``
-    rounds of min-label spreading run on the static graph, where only labels
-    move; every edge is then replaced by the pair of its end labels, and
-    large-star / small-star runs on that contracted (much smaller) edge set
-    until it no longer changes. ``max_rounds`` only guards against a bug.
+    Isolated vertices are components of their own. A numbered graph hands on the forests of its partitions to the star
+    rounds. For any other, ``spread_rounds``
+    rounds of min-label spreading run on the static graph first, where only labels
+    move; every edge is then replaced by the pair of its end labels, and the star rounds run on that contracted (much
+    smaller) edge set. ``max_rounds`` only guards against a bug.
     """
     k = graph.key_list
     on = [*k, "id"]
     skew = graph.skew
+    bound = graph.sizes()[1]
+    if graph.spans is not None:
+        forest = cut_lineage(_local_forests(graph.spans).distinct())
+        centre = _star_rounds(forest, k, skew, bound, max_rounds).select(*k, F.col("b").alias("id"), F.col("a").alias("centre"))
+        return cut_lineage(
+            graph.vertex_table().join(centre, on, "left").select(*on, F.coalesce("centre", "id").alias("component"))
+        )
     if spread_rounds > 0:
         labels = _min_label_rounds(graph, spread_rounds)
         ends = graph.gather("src", labels.withColumnRenamed("label", "ls"))
@@ -161,9 +200,9 @@ def connected_components(
     contracted = cut_lineage(
         ends.select(*k, lo.alias("a"), hi.alias("b")).where(F.col("a") != F.col("b")).distinct()
     )
-    stars = _star_rounds(contracted, k, skew, checkpoint_interval, max_rounds)
+    stars = _star_rounds(contracted, k, skew, bound, max_rounds)
     # centre of every label that is a star member; other labels are centres themselves
-    centre = stars.groupBy(*k, F.col("b").alias("label")).agg(F.min("a").alias("centre"))
+    centre = stars.select(*k, F.col("b").alias("label"), F.col("a").alias("centre"))
     # many vertices share a label (that is the point of spreading): hot labels are salted
     per_label = labels.groupBy(*k, "label").agg(F.count(F.lit(1)).alias("n"))
     hot = hot_keys(per_label, [*k, "label"], "n", skew, graph.sizes()[0])

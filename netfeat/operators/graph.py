@@ -13,6 +13,7 @@ import threading
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,32 +21,48 @@ from pyspark.sql import functions as F
 from netfeat.constants import COUNTERPARTY, ENTITY, SENTINEL_IDS
 from netfeat.functions import valid_id
 from netfeat.operators.skew import DEFAULT_SKEW, N_SALT, SkewConfig, hot_keys, salted_join
-from netfeat.session import checkpoint_dir, cut_lineage, delete_path, in_parallel
+from netfeat.operators.timeline import CHUNK_COL, MASK, SNAP, counts_by_snapshot
+from netfeat.session import checkpoint_dir, cut_lineage, delete_path
 
 # Edge rows per partition of the endpoint-partitioned edge copies.
 EDGES_PER_PARTITION = 2_000_000
 
 
+class VertexTable(NamedTuple):
+    """Per-vertex state ``(*keys, id, ...)``, written once and bucketed like the edge copies."""
+
+    frame: DataFrame
+    name: str
+    path: str
+
+
 @dataclass
 class Graph:
     """Vertices ``(*keys, id)`` and edges ``(*keys, src, dst)`` of one graph, or of
     many snapshot graphs at once (``keys``), with what the algorithms share:
-    sizes, hot vertices, salted endpoint joins for one-shot look-ups, and
-    endpoint-bucketed edge copies for per-round look-ups (:meth:`gather`).
+    sizes, hot vertices, salted endpoint joins for one-shot look-ups,
+    endpoint-bucketed edge copies for per-round look-ups (:meth:`gather`) and vertex
+    state bucketed alike (:meth:`put`).
     Call :meth:`release` when no lazy frame reads the bucketed copies any more.
+
+    ``spans`` (``_chunk, src, dst, _mask``), if known, are the edges once each with the snapshots they
+    hold in (:mod:`netfeat.operators.timeline`); ``keys`` is then ``("snap",)``.
     """
 
     vertices: DataFrame
     edges: DataFrame
     keys: tuple[str, ...] = ()
     skew: SkewConfig = DEFAULT_SKEW
+    spans: DataFrame | None = None
     _hot: object = field(default=None, repr=False)
     _hot_done: bool = field(default=False, repr=False)
     _sizes: tuple[int, int] | None = field(default=None, repr=False)
     _by_endpoint: dict = field(default_factory=dict, repr=False)
     _tables: list = field(default_factory=list, repr=False)
     _paths: list = field(default_factory=list, repr=False)
+    _vertex_table: VertexTable | None = field(default=None, repr=False)
     _lock: threading.Lock = field(default_factory=threading.Lock, repr=False)
+    _vertex_lock: threading.Lock = field(default_factory=threading.Lock, repr=False)
     _endpoint_locks: dict = field(
         default_factory=lambda: {"src": threading.Lock(), "dst": threading.Lock()}, repr=False
     )
@@ -55,12 +72,15 @@ class Graph:
         return list(self.keys)
 
     def sizes(self) -> tuple[int, int]:
-        """(vertex rows, edge rows) over all snapshots; two small count jobs, once."""
+        """(vertex rows, edge rows) over all snapshots; known from the build, or two small count jobs, once."""
         with self._lock:
             if self._sizes is None:
                 self._sizes = (self.vertices.count(), self.edges.count())
             return self._sizes
 
+    def know_sizes(self, vertices: int, edges: int) -> None:
+        self._sizes = (vertices, edges)
+
     def hot(self) -> DataFrame | None:
         """Vertices whose degree exceeds the skew threshold (bounded table) or None."""
         bound = 2 * self.sizes()[1]  # a degree never exceeds twice the edge rows
@@ -97,10 +117,7 @@ class Graph:
             if endpoint not in self._by_endpoint:
                 spark = self.edges.sparkSession
                 k = self.key_list
-                # beyond Spark's limit the buckets grow instead
-                most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
-                n = max(spark.sparkContext.defaultParallelism, math.ceil(self.sizes()[1] / EDGES_PER_PARTITION))
-                n = min(n, most)
+                n = self.buckets()
                 e = self.edges.select(*k, "src", "dst")
                 hot = self.hot()
                 hot_edges = None
@@ -123,8 +140,47 @@ class Graph:
                 self._by_endpoint[endpoint] = (spark.table(name), hot_edges)
             return self._by_endpoint[endpoint]
 
+    def buckets(self) -> int:
+        """Buckets of the edge copies and the vertex state."""
+        spark = self.edges.sparkSession
+        # beyond Spark's limit the buckets grow instead
+        most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
+        n = max(spark.sparkContext.defaultParallelism, math.ceil(self.sizes()[1] / EDGES_PER_PARTITION))
+        return min(n, most)
+
+    def put(self, state: DataFrame, old: VertexTable | None = None) -> VertexTable:
+        """Write ``state`` ``(*keys, id, ...)`` bucketed on ``(*keys, id)`` and drop ``old``, which it was made from.
+
+        A round that joins the new state with the edge copies, or with sums per vertex, shuffles neither the state nor
+        the edges: only the partial sums move. The table also cuts the lineage; it is in the shared folder and
+        survives the loss of executors."""
+        spark, on, n = state.sparkSession, [*self.keys, "id"], self.buckets()
+        name = f"netfeat_state_{uuid.uuid4().hex[:16]}"
+        path = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+        with self._lock:
+            self._tables.append(name)
+            self._paths.append(path)
+        (
+            state.repartition(n, *on)  # already so after a join with another such table
+            .write.bucketBy(n, *on).mode("error").option("path", path).saveAsTable(name)
+        )
+        if old is not None:
+            spark.sql(f"DROP TABLE IF EXISTS {old.name}")
+            delete_path(spark, old.path)
+            with self._lock:
+                self._tables.remove(old.name)
+                self._paths.remove(old.path)
+        return VertexTable(spark.table(name), name, path)
+
+    def vertex_table(self) -> DataFrame:
+        """The vertices, bucketed; written once."""
+        with self._vertex_lock:
+            if self._vertex_table is None:
+                self._vertex_table = self.put(self.vertices.select(*self.keys, "id"))
+            return self._vertex_table.frame
+
     def release(self, delete_files: bool = False) -> None:
-        """Drop the catalog entries of the bucketed edge copies; with ``delete_files``
+        """Drop the catalog entries of the bucketed edge copies and vertex state; with ``delete_files``
         also their files (only when no frame reads them any more)."""
         spark = self.edges.sparkSession
         with self._endpoint_locks["src"], self._endpoint_locks["dst"], self._lock:
@@ -132,6 +188,7 @@ class Graph:
                 spark.sql(f"DROP TABLE IF EXISTS {name}")
             self._tables.clear()
             self._by_endpoint.clear()
+            self._vertex_table = None
             if delete_files:
                 for path in self._paths:
                     delete_path(spark, path)
@@ -157,11 +214,6 @@ class Graph:
             out = out.unionByName(salted_join(hot_edges, s_hot, on, hot, F.col(other)))
         return out
 
-    def materialize(self) -> Graph:
-        """Write vertices and edges to the checkpoint folder (they are read by every algorithm)."""
-        vertices, edges = in_parallel(lambda: cut_lineage(self.vertices), lambda: cut_lineage(self.edges))
-        return Graph(vertices, edges, self.keys, self.skew)
-
 
 def build_graph(
     trxn: DataFrame,
@@ -191,12 +243,19 @@ def build_graph(
     return Graph(vertices, edges, keys, skew)
 
 
+def _ends(spans: DataFrame) -> DataFrame:
+    return spans.select(CHUNK_COL, MASK, F.explode(F.array("src", "dst")).alias("id"))
+
+
 def degrees(graph: Graph) -> DataFrame:
     """In + out degree per vertex with at least one edge; a self-loop counts 2.
 
-    Map-side partial counts make a hub vertex cheap.
+    Map-side partial counts make a hub vertex cheap. With ``spans`` the count of every snapshot is a running sum of
+    changes, and no edge is copied for a snapshot.
     """
     k = graph.key_list
+    if graph.spans is not None:
+        return counts_by_snapshot(_ends(graph.spans), "id", "degree").select(SNAP, "id", "degree")
     return (
         graph.edges.select(*k, F.explode(F.array("src", "dst")).alias("id"))
         .groupBy(*k, "id")
@@ -205,6 +264,8 @@ def degrees(graph: Graph) -> DataFrame:
 
 
 def out_degrees(graph: Graph) -> DataFrame:
+    if graph.spans is not None:
+        return counts_by_snapshot(graph.spans.withColumnRenamed("src", "id"), "id", "out_degree")
     k = graph.key_list
     return graph.edges.groupBy(*k, F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("out_degree"))
 

@@ -8,8 +8,8 @@ keeps its label. Bipartite parts may swap labels forever; that is kept.
 
 Per round: the labels meet the edges twice, once partitioned by source (the
 source's label is a vote for the destination) and once by destination (a
-vote for the source); both edge copies are partitioned once per run, so only
-vertex-sized labels move. Votes are counted per (vertex, label) with partial
+vote for the source); both edge copies are partitioned once per run and the labels are written
+partitioned alike, so only votes move. Votes are counted per (vertex, label) with partial
 aggregation, then the winner per vertex (again partial, so a hub with
 millions of distinct labels is reduced before its final task).
 """
@@ -21,14 +21,13 @@ from pyspark.sql import functions as F
 
 from netfeat.constants import LABEL_PROPAGATION_ITERATIONS
 from netfeat.operators.graph import Graph
-from netfeat.session import cut_lineage
 
 
 def label_propagation(graph: Graph, max_iter: int = LABEL_PROPAGATION_ITERATIONS) -> DataFrame:
     """(*keys, id, label) for every vertex."""
     k = graph.key_list
     on = [*k, "id"]
-    labels = graph.vertices.select(*on, F.col("id").alias("label"))
+    labels, state = graph.vertex_table().select(*on, F.col("id").alias("label")), None
     for _ in range(max_iter):
         to_dst = graph.gather("src", labels).select(*k, F.col("dst").alias("id"), "label")
         to_src = graph.gather("dst", labels).select(*k, F.col("src").alias("id"), "label")
@@ -40,7 +39,8 @@ def label_propagation(graph: Graph, max_iter: int = LABEL_PROPAGATION_ITERATIONS
             .agg(F.min(F.struct((-F.col("n")).alias("neg_votes"), F.col("label"))).alias("best"))
             .select(*on, F.col("best.label").alias("new_label"))
         )
-        labels = cut_lineage(
-            labels.join(best, on, "left").select(*on, F.coalesce("new_label", "label").alias("label"))
+        state = graph.put(
+            labels.join(best, on, "left").select(*on, F.coalesce("new_label", "label").alias("label")), old=state
         )
+        labels = state.frame
     return labels

@@ -14,8 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netfeat.constants import COUNTERPARTY, ENTITY
-from netfeat.operators.graph import Graph
+from netfeat.operators.graph import Graph, _ends
 from netfeat.operators.risk import flag_columns
+from netfeat.operators.skew import hot_keys, salted_join
+from netfeat.operators.timeline import CHUNK_COL, MASK, counts_by_snapshot
 
 
 def high_risk_nodes(trxn: DataFrame, keys: Iterable[str] = (), level: str = "vhrg") -> DataFrame:
@@ -66,16 +68,28 @@ def neighbor_counts(graph: Graph, edges_with_risk: DataFrame) -> DataFrame:
     return ends.groupBy(*k, "id").agg(F.sum("n").cast("long").alias("high_risk_neighbor_count"))
 
 
-def risky_neighbor_counts(graph: Graph, nodes: DataFrame) -> DataFrame:
+def risky_neighbor_counts(graph: Graph, nodes: DataFrame, spans: DataFrame | None = None) -> DataFrame:
     """(*keys, id, high_risk_neighbor_count) for vertices with at least one
     high-risk neighbour; the same counts as :func:`neighbor_counts`, zeros left out.
 
-    Only edges with a high-risk end are needed: the high-risk set meets the
+    Only edges with a high-risk end are needed. With ``spans`` (``_chunk, id, _mask``: the snapshots in which a vertex is
+    high-risk) an edge meets each of its ends once, its mask is cut to the snapshots in which that end is high-risk, and the
+    counts are running sums of changes: nothing is copied for a snapshot. Without, the high-risk set meets the
     endpoint-bucketed edge copies (``Graph.gather``, inner join), so no edge is
     shuffled; each such end adds 1 to the vertex at the other end.
     """
     k = graph.key_list
     on = [*k, "id"]
+    if spans is not None and graph.spans is not None:
+        risk = spans.withColumnRenamed(MASK, "_risk")
+        hot = hot_keys(_ends(graph.spans).groupBy(CHUNK_COL, "id").agg(F.count(F.lit(1)).alias("n")), [CHUNK_COL, "id"], "n", graph.skew, 2 * graph.sizes()[1], graph._paths)
+        ends = []
+        for end, other in (("src", "dst"), ("dst", "src")):
+            named = None if hot is None else hot.withColumnRenamed("id", end)
+            met = salted_join(graph.spans, risk.withColumnRenamed("id", end), [CHUNK_COL, end], named, F.col(other))
+            both = F.col(MASK).bitwiseAND(F.col("_risk"))
+            ends.append(met.select(CHUNK_COL, F.col(other).alias("id"), both.alias(MASK)).where(F.col(MASK) != 0))
+        return counts_by_snapshot(ends[0].unionByName(ends[1]), "id", "high_risk_neighbor_count").select(*on, "high_risk_neighbor_count")
     risky = nodes.select(*on).join(graph.vertices, on, "left_semi")
     to_src = graph.gather("dst", risky).select(*k, F.col("src").alias("id"))
     to_dst = graph.gather("src", risky).select(*k, F.col("dst").alias("id"))

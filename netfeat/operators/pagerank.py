@@ -5,11 +5,10 @@ in-edges (u, v) of r(u) / outdeg(u), with no redistribution of dangling
 mass; after the last round ranks are scaled per snapshot so that they add
 up to the number of vertices (isolated ones included).
 
-Per round: the rank share of each source meets its out-edges, which are
-partitioned by source once for the whole run (only the vertex-sized shares
-move; hub sources meet theirs in a salted join), contributions are
-summed per destination with map-side partial sums, and the new ranks are
-written to the checkpoint folder.
+Per round: the rank share of each source meets its out-edges. Both are bucketed by the vertex, the
+edges once for the whole run and the ranks when they are written, so neither moves (hub sources meet
+their edges in a salted join); contributions are summed per destination with map-side partial
+sums, the only shuffle, and meet the ranks in place.
 """
 
 from __future__ import annotations
@@ -19,7 +18,6 @@ from pyspark.sql import functions as F
 
 from netfeat.constants import PAGERANK_ITERATIONS, PAGERANK_RESET
 from netfeat.operators.graph import Graph, out_degrees
-from netfeat.session import cut_lineage
 
 
 def pagerank(graph: Graph, reset: float = PAGERANK_RESET, max_iter: int = PAGERANK_ITERATIONS) -> DataFrame:
@@ -27,13 +25,13 @@ def pagerank(graph: Graph, reset: float = PAGERANK_RESET, max_iter: int = PAGERA
     k = graph.key_list
     on = [*k, "id"]
     # 1 / out-degree is fixed for the whole run; vertices without out-edges get null.
-    base = cut_lineage(
-        graph.vertices.join(out_degrees(graph), on, "left").select(
-            *on, (F.lit(1.0) / F.col("out_degree")).alias("inv_out")
+    state = graph.put(
+        graph.vertex_table().join(out_degrees(graph), on, "left").select(
+            *on, (F.lit(1.0) / F.col("out_degree")).alias("inv_out"), F.lit(1.0).alias("rank")
         )
     )
-    ranks = base.withColumn("rank", F.lit(1.0))
     for _ in range(max_iter):
+        ranks = state.frame
         share = ranks.where(F.col("inv_out").isNotNull()).select(
             *on, (F.col("rank") * F.col("inv_out")).alias("share")
         )
@@ -42,14 +40,15 @@ def pagerank(graph: Graph, reset: float = PAGERANK_RESET, max_iter: int = PAGERA
             .groupBy(*k, F.col("dst").alias("id"))
             .agg(F.sum("share").alias("incoming"))
         )
-        ranks = cut_lineage(
-            base.join(sums, on, "left").select(
+        state = graph.put(
+            ranks.join(sums, on, "left").select(
                 *on,
                 "inv_out",
                 (F.lit(reset) + F.lit(1.0 - reset) * F.coalesce(F.col("incoming"), F.lit(0.0))).alias("rank"),
-            )
+            ),
+            old=state,
         )
-    return normalise(ranks.select(*on, "rank"), k)
+    return normalise(state.frame.select(*on, "rank"), k)
 
 
 def normalise(ranks: DataFrame, keys: list[str]) -> DataFrame:

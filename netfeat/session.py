@@ -50,6 +50,13 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, through the Hadoop file system of its scheme."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p)
+
+
 def in_parallel(*thunks: Callable[[], Any]) -> list[Any]:
     """Run independent Spark jobs from separate threads and return their results.
 

@@ -18,6 +18,7 @@ from netfeat.constants import (
     ENTITY,
     ENTITY_COUNTRIES,
     POSTING,
+    POSTING_MONTH,
     TRXN_REF,
     VINTAGE,
 )
@@ -39,6 +40,9 @@ TRANSACTION_SCHEMA = StructType(
 
 Source = DataFrame | str
 
+#: Tasks that write one month, about.
+FILES_PER_MONTH = 16
+
 
 def load(spark: SparkSession, source: Source) -> DataFrame:
     if isinstance(source, DataFrame):
@@ -96,16 +100,26 @@ def read_transactions(
     """Typed transactions: entity not null, null counterparty as ``NaN``.
 
     ``date_from`` / ``date_to`` bound POSTING_DATE (both included) at the
-    scan. The country columns must exist: without them every risk flag would be 0.
+    scan; in a table partitioned by ``POSTING_MONTH`` (:func:`write_by_month`) they also prune
+    partitions, and the column is kept, so that the snapshots prune the months between them
+    (``Timeline.assign``). The country columns must exist: without them every risk flag would be 0.
     ``limit`` keeps the first rows in the order of all columns. Duplicate rows do not change any feature (vertices, edges,
     high-risk sets and entity sets are all distinct), so ``distinct`` is off
     by default: it would cost a full shuffle of the transaction table.
     """
-    df = conform(load(spark, source), TRANSACTION_SCHEMA, [ENTITY, ENTITY_COUNTRIES, COUNTERPARTY, COUNTERPARTY_COUNTRIES, POSTING])
+    raw = load(spark, source)
+    schema = TRANSACTION_SCHEMA
+    if POSTING_MONTH in raw.columns:
+        schema = StructType([*schema.fields, StructField(POSTING_MONTH, DateType())])
+    df = conform(raw, schema, [ENTITY, ENTITY_COUNTRIES, COUNTERPARTY, COUNTERPARTY_COUNTRIES, POSTING])
     if date_from is not None:
         df = df.where(F.col(POSTING) >= F.lit(date_from).cast("date"))
+        if POSTING_MONTH in raw.columns:
+            df = df.where(F.col(POSTING_MONTH) >= F.trunc(F.lit(date_from).cast("date"), "month"))
     if date_to is not None:
         df = df.where(F.col(POSTING) <= F.lit(date_to).cast("date"))
+        if POSTING_MONTH in raw.columns:
+            df = df.where(F.col(POSTING_MONTH) <= F.lit(date_to).cast("date"))
     if distinct:
         df = df.distinct()
     if limit is not None:
@@ -113,3 +127,18 @@ def read_transactions(
         df = df.orderBy(TRXN_REF, ENTITY, COUNTERPARTY, POSTING, VINTAGE, ENTITY_COUNTRIES, COUNTERPARTY_COUNTRIES)
         df = df.limit(int(limit))
     return clean_transactions(df)
+
+
+def write_by_month(trxn: DataFrame, target: str, mode: str = "error") -> None:
+    """Store transactions partitioned by ``POSTING_MONTH``, the first day of the month of POSTING_DATE.
+
+    Rows are dealt by the month and a hash of the row's ids, so a month is a bounded number of files and a
+    large month several tasks."""
+    month = F.trunc(F.col(POSTING), "month").alias(POSTING_MONTH)
+    rows = trxn.select(*[c for c in trxn.columns if c != POSTING_MONTH], month)
+    spread = F.pmod(F.xxhash64(ENTITY, COUNTERPARTY, POSTING), F.lit(FILES_PER_MONTH))
+    w = rows.repartition(POSTING_MONTH, spread).write.partitionBy(POSTING_MONTH).mode(mode)
+    if "/" in target:
+        w.parquet(target)
+    else:
+        w.saveAsTable(target)

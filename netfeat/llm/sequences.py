@@ -1,8 +1,8 @@
 """Token ids in Arrow files of equal-length sequences with masks, for random access without copies.
 
 A data set is a folder of shards. A shard is a pair of Arrow IPC files: the sequences, in record batches of two
-fixed-size-list columns (``ids``: uint32, ``mask``: uint8, 1 for an id and 0 for the padding after the last one), and
-the index of the documents (``doc_id``, ``start``: ids before it in the shard, ``n_tokens``). Documents lie end to end in the order of
+fixed-size-list columns (``ids``: uint16 if the vocabulary fits, else uint32; ``mask``: boolean, true for an id and false for
+the padding after the last one), and the index of the documents (``doc_id``, ``start``: ids before it in the shard, ``n_tokens``). Documents lie end to end in the order of
 their ids, across sequences and batches, and never across shards. All values of a column are one buffer a batch, so a
 memory-mapped sequence is an array on the mapped file."""
 
@@ -24,7 +24,7 @@ from netfeat.llm.common import Workspace, text_slices
 from netfeat.llm.tokens import MEMO, tokenizer
 
 LENGTH = 2048
-#: Sequences of a record batch: 2 MB of ids and 0.5 MB of masks.
+#: Sequences of a record batch: 1 or 2 MB of ids and 64 KB of masks.
 BATCH = 256
 #: A shard ends with the document that brings it to so many ids.
 SHARD_TOKENS = 1 << 24
@@ -36,8 +36,8 @@ _INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens",
 _MANIFEST = "part int, shard int, sequences_file string, index_file string, n_documents long, n_sequences long, n_tokens long"
 
 
-def _schema(length: int) -> pa.Schema:
-    return pa.schema([("ids", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length))])
+def _schema(length: int, kind: str) -> pa.Schema:
+    return pa.schema([("ids", pa.list_(pa.from_numpy_dtype(np.dtype(kind)), length)), ("mask", pa.list_(pa.bool_(), length))])
 
 
 def _open(path: str) -> tuple[pafs.FileSystem, str]:
@@ -50,15 +50,17 @@ def _open(path: str) -> tuple[pafs.FileSystem, str]:
 class ShardWriter:
     """Writes one shard. Holds one record batch and one piece of the index, however large the shard is."""
 
-    def __init__(self, folder: str, name: str, length: int, batch: int):
-        self.length, self.shape = length, (batch, length)
+    def __init__(self, folder: str, name: str, length: int, batch: int, kind: str = "<u4"):
+        if length % 8:
+            raise ValueError(f"length {length}: the masks of sequences are whole bytes, so it must be a multiple of 8")
+        self.length, self.schema = length, _schema(length, kind)
         self.fs, base = _open(folder)
         self.fs.create_dir(base, recursive=True)
         self.names = [f"{name}.sequences.arrow", f"{name}.documents.arrow"]
         self.paths = [f"{base}/{n}" for n in self.names]
         self.sinks = [self.fs.open_output_stream(p) for p in self.paths]
-        self.writers = [pa.ipc.new_file(s, schema) for s, schema in zip(self.sinks, (_schema(length), _INDEX))]
-        self.ids = np.zeros(batch * length, "<u4")
+        self.writers = [pa.ipc.new_file(s, schema) for s, schema in zip(self.sinks, (self.schema, _INDEX))]
+        self.ids = np.zeros(batch * length, kind)
         self.fill = self.n_tokens = self.n_documents = self.n_sequences = 0
         self.index: list[tuple] = []
 
@@ -83,11 +85,11 @@ class ShardWriter:
 
     def _write_batch(self) -> None:
         n = -(-self.fill // self.length)
-        ids, mask = self.ids[: n * self.length].copy(), np.ones(n * self.length, np.uint8)
+        ids, mask = self.ids[: n * self.length].copy(), np.ones(n * self.length, bool)
         ids[self.fill :] = 0
-        mask[self.fill :] = 0
+        mask[self.fill :] = False
         columns = [pa.FixedSizeListArray.from_arrays(pa.array(v), self.length) for v in (ids, mask)]
-        self.writers[0].write_batch(pa.record_batch(columns, schema=_schema(self.length)))
+        self.writers[0].write_batch(pa.record_batch(columns, schema=self.schema))
         self.n_sequences += n
         self.fill = 0
 
@@ -106,6 +108,19 @@ class ShardWriter:
             self.fs.delete_file(path)
 
 
+def unpacked(mask: np.ndarray) -> np.ndarray:
+    """The mask of a sequence, 0 or 1 a place."""
+    return np.unpackbits(mask, bitorder="little")
+
+
+def id_type(vocabulary: str, end: int) -> str:
+    """The smallest of uint16 and uint32 that holds all ids of a vocabulary."""
+    import tokenizers
+
+    highest = max([end, *tokenizers.Tokenizer.from_file(vocabulary).get_vocab(with_added_tokens=True).values()])
+    return "<u2" if highest < 1 << 16 else "<u4"
+
+
 class Shard:
     """Reads one shard. On a local file system the arrays are views of the memory-mapped file."""
 
@@ -125,25 +140,27 @@ class Shard:
             self._held = (k, self.sequences.get_batch(k))
         return self._held[1]
 
-    def _values(self, k: int, column: str) -> np.ndarray:
-        return self._columns(k).column(column).values.to_numpy(zero_copy_only=True)
+    def _values(self, k: int) -> np.ndarray:
+        return self._columns(k).column("ids").values.to_numpy(zero_copy_only=True)
 
     def __len__(self) -> int:
         n = self.sequences.num_record_batches
         return (n - 1) * self.batch + self._columns(n - 1).num_rows if n else 0
 
     def sequence(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, mask) of the k-th sequence, whatever was read before it."""
+        """(ids, mask) of the k-th sequence, whatever was read before it; the mask as Arrow keeps booleans, eight to
+        a byte (``unpacked`` gives one a place)."""
         batch, row = divmod(k, self.batch)
-        lo = row * self.length
-        return tuple(self._values(batch, c)[lo : lo + self.length] for c in ("ids", "mask"))
+        lo, size = row * self.length, self.length // 8
+        bits = np.frombuffer(self._columns(batch).column("mask").values.buffers()[1], np.uint8)
+        return self._values(batch)[lo : lo + self.length], bits[row * size : (row + 1) * size]
 
     def tokens(self, start: int, n: int) -> Iterator[np.ndarray]:
         """The ids from ``start`` on, as one view for each record batch that they touch."""
         size = self.batch * self.length
         while n > 0:
             batch, lo = divmod(start, size)
-            part = self._values(batch, "ids")[lo : min(lo + n, size)]
+            part = self._values(batch)[lo : min(lo + n, size)]
             yield part
             start += len(part)
             n -= len(part)
@@ -159,7 +176,7 @@ class Shard:
             f.close()
 
 
-def _writer(folder: str, encode: Callable[[], Callable[[list[str]], list[bytes]]], end: int, length: int, batch: int, limit: int):
+def _writer(folder: str, encode: Callable[[], Callable[[list[str]], list[bytes]]], end: int, length: int, batch: int, limit: int, kind: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, attempt, last = TaskContext.get().partitionId(), uuid.uuid4().hex, np.array([end], "<u4")
         ids_of, shard, rows = encode(), None, []
@@ -173,7 +190,7 @@ def _writer(folder: str, encode: Callable[[], Callable[[list[str]], list[bytes]]
                 for texts, piece in text_slices(whole, "text"):
                     for doc_id, raw in zip(piece.column("doc_id").to_pylist(), ids_of(texts)):
                         if shard is None:
-                            shard = ShardWriter(folder, f"part-{part:05d}-{len(rows):03d}-{attempt}", length, batch)
+                            shard = ShardWriter(folder, f"part-{part:05d}-{len(rows):03d}-{attempt}", length, batch, kind)
                         shard.add(doc_id, np.concatenate([np.frombuffer(raw, "<u4"), last]))
                         if shard.n_tokens >= limit:
                             finish()
@@ -211,7 +228,7 @@ def write_sequences(
     order = F.col("doc_id").isNull(), F.col("doc_id"), F.col("number")
     rows = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "text")
     folder = f"{work.path}/shards"
-    write = _writer(folder, lambda: tokenizer(vocabulary, memo).encode, end, length, batch, shard_tokens)
+    write = _writer(folder, lambda: tokenizer(vocabulary, memo).encode, end, length, batch, shard_tokens, id_type(vocabulary, end))
     return work.store(rows.mapInArrow(write, _MANIFEST), "manifest")
 
 
@@ -226,7 +243,7 @@ def _reader(folder: str):
                 for start, n in zip(index.column("start").to_pylist(), index.column("n_tokens").to_pylist()):
                     c = 0
                     for part in shard.tokens(start, n):
-                        c = zlib.crc32(part, c)
+                        c = zlib.crc32(part.astype("<u4"), c)
                     crc.append(c)
                 start = pa.array(index.column("start").to_numpy() + row["before"])
                 columns = [index.column("doc_id"), start, index.column("n_tokens"), pa.array(crc, pa.int64())]

@@ -185,13 +185,15 @@ def test_shards_are_read_at_random_without_copies(spark):
         assert len(shard) == m.n_sequences == -(-m.n_tokens // 32)
         for k in reversed(range(len(shard))):
             ids, mask = shard.sequence(k)
-            assert len(ids) == len(mask) == 32 and not ids.flags.owndata and not ids.flags.writeable
+            assert len(ids) == 8 * len(mask) == 32 and ids.dtype == np.uint16
+            assert not any(x.flags.owndata or x.flags.writeable for x in (ids, mask))
+            mask = sequences.unpacked(mask)
             assert mask.sum() == min(32, m.n_tokens - 32 * k) and not ids[mask == 0].any() and (np.diff(mask.astype(int)) <= 0).all()
         buffer = pa.memory_map(f"{work.path.removeprefix('file:')}/shards/{m.sequences_file}").read_buffer()
         assert ids.tobytes() in buffer.to_pybytes()
         allocated = pa.total_allocated_bytes()
         assert all(shard.sequence(k)[0] is not None for k in range(len(shard))) and pa.total_allocated_bytes() == allocated
-        flat = np.concatenate([i[mk == 1] for i, mk in map(shard.sequence, range(len(shard)))]) if len(shard) else []
+        flat = np.concatenate([i[sequences.unpacked(mk) == 1] for i, mk in map(shard.sequence, range(len(shard)))]) if len(shard) else []
         every += list(flat)
         for batch in shard.documents():
             for i, start, n in zip(*(c.to_pylist() for c in batch.columns)):

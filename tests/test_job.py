@@ -56,6 +56,8 @@ def test_a_run_goes_on_where_it_stopped(spark, scratch_dir, table):
         whole = os.path.join(scratch_dir, f"whole-{tag}")
         run(spark, drv, trxn, whole, start="2024-07-01", months=5)
         a, b = (read_features(spark, t) for t in (target, whole))
+        # sums depend on their order in the last places
+        a, b = (df.withColumns({c: F.round(c, 9) for c in df.columns if c.startswith("pagerank")}) for df in (a, b))
         assert sorted(map(repr, a.select(*b.columns).collect())) == sorted(map(repr, b.collect()))
         # other windows or inputs are other work
         assert len(run(spark, drv, trxn, target, windows=(6,), **args)) == 3

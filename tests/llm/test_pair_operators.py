@@ -289,7 +289,7 @@ def test_case_outside_ascii_and_changing_lengths(spark):
     rows = [(1, "İ before " + " ".join(low)), (2, "Ⱥ " + " ".join(high) + " İ after"), (3, "nothing in common")]
     out = paragraphs.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     check_passages(rows, out)
-    assert {r.doc_id: r.removed_words for r in out} == {1: 0, 2: 70, 3: 0}
+    assert {r.doc_id: r.removed_words for r in out} == {1: 0, 2: 73, 3: 0}  # the whole line is a near copy
 
 
 def test_no_long_passage_is_left_twice(real):

@@ -133,10 +133,10 @@ def _sliced(spark: SparkSession, sf_dir: str, distinct: bool = False) -> DataFra
     return assign_snapshots(_trxn(spark, sf_dir, distinct), snapshot_table(drivers, TEST_WINDOWS))
 
 
-def _graph(spark: SparkSession, sf_dir: str, level: str = "vhrg"):
+def _graph(spark: SparkSession, sf_dir: str, level: str = "vhrg", numbered: bool = True):
     _ready(spark)
     snaps = snapshot_table(_drivers(spark, sf_dir), TEST_WINDOWS)
-    return prepare(_trxn(spark, sf_dir), level=level, timeline=Timeline.of(snaps))
+    return prepare(_trxn(spark, sf_dir), level=level, timeline=Timeline.of(snaps), numbered=numbered)
 
 
 def _done(sg, df: DataFrame) -> DataFrame:
@@ -188,17 +188,17 @@ def q_window_slice(spark, sf_dir):
 
 
 def q_graph_vertices(spark, sf_dir):
-    sg = _graph(spark, sf_dir)
+    sg = _graph(spark, sf_dir, numbered=False)
     return sg.named(sg.graph.vertices)
 
 
 def q_graph_edges(spark, sf_dir):
-    sg = _graph(spark, sf_dir)
+    sg = _graph(spark, sf_dir, numbered=False)
     return sg.named(sg.graph.edges)
 
 
 def q_degrees(spark, sf_dir):
-    sg = _graph(spark, sf_dir)
+    sg = _graph(spark, sf_dir, numbered=False)
     return sg.named(degrees(sg.graph))
 
 
@@ -228,12 +228,12 @@ def q_community_metrics(spark, sf_dir):
 
 
 def q_high_risk_nodes(spark, sf_dir):
-    sg = _graph(spark, sf_dir)
+    sg = _graph(spark, sf_dir, numbered=False)
     return sg.named(sg.risky).select(*KEYS, "id")
 
 
 def q_vertex_risk(spark, sf_dir):
-    sg = _graph(spark, sf_dir)
+    sg = _graph(spark, sf_dir, numbered=False)
     return sg.named(vertex_risk(sg.graph, sg.risky))
 
 
@@ -243,14 +243,14 @@ def q_edge_risk(spark, sf_dir):
 
 
 def q_neighbor_counts(spark, sf_dir):
-    sg = _graph(spark, sf_dir)
+    sg = _graph(spark, sf_dir, numbered=False)
     counts = risky_neighbor_counts(sg.graph, sg.risky, sg.risky_spans)
     out = degrees(sg.graph).select("snap", "id").join(counts, ["snap", "id"], "left")
     return sg.named(out.na.fill({"high_risk_neighbor_count": 0}))
 
 
 def q_neighbor_features(spark, sf_dir):
-    sg = _graph(spark, sf_dir)
+    sg = _graph(spark, sf_dir, numbered=False)
     return _done(sg, cut_lineage(neighbor_features(sg)))
 
 
@@ -416,7 +416,7 @@ def q_trxn_limit(spark, sf_dir):
 
 def q_neighbor_features_hrg(spark, sf_dir):
     """Neighbour counts at the combined level: both country lists."""
-    sg = _graph(spark, sf_dir, level="hrg")
+    sg = _graph(spark, sf_dir, level="hrg", numbered=False)
     return _done(sg, cut_lineage(neighbor_features(sg, level="hrg")))
 
 

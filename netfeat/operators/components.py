@@ -34,6 +34,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from netfeat.operators.graph import Graph
 from netfeat.operators.skew import SkewConfig, hot_keys, salted_join
@@ -182,7 +183,7 @@ def connected_components(graph: Graph, spread_rounds: int = 2, max_rounds: int =
     on = [*k, "id"]
     skew = graph.skew
     bound = graph.sizes()[1]
-    if graph.spans is not None:
+    if graph.spans is not None and graph.spans.schema["src"].dataType == LongType():
         forest = cut_lineage(_local_forests(graph.spans).distinct())
         centre = _star_rounds(forest, k, skew, bound, max_rounds).select(*k, F.col("b").alias("id"), F.col("a").alias("centre"))
         return cut_lineage(

@@ -81,7 +81,7 @@ class SnapshotGraph:
             return df
         df, columns = self.timeline.named(df), [c for c in df.columns if c != SNAP]
         for c in columns:
-            if c not in ID_COLUMNS:
+            if c not in ID_COLUMNS or self.numbers is None:
                 continue
             names = self.numbers.select(F.col(NUMBER).alias(c), F.col("name").alias("_name"))
             hot = None
@@ -103,7 +103,7 @@ class SnapshotGraph:
 
 def prepare(
     trxn: DataFrame, keys: Iterable[str] = (), level: str = "vhrg", skew: SkewConfig = DEFAULT_SKEW,
-    timeline: Timeline | None = None,
+    timeline: Timeline | None = None, numbered: bool = True,
 ) -> SnapshotGraph:
     """Build the graph and the entity / high-risk sets from flagged transactions.
 
@@ -117,6 +117,7 @@ def prepare(
     once with all its snapshots; the graph is keyed by the snapshot's number, and only what an algorithm
     needs per snapshot is expanded when it is read. The ids get dense numbers in their order
     (:func:`dense_numbers`), so every later shuffle moves integers; ``SnapshotGraph.named`` brings dates and ids back.
+    Numbers pay for the iterative algorithms; for one-shot counts ``numbered=False`` saves the second write.
     Otherwise ``keys`` are columns of the rows, and ids stay as they are.
     """
     spark = trxn.sparkSession
@@ -154,7 +155,7 @@ def prepare(
     facts.write.partitionBy("kind").parquet(path)
     stored = spark.read.schema(facts.schema).parquet(path)
     if timeline is not None:
-        return _numbered(stored, path, timeline, skew)
+        return _numbered(stored, path, timeline, skew) if numbered else _snapshot_graph(stored, path, timeline, skew)
     ids = stored.where(F.col("kind") == "id")
 
     def having(role: str) -> DataFrame:
@@ -194,7 +195,16 @@ def _numbered(facts: DataFrame, facts_path: str, timeline: Timeline, skew: SkewC
     both = of_ids.unionByName(of_edges)
     both.write.partitionBy("kind").parquet(path)
     delete_path(spark, facts_path)
-    stored = spark.read.schema(both.schema).parquet(path)
+    sg = _snapshot_graph(spark.read.schema(both.schema).parquet(path), path, timeline, skew, numbers)
+    sg.graph.know_sizes(bits["id"] or 0, bits["edge"] or 0)
+    sg.graph._paths.extend(paths)
+    return sg
+
+
+def _snapshot_graph(
+    stored: DataFrame, path: str, timeline: Timeline, skew: SkewConfig, numbers: DataFrame | None = None
+) -> SnapshotGraph:
+    """The graph of stored facts (_chunk, a, b, a mask for each role, kind)."""
     ids, edges = stored.where(F.col("kind") == "id"), stored.where(F.col("kind") == "edge")
 
     def having(role: str) -> DataFrame:
@@ -203,8 +213,6 @@ def _numbered(facts: DataFrame, facts_path: str, timeline: Timeline, skew: SkewC
 
     spans = edges.select(CHUNK_COL, F.col("a").alias("src"), F.col("b").alias("dst"), F.col("valid").alias(MASK))
     graph = Graph(having("valid"), timeline.expand(spans).select(SNAP, "src", "dst"), (SNAP,), skew, spans)
-    graph.know_sizes(bits["id"] or 0, bits["edge"] or 0)
-    graph._paths.extend(paths)
     flagged = F.col("valid").bitwiseAND(F.col("risky"))
     risky_spans = ids.select(CHUNK_COL, F.col("a").alias("id"), flagged.alias(MASK)).where(F.col(MASK) != 0)
     risky = having("risky").withColumn("is_high_risk", F.lit(1))

@@ -20,6 +20,11 @@ from netfeat.constants import PAGERANK_ITERATIONS, PAGERANK_RESET
 from netfeat.operators.graph import Graph, out_degrees
 
 
+#: Decimals of a rank. Sums of doubles depend on the order of their terms beyond; snapshots and ids are numbered
+#: anew in every batch, so a vintage that is computed again, alone, would differ there.
+PLACES = 12
+
+
 def pagerank(graph: Graph, reset: float = PAGERANK_RESET, max_iter: int = PAGERANK_ITERATIONS) -> DataFrame:
     """(*keys, id, pagerank) for every vertex."""
     k = graph.key_list
@@ -52,11 +57,11 @@ def pagerank(graph: Graph, reset: float = PAGERANK_RESET, max_iter: int = PAGERA
 
 
 def normalise(ranks: DataFrame, keys: list[str]) -> DataFrame:
-    """Scale ranks so that they add up to the vertex count of their snapshot."""
+    """Scale ranks so that they add up to the vertex count of their snapshot, rounded to ``PLACES``."""
     totals = ranks.groupBy(*keys).agg(F.sum("rank").alias("_sum"), F.count(F.lit(1)).alias("_n"))
     if keys:
         scaled = ranks.join(totals, keys)  # one row per snapshot
     else:
         row = totals.first()
         scaled = ranks.withColumns({"_sum": F.lit(row["_sum"] if row else 1.0), "_n": F.lit(row["_n"] if row else 0)})
-    return scaled.select(*keys, "id", (F.col("rank") * F.col("_n") / F.col("_sum")).alias("pagerank"))
+    return scaled.select(*keys, "id", F.round(F.col("rank") * F.col("_n") / F.col("_sum"), PLACES).alias("pagerank"))

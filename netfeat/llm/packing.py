@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left
+from bisect import bisect_left, insort
+from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -73,58 +75,122 @@ class Bins:
             self._file(len(self.items) - 1, self.capacity - size)
 
 
-def improve(bins: list[list[int]], size: list[int], capacity: int, rounds: int = 4) -> list[list[int]]:
-    """Local search that raises the sum of squared fills until it empties no more bins.
+class Rooms:
+    """The underfull bins by what they could give back: nothing, one document or two, of each total size.
 
-    The emptiest bin, the source, gives its items to other underfull bins: moved where they fit,
-    else exchanged one for one or two for one against less, so that the other bin fills up and the
-    source empties. Every step makes a fuller bin fuller and the source emptier, so the squared
-    fill rises and the search ends; a bin that is emptied is dropped."""
+    For each size a list of (room, bin) in order, so that the fullest bin with enough room is one bisection away,
+    and the largest room of each size as an array, so that all sizes are tested at once."""
+
+    def __init__(self, capacity: int):
+        self.lists: list[list[list[tuple[int, int]]]] = [[[] for _ in range(capacity + 1)] for _ in range(3)]
+        self.largest = np.full((3, capacity + 1), -1)
+
+    @staticmethod
+    def _backs(sizes: list[int]) -> tuple[set[int], set[int], set[int]]:
+        once = set(sizes)
+        two = {a + b for a, b in combinations(once, 2)}
+        two.update(2 * s for s, n in Counter(sizes).items() if n > 1)
+        return {0}, once, two
+
+    def add(self, b: int, room: int, sizes: list[int]) -> None:
+        for k, totals in enumerate(self._backs(sizes)):
+            for total in totals:
+                insort(self.lists[k][total], (room, b))
+                self.largest[k, total] = max(self.largest[k, total], room)
+
+    def remove(self, b: int, room: int, sizes: list[int]) -> None:
+        for k, totals in enumerate(self._backs(sizes)):
+            for total in totals:
+                entries = self.lists[k][total]
+                del entries[bisect_left(entries, (room, b))]
+                self.largest[k, total] = entries[-1][0] if entries else -1
+
+    def step(self, fill: int, capacity: int, out: int, kinds: tuple[int, ...], over: int) -> tuple[int, int, int, int] | None:
+        """(gain, bin, kind, total given back) of the largest gain above ``over`` by which a bin takes ``out``,
+        so that squared fill rises: the bin is then fuller than the source was."""
+        best = None
+        for k in kinds:
+            gain = out - np.arange(min(out, len(self.largest[k])))
+            possible = np.flatnonzero((self.largest[k, : len(gain)] >= gain) & (gain > over))
+            for total in possible.tolist():  # gains fall
+                entries = self.lists[k][total]
+                room, b = entries[bisect_left(entries, (out - total, -1))]
+                if capacity - room + out - total > fill:
+                    over, best = out - total, (out - total, b, k, total)
+                    break
+        return best
+
+
+def _taken(items: list[int], size: list[int], kind: int, total: int) -> list[int]:
+    """``kind`` of the items that have the total size."""
+    if kind == 0:
+        return []
+    first: dict[int, int] = {}
+    for i in items:
+        if kind == 1 and size[i] == total:
+            return [i]
+        if kind == 2 and total - size[i] in first:
+            return [first[total - size[i]], i]
+        first.setdefault(size[i], i)
+    raise ValueError("no such items")
+
+
+def improve(bins: list[list[int]], size: list[int], capacity: int) -> list[list[int]]:
+    """Local search that raises the sum of squared fills until no step does or no bin can be saved.
+
+    Every underfull bin in turn, the emptiest first, is the source: it moves a document to another underfull bin,
+    or exchanges one for one, one for two or two for one, so that the other bin gains what the source loses and ends
+    fuller than the source was. That raises the squared fill, a whole number with a bound, so the search ends: with a pass
+    over all underfull bins in which none finds such a step, or when the bins are as few as their total size allows.
+    A bin that is emptied is dropped."""
+    bins = [list(b) for b in bins]
     fill = [sum(size[i] for i in b) for b in bins]
-    order = sorted((b for b in range(len(bins)) if fill[b] < capacity), key=lambda b: (fill[b], b))
-    done: set[int] = set()
-    for source in order[: max(64, len(order) // 8)]:
-        if not bins[source]:
-            continue
-        targets = [b for b in order if b != source and b not in done and bins[b] and fill[b] < capacity]
-        targets.sort(key=lambda b: (-fill[b], b))
-        targets = targets[:256]
-        for _ in range(rounds):
-            before = fill[source]
-            for t in targets:
-                room = capacity - fill[t]
-                if not room or not bins[source]:
-                    continue
-                best = None  # (gain, items out of the source, items out of the target)
-                mine = sorted(bins[source], key=lambda i: -size[i])
-                theirs = sorted(bins[t], key=lambda i: -size[i])
-                for i in mine:  # move
-                    if size[i] <= room:
-                        best = (size[i], [i], [])
-                        break
-                for i in mine:  # one for one
-                    for j in theirs:
-                        gain = size[i] - size[j]
-                        if gain > room:
-                            continue
-                        if gain > 0 and (best is None or gain > best[0]):
-                            best = (gain, [i], [j])
-                for i in mine:  # two of the target's for one
-                    for a in range(len(theirs)):
-                        for c in range(a + 1, min(len(theirs), a + 8)):
-                            gain = size[i] - size[theirs[a]] - size[theirs[c]]
-                            if 0 < gain <= room and (best is None or gain > best[0]):
-                                best = (gain, [i], [theirs[a], theirs[c]])
-                if best is None:
-                    continue
-                gain, out, back = best
-                bins[source] = [i for i in bins[source] if i not in out] + back
-                bins[t] = [i for i in bins[t] if i not in back] + out
-                fill[source] -= gain
-                fill[t] += gain
-            if not bins[source] or fill[source] == before:
+    least = -(-sum(fill) // capacity)
+    left = sum(map(bool, bins))
+    rooms = Rooms(capacity)
+
+    def sizes(b: int) -> list[int]:
+        return [size[i] for i in bins[b]]
+
+    for b in range(len(bins)):
+        if 0 < fill[b] < capacity:
+            rooms.add(b, capacity - fill[b], sizes(b))
+    changed = True
+    while changed and left > least:
+        changed = False
+        for source in sorted((b for b in range(len(bins)) if 0 < fill[b] < capacity), key=lambda b: (fill[b], b)):
+            if left <= least:
                 break
-        done.add(source)
+            if not 0 < fill[source] < capacity:  # filled by an earlier source
+                continue
+            rooms.remove(source, capacity - fill[source], sizes(source))
+            while bins[source]:
+                best = None
+                over = 0
+                _, once, two = Rooms._backs(sizes(source))
+                for n, totals, kinds in ((1, once, (0, 1, 2)), (2, two, (1,))):
+                    for out in sorted(totals, reverse=True):
+                        if out <= over:
+                            break
+                        found = rooms.step(fill[source], capacity, out, kinds, over)
+                        if found:
+                            over, best = found[0], (n, out, *found[1:])
+                if best is None:
+                    break
+                changed = True
+                n, out, target, kind, back = best
+                rooms.remove(target, capacity - fill[target], sizes(target))
+                given, taken = _taken(bins[source], size, n, out), _taken(bins[target], size, kind, back)
+                bins[source] = [i for i in bins[source] if i not in given] + taken
+                bins[target] = [i for i in bins[target] if i not in taken] + given
+                fill[source] -= out - back
+                fill[target] += out - back
+                if fill[target] < capacity:
+                    rooms.add(target, capacity - fill[target], sizes(target))
+            if bins[source]:
+                rooms.add(source, capacity - fill[source], sizes(source))
+            else:
+                left -= 1
     return [b for b in bins if b]
 
 
@@ -142,14 +208,14 @@ def packed(
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) for each piece of each document.
 
     A document is its ids and the end id; only one of more than ``capacity`` ids is cut. Pieces are dealt
-    by a hash of the row and piece into shards of about ``SHARD``, each packed on its own, so a task
-    holds one shard's lengths. ``memo`` bounds the pieces of text that a worker keeps. A null or empty text is the end id alone. Rows that repeat an id
+    by a hash of the row's number and the piece into shards of about ``SHARD``, each packed on its own, so a task
+    holds one shard's lengths, also when many rows are equal; the number is written with the pieces. ``memo`` bounds the pieces of text that a worker keeps. A null or empty text is the end id alone. Rows that repeat an id
     are documents of their own; a null id is kept. An empty table gives an empty result; other
     columns are ignored."""
     work = Workspace(docs.sparkSession, "packing")
     docs = docs.select(
         F.col(id_col).alias("doc_id"),
-        F.xxhash64(F.col(id_col), F.length(text_col)).alias("row"),
+        F.monotonically_increasing_id().alias("row"),
         F.col(text_col).alias("text"),
     )
     cut = work.store(pieces(docs, path, capacity, memo), "pieces")

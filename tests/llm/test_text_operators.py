@@ -2,9 +2,11 @@
 
 import base64
 import hashlib
+import itertools
 import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -253,6 +255,46 @@ def test_swaps_empty_bins_that_best_fit_leaves():
         assert max(sum(size[i] for i in b) for b in bins) <= 2048
 
 
+def steps(bins, size, capacity):
+    """The gains in squared fill of all moves and exchanges of one or two against at most two between underfull bins."""
+    fill = [sum(size[i] for i in b) for b in bins]
+    parts = [{n: [sum(c) for c in itertools.combinations([size[i] for i in b], n)] for n in (0, 1, 2)} for b in bins]
+    for s, t in itertools.permutations([b for b in range(len(bins)) if fill[b] < capacity], 2):
+        for n, k in ((1, 0), (1, 1), (1, 2), (2, 1)):
+            for out, back in itertools.product(parts[s][n], parts[t][k]):
+                gain = out - back
+                if 0 < gain <= capacity - fill[t]:
+                    yield (fill[t] + gain) ** 2 + (fill[s] - gain) ** 2 - fill[t] ** 2 - fill[s] ** 2
+
+
+def test_the_search_ends_where_no_step_helps():
+    rng = random.Random(4)
+    ended = 0
+    for _ in range(60):
+        size = [rng.randint(8, 40) for _ in range(rng.randint(1, 40))]
+        bins = packing.pack(size, 60)
+        assert sorted(i for b in bins for i in b) == list(range(len(size)))
+        if len(bins) > -(-sum(size) // 60):
+            ended += 1
+            assert max(steps(bins, size, 60), default=0) <= 0
+    assert ended > 10
+
+
+@pytest.mark.parametrize(("low", "high", "bins"), [(600, 1099, 271), (400, 1399, 268)])
+def test_every_underfull_bin_is_searched(low, high, bins):
+    rng = random.Random(1)
+    assert len(packing.pack([rng.randint(low, high) for _ in range(600)])) <= bins
+
+
+def test_equal_rows_are_dealt_to_all_shards(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD", 60)
+    texts = [(None, "one and the same") if i % 3 == 0 else (i, f"text {i} of many") for i in range(900)]
+    rows = packing.packed(spark.createDataFrame(texts, "doc_id long, text string"), WORDS).collect()
+    check_packing(rows, texts)
+    shards = Counter(r.sequence_id % 15 for r in rows)
+    assert len(shards) == 15 and max(shards.values()) <= 2 * 60
+
+
 # --- op10
 
 

@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netfeat.llm import kernel
-from netfeat.llm.common import map_texts, slices
+from netfeat.llm.common import map_texts, slices, text_slices
 
 ORDER = 2
 ALPHA = 0.4
 #: Bytes of text in a block, and entries of count tables in a hash part.
 BLOCK_BYTES = 8 << 20
 PART_ENTRIES = 2_000_000
+_LOT = 10_000
 
 
 def _texts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -59,10 +63,19 @@ def _unpack(packed: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
 
 
+def _tables(grams: list[tuple[np.ndarray, np.ndarray]], first: np.ndarray, copies: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams of a block and their counts; a row counts as often as it has copies."""
+    weight = np.repeat(copies, np.diff(first))
+    distinct, back = np.unique(np.concatenate([g for g, _ in grams]), return_inverse=True)
+    # exact below 2 ** 53
+    count = np.bincount(back, weights=np.concatenate([weight[last] for _, last in grams]), minlength=len(distinct))
+    return distinct, count.astype(np.int64)
+
+
 def _requests(pdf: pd.DataFrame, order: int, parts: int) -> Iterator[dict]:
     """The block's distinct n-grams with their counts, by hash part: the block's exploded n-grams, combined."""
-    grams, _ = exploded(pdf["text"].fillna("").tolist(), order)
-    distinct, count = np.unique(np.concatenate([g for g, _ in grams]), return_counts=True)
+    grams, first = exploded(pdf["text"].tolist(), order)
+    distinct, count = _tables(grams, first, pdf["copies"].to_numpy())
     part = _parts(distinct, parts)
     cut = np.flatnonzero(np.diff(part)) + 1
     for h, c in zip(np.split(distinct, cut), np.split(count, cut)):
@@ -71,10 +84,36 @@ def _requests(pdf: pd.DataFrame, order: int, parts: int) -> Iterator[dict]:
                 "block": int(pdf["block"].iat[0]),
                 "part": int(_parts(h[:1], parts)[0]),
                 "hashes": _pack(h),
-                "counts": c.astype("<u4").tobytes(),
+                "counts": c.astype("<u8").tobytes(),
             }
 
 
+def _elsewhere(more: np.ndarray) -> dict[str, bytes]:
+    """Counts in other blocks: a bit for each n-gram, and the counts of those that have one."""
+    return {"found": np.packbits(more > 0).tobytes(), "more": more[more > 0].astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()}
+
+
+def _add_elsewhere(total: np.ndarray, found: bytes, more: bytes) -> None:
+    at = np.flatnonzero(np.unpackbits(np.frombuffer(found, np.uint8), count=len(total)))
+    total[at] += np.ascontiguousarray(np.frombuffer(more, np.uint8).reshape(8, -1).T).view("<i8").ravel()
+
+
+def _combined(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, copies) with the equal rows of a slice as one; rows without a text are left out."""
+
+    def run(batches):
+        for batch in batches:
+            for texts, part in text_slices(batch.filter(pc.greater(pc.fill_null(pc.binary_length(batch.column("text")), 0), 0)), "text"):
+                rows = Counter(zip(part.column("doc_id").to_pylist(), texts))
+                ids, kept = zip(*rows)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids, pa.string()), pa.array(kept, pa.string()), pa.array(list(rows.values()), pa.int64())],
+                    names=["doc_id", "text", "copies"],
+                )
+
+    return docs.mapInArrow(run, "doc_id string, text string, copies long")
+
+
 def _score(
     grams: list[tuple[np.ndarray, np.ndarray]], first: np.ndarray, distinct: np.ndarray, total: np.ndarray,
     n_corpus: int, alpha: float,
@@ -115,8 +154,9 @@ def scores(
 
     The count tables are partitioned by a hash of the n-gram. Blocks of documents send them their
     distinct n-grams with the block's counts, so a frequent n-gram is one entry a block; a
-    hash part adds them up and returns the totals to the blocks, which explode their n-grams once more,
-    subtract the row's own counts and sum per row. Counts are over all rows; nothing is cut off.
+    hash part adds them up and returns to each block the counts of the others; the blocks explode their n-grams once more,
+    subtract the row's own counts and sum per row. Counts are over all rows; nothing is cut off. Rows of the same id
+    and text are one row with a number of copies, and rows without a text are in no block, so equal rows fill none.
 
     N-grams are named by 64-bit hashes. A null, empty or wordless text has the score 0 and no words. Rows that repeat
     an id, also equal rows, are rows of their own (each other's *other* rows). An empty table gives an
@@ -129,7 +169,11 @@ def scores(
     n_corpus = size["words"]
     blocks = max(1, -(-size["bytes"] // BLOCK_BYTES), -(-size["rows"] // 50_000))
     parts = max(1, -(-size["bytes"] // 4 // PART_ENTRIES))
-    dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
+    # equal rows are one with a number of copies, before the shuffle and again behind it, on the same partitioning
+    dealt = (
+        _combined(docs).withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
+        .repartition("block").groupBy("block", "doc_id", "text").agg(F.sum("copies").alias("copies"))
+    )
 
     def request(pdf: pd.DataFrame) -> pd.DataFrame:
         columns = ["block", "part", "hashes", "counts"]
@@ -140,19 +184,20 @@ def scores(
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
         hashes = [_unpack(h) for h in pdf["hashes"]]
         _, back = np.unique(np.concatenate(hashes), return_inverse=True)
-        counts = np.concatenate([np.frombuffer(c, "<u4") for c in pdf["counts"]])
-        totals = np.bincount(back, weights=counts).astype("<u8")[back]  # exact below 2 ** 53
+        counts = np.concatenate([np.frombuffer(c, "<i8") for c in pdf["counts"]])
+        more = np.bincount(back, weights=counts).astype(np.int64)[back] - counts  # exact below 2 ** 53
         cut = np.cumsum([len(h) for h in hashes])[:-1]
-        return pd.DataFrame({"block": pdf["block"], "part": pdf["part"], "totals": [t.tobytes() for t in np.split(totals, cut)]})
+        out = pd.DataFrame([_elsewhere(m) for m in np.split(more, cut)])
+        return out.assign(block=pdf["block"].to_numpy(), part=pdf["part"].to_numpy())[["block", "part", "found", "more"]]
 
-    totals = asked.groupBy("part").applyInPandas(answer, "block int, part int, totals binary")
+    totals = asked.groupBy("part").applyInPandas(answer, "block int, part int, found binary, more binary")
 
     def score(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        grams, first = exploded(rows["text"].fillna("").tolist(), order)
-        distinct = np.unique(np.concatenate([g for g, _ in grams]))
-        total = np.zeros(len(distinct), np.int64)
-        if len(distinct):
-            total[:] = np.concatenate([np.frombuffer(t, "<u8") for t in answers.sort_values("part")["totals"]])
+        grams, first = exploded(rows["text"].tolist(), order)
+        distinct, total = _tables(grams, first, rows["copies"].to_numpy())
+        ends = np.searchsorted(_parts(distinct, parts), np.arange(parts + 1))
+        for part, found, more in zip(answers["part"], answers["found"], answers["more"]):
+            _add_elsewhere(total[ends[part] : ends[part + 1]], found, more)
         logs, backed = _score(grams, first, distinct, total, n_corpus, alpha)
         text = np.repeat(np.arange(len(rows)), np.diff(first))
         return pd.DataFrame(
@@ -161,9 +206,18 @@ def scores(
                 "n_words": np.diff(first),
                 "n_backoff": np.bincount(text, weights=backed, minlength=len(rows)).astype(np.int64),
                 "score": np.bincount(text, weights=logs, minlength=len(rows)),
+                "copies": rows["copies"],
             }
         )
 
-    return dealt.groupBy("block").cogroup(totals.groupBy("block")).applyInPandas(
-        score, "doc_id string, n_words long, n_backoff long, score double"
-    ).withColumn("doc_id", F.col("doc_id").cast("long"))
+    scored = dealt.groupBy("block").cogroup(totals.groupBy("block")).applyInPandas(
+        score, "doc_id string, n_words long, n_backoff long, score double, copies long"
+    )
+    # each copy is a row again; in two steps, so that no array grows with the copies
+    scored = scored.withColumn("_lot", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {_LOT}"))))
+    scored = scored.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(_LOT), F.expr(f"copies - _lot * {_LOT}")))))
+    columns = [F.col("doc_id").cast("long").alias("doc_id"), "n_words", "n_backoff", "score"]
+    empty = docs.where(F.coalesce(F.length("text"), F.lit(0)) == 0).select(
+        "doc_id", F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_backoff"), F.lit(0.0).alias("score")
+    )
+    return scored.select(*columns).unionByName(empty.select(*columns))

@@ -314,3 +314,15 @@ def test_backoff_of_messy_rows(messy, messy_df, empty_df):
     got = sorted((str(r.doc_id), r.n_words, r.n_backoff, round(r.score, 6)) for r in backoff.scores(messy_df).collect())
     assert got == want
     assert backoff.scores(empty_df).count() == 0
+
+
+def test_backoff_of_many_equal_rows(spark, monkeypatch):
+    """A third of the rows are one row, a third hold no text; the copies are each other's other rows."""
+    monkeypatch.setattr(backoff, "BLOCK_BYTES", 500)
+    monkeypatch.setattr(backoff, "PART_ENTRIES", 50)
+    monkeypatch.setattr(backoff, "_LOT", 7)
+    rows = [[(None, "one and the same row"), (None, ""), (i, f"row {i} of the many rows")][i % 3] for i in range(240)]
+    want = sorted((str(i), n, b, round(s, 6)) for (i, _), (n, b, s) in zip(rows, brute.backoff([t for _, t in rows], 3, 0.4)))
+    out = backoff.scores(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), order=3)
+    assert sorted((str(r.doc_id), r.n_words, r.n_backoff, round(r.score, 6)) for r in out.collect()) == want
+    assert [r.n_words for r in backoff.scores(spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string")).collect()] == [0, 0]

@@ -418,3 +418,20 @@ def test_embeddings_against_brute_force(spark):
     assert sorted((str(r.vec_id), r.n_links, str(r.component_id)) for r in got) == want
     assert all(r.kept == (r.vec_id == r.component_id) for r in got if r.vec_id is not None)
     assert near_embeddings(df.limit(0)).count() == 0
+
+
+def test_embeddings_find_planted_pairs(spark):
+    """1,500 pairs of cosine 0.930001 to 0.95, the hardest to find, and 500 of 0.91 to 0.929, all of one label."""
+    rng = np.random.default_rng(11)
+    cosines = np.concatenate((rng.uniform(0.930001, 0.95, 1500), rng.uniform(0.91, 0.929, 500)))
+    rows = []
+    for k, c in enumerate(cosines.tolist()):
+        a, b = rng.standard_normal((2, 64))
+        a /= np.linalg.norm(a)
+        b -= a * (a @ b)
+        b /= np.linalg.norm(b)
+        rows += [(2 * k, a.tolist(), 1), (2 * k + 1, (c * a + np.sqrt(1 - c * c) * b).tolist(), 1)]
+    out = {r.vec_id: r for r in near_embeddings(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    found = [k for k in range(len(cosines)) if out[2 * k + 1].component_id == 2 * k]
+    assert all(k < 1500 for k in found)
+    assert len(found) >= 0.99 * 1500

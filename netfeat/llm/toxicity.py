@@ -155,7 +155,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Dictionaries and calibration from a bounded sample of labelled rows outside the held-out fold, their texts whole.
 
     The ordinary dictionary is trained on ordinary documents. The toxic one adds the windows that are
-    characteristic of toxic documents: in 3 and in 1.5 percent of them, and by odds of 20 to 1.
+    characteristic of toxic documents: in 3 and in 1.5 percent of them, and by odds of 20 to 1; the 4,096 of the largest odds
+    (``_MAX_TOXIC_WINDOWS``) if there are more. From samples too few to train on, the ordinary dictionary is their first bytes.
     Near copies among the sampled documents count once. Without labels of a class every score is 0.
 
     Documents are counted for each word, and the features of the calibration computed, on the executors."""

@@ -57,6 +57,7 @@ class Graph:
     _hot: object = field(default=None, repr=False)
     _hot_done: bool = field(default=False, repr=False)
     _sizes: tuple[int, int] | None = field(default=None, repr=False)
+    _ids: int | None = field(default=None, repr=False)
     _by_endpoint: dict = field(default_factory=dict, repr=False)
     _tables: list = field(default_factory=list, repr=False)
     _paths: list = field(default_factory=list, repr=False)
@@ -78,8 +79,9 @@ class Graph:
                 self._sizes = (self.vertices.count(), self.edges.count())
             return self._sizes
 
-    def know_sizes(self, vertices: int, edges: int) -> None:
-        self._sizes = (vertices, edges)
+    def know_sizes(self, vertices: int, edges: int, ids: int | None = None) -> None:
+        """``ids``: a bound above every id, if the ids are numbers from 0 on."""
+        self._sizes, self._ids = (vertices, edges), ids
 
     def hot(self) -> DataFrame | None:
         """Vertices whose degree exceeds the skew threshold (bounded table) or None."""
@@ -145,7 +147,7 @@ class Graph:
         spark = self.edges.sparkSession
         # beyond Spark's limit the buckets grow instead
         most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
-        n = max(spark.sparkContext.defaultParallelism, math.ceil(self.sizes()[1] / EDGES_PER_PARTITION))
+        n = max(spark.sparkContext.defaultParallelism, math.ceil(max(self.sizes()) / EDGES_PER_PARTITION))
         return min(n, most)
 
     def put(self, state: DataFrame, old: VertexTable | None = None) -> VertexTable:
@@ -199,14 +201,15 @@ class Graph:
         for iterative algorithms.
 
         The edge copy of :meth:`by_endpoint` is bucketed on the join key, so
-        only the (vertex-sized) state is shuffled to meet it, in every round.
+        only the (vertex-sized) state is shuffled to meet it, in every round; the state of a bucket,
+        a row for each vertex of at most ``EDGES_PER_PARTITION``, is hashed, so that the edges are not sorted again.
         Edges of hot vertices meet the state of those vertices in a salted join.
         """
         k = self.key_list
         on = [*k, endpoint]
         cold, hot_edges = self.by_endpoint(endpoint)
         s = state.withColumnRenamed("id", endpoint)
-        out = cold.join(s, on)
+        out = cold.join(s.hint("shuffle_hash"), on)
         if hot_edges is not None:
             hot = self.hot().withColumnRenamed("id", endpoint)
             s_hot = s.join(hot.drop(N_SALT), on, "left_semi")

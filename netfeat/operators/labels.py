@@ -9,38 +9,55 @@ keeps its label. Bipartite parts may swap labels forever; that is kept.
 Per round: the labels meet the edges twice, once partitioned by source (the
 source's label is a vote for the destination) and once by destination (a
 vote for the source); both edge copies are partitioned once per run and the labels are written
-partitioned alike, so only votes move. Votes are counted per (vertex, label) with partial
-aggregation, then the winner per vertex (again partial, so a hub with
-millions of distinct labels is reduced before its final task).
+partitioned alike, so only votes move, once: to the bucket of their vertex, where they are counted per label, the winner is
+found and meets the old label. If a vertex is hot, votes are counted per (vertex, label) with partial
+aggregation first, then the winner per vertex (again partial, so a hub with
+millions of distinct labels is reduced before its final task). Of a numbered graph the count and the label
+are one long, whose maximum needs no sort.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from netfeat.constants import LABEL_PROPAGATION_ITERATIONS
 from netfeat.operators.graph import Graph
 
 
+def _winner(graph: Graph) -> tuple[Column, Column]:
+    """The aggregate of (n, label) rows that finds the most votes, ties to the smallest label, and the label of its value ``best``."""
+    n, label, best = F.col("n"), F.col("label"), F.col("best")
+    if graph._ids is not None:
+        bits = graph._ids.bit_length()
+        if bits + (2 * graph.sizes()[1]).bit_length() <= 62:  # a vertex has two votes an edge at most
+            last = (1 << bits) - 1
+            return F.max(F.shiftleft(n, bits) + (F.lit(last) - label)), F.lit(last) - best.bitwiseAND(F.lit(last))
+    return F.min(F.struct((-n).alias("neg_votes"), label)), F.col("best.label")
+
+
 def label_propagation(graph: Graph, max_iter: int = LABEL_PROPAGATION_ITERATIONS) -> DataFrame:
     """(*keys, id, label) for every vertex."""
     k = graph.key_list
     on = [*k, "id"]
     labels, state = graph.vertex_table().select(*on, F.col("id").alias("label")), None
+    most, of_best = _winner(graph)
+    spread = graph.hot() is not None
     for _ in range(max_iter):
         to_dst = graph.gather("src", labels).select(*k, F.col("dst").alias("id"), "label")
         to_src = graph.gather("dst", labels).select(*k, F.col("src").alias("id"), "label")
         votes = to_dst.unionByName(to_src)
+        if not spread:
+            votes = votes.repartition(graph.buckets(), *on)
         best = (
             votes.groupBy(*on, "label")
             .agg(F.count(F.lit(1)).alias("n"))
             .groupBy(*on)
-            .agg(F.min(F.struct((-F.col("n")).alias("neg_votes"), F.col("label"))).alias("best"))
-            .select(*on, F.col("best.label").alias("new_label"))
+            .agg(most.alias("best"))
+            .select(*on, of_best.alias("new_label"))
         )
         state = graph.put(
-            labels.join(best, on, "left").select(*on, F.coalesce("new_label", "label").alias("label")), old=state
+            labels.join(best.hint("shuffle_hash"), on, "left").select(*on, F.coalesce("new_label", "label").alias("label")), old=state
         )
         labels = state.frame
     return labels

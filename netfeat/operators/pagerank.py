@@ -46,7 +46,7 @@ def pagerank(graph: Graph, reset: float = PAGERANK_RESET, max_iter: int = PAGERA
             .agg(F.sum("share").alias("incoming"))
         )
         state = graph.put(
-            ranks.join(sums, on, "left").select(
+            ranks.join(sums.hint("shuffle_hash"), on, "left").select(
                 *on,
                 "inv_out",
                 (F.lit(reset) + F.lit(1.0 - reset) * F.coalesce(F.col("incoming"), F.lit(0.0))).alias("rank"),

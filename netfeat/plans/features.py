@@ -196,7 +196,7 @@ def _numbered(facts: DataFrame, facts_path: str, timeline: Timeline, skew: SkewC
     both.write.partitionBy("kind").parquet(path)
     delete_path(spark, facts_path)
     sg = _snapshot_graph(spark.read.schema(both.schema).parquet(path), path, timeline, skew, numbers)
-    sg.graph.know_sizes(bits["id"] or 0, bits["edge"] or 0)
+    sg.graph.know_sizes(bits["id"] or 0, bits["edge"] or 0, rows["id"])
     sg.graph._paths.extend(paths)
     return sg
 

@@ -141,6 +141,30 @@ def test_rounds_shuffle_only_partial_sums(spark):
     assert not path_exists(spark, state.path)
 
 
+def test_changes_and_rounds_run_in_generated_code(spark):
+    """No interpreted lambda a mask, no sort of the edges in a round, and of a numbered graph no sort of the votes."""
+    from netfeat.operators import labels as L
+
+    sg = prepare(random_trxn(spark), timeline=Timeline.of(snapshots(spark, MONTH_ENDS, (6, 12))))
+    g = sg.graph
+    assert "lambda" not in plan(degrees(g))
+    own = g.vertex_table().withColumn("label", F.col("id"))
+    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        p = plan(g.gather("src", own))
+    assert "ShuffledHashJoin" in p and "Sort" not in p.replace("SortOrder", ""), p
+    most, of_best = L._winner(g)
+    votes = spark.createDataFrame([(1, 5, 2), (1, 3, 2), (1, 0, 1), (2, 0, 7), (2, 24, 7), (3, 24, 1)], "id long, label long, n long")
+    best = votes.groupBy("id").agg(most.alias("best"))
+    assert "SortAggregate" not in plan(best)
+    got = {r.id: r.label for r in best.select("id", of_best.alias("label")).collect()}
+    assert got == {1: 3, 2: 0, 3: 24}
+    g.know_sizes(g.sizes()[0], 1 << 61, g._ids)  # too many for one long
+    most, of_best = L._winner(g)
+    best = votes.groupBy("id").agg(most.alias("best")).select("id", of_best.alias("label"))
+    assert {r.id: r.label for r in best.collect()} == got
+    sg.discard()
+
+
 def test_no_snapshots_give_empty_frames(spark):
     line = Timeline.of(snapshots(spark, [dt.date(2022, 1, 31)], (1,)).where("false"))
     trxn = random_trxn(spark, 20)

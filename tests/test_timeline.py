@@ -165,6 +165,26 @@ def test_changes_and_rounds_run_in_generated_code(spark):
     sg.discard()
 
 
+def test_star_rounds_leave_no_folder(spark):
+    from netfeat.operators.components import connected_components
+    from netfeat.session import checkpoint_dir
+
+    sc = spark.sparkContext
+    folder = sc._jvm.org.apache.hadoop.fs.Path(checkpoint_dir(spark))
+    fs = folder.getFileSystem(sc._jsc.hadoopConfiguration())
+
+    def folders():
+        return {s.getPath().getName() for s in fs.listStatus(folder) if s.getPath().getName().startswith(("netfeat_hot", "netfeat_stars"))}
+
+    for numbered in (True, False):
+        sg = prepare(random_trxn(spark), skew=SkewConfig(threshold=3), timeline=Timeline.of(snapshots(spark, MONTH_ENDS[:2], (6,))), numbered=numbered)
+        sg.graph.hot()
+        before = folders()
+        connected_components(sg.graph, spread_rounds=0).collect()
+        assert folders() == before
+        sg.discard()
+
+
 def test_no_snapshots_give_empty_frames(spark):
     line = Timeline.of(snapshots(spark, [dt.date(2022, 1, 31)], (1,)).where("false"))
     trxn = random_trxn(spark, 20)

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import os
-from functools import lru_cache
 from itertools import accumulate, chain
 
 import numpy as np
 
-from netfeat.llm.common import Memo, gaps
+from netfeat.llm.common import Memo, gaps, one_for_worker
 
 #: Pieces that a worker keeps, twice over; some 200 bytes each.
 MEMO = 1_100_000
@@ -100,7 +99,7 @@ class Tokenizer:
         return [b"".join(found[a:b]) for a, b in zip(cut, cut[1:])]
 
 
-@lru_cache(maxsize=4)
+@one_for_worker
 def tokenizer(path: str, memo: int = MEMO) -> Tokenizer:
     """One for each Python worker and vocabulary."""
     return Tokenizer(path, memo)

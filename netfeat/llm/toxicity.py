@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netfeat.llm import kernel
-from netfeat.llm.common import Memo, Workspace, map_texts, text_slices
+from netfeat.llm.common import Memo, Workspace, map_texts, one_for_worker, text_slices
 from netfeat.llm.training import held_out, sample
 
 #: Bound of the training sample: documents of each class. Their texts are whole.
@@ -127,16 +127,21 @@ class Scorer:
             saved[k] = v
         return _features(saved[back], w)
 
-    def scores(self, texts: list[str]) -> np.ndarray:
-        a, b, c = self.model.weights
+    def scores(self, texts: list[str], weights: tuple[float, ...] | None = None) -> np.ndarray:
+        a, b, c = weights or self.model.weights
         z = a + self.features(texts) @ np.array([b, c])
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-@lru_cache(maxsize=2)
+@one_for_worker
+def _of_dictionaries(ordinary: bytes, toxic: bytes) -> Scorer:
+    return Scorer(Model(ordinary, toxic, (0.0, 0.0, 0.0)))
+
+
 def _scorer(model: Model) -> Scorer:
-    """One for each Python worker, so that its windows' savings serve later tasks too."""
-    return Scorer(model)
+    """One for each Python worker, so that its windows' savings serve later tasks too. Savings do not depend on the
+    weights: the calibration and the scoring share them."""
+    return _of_dictionaries(model.ordinary, model.toxic)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, ...]:
@@ -219,7 +224,7 @@ def toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     a null id is not held out. An empty table gives an empty result; other columns are ignored."""
 
     def score(texts, batch):
-        s = _scorer(model).scores(texts)
+        s = _scorer(model).scores(texts, model.weights)
         return {"doc_id": batch.column("doc_id"), "score": s, "predicted": (s >= TOXIC_FROM).astype(np.int32)}
 
     scored = map_texts(
@@ -236,6 +241,6 @@ def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
     def run(batches):
         for batch in batches:
             for texts, part in text_slices(batch, text_col):
-                yield part.filter(pa.array(_scorer(model).scores(texts) < TOXIC_FROM))
+                yield part.filter(pa.array(_scorer(model).scores(texts, model.weights) < TOXIC_FROM))
 
     return docs.mapInArrow(run, docs.schema)

@@ -140,6 +140,20 @@ def test_toxicity_finds_planted_words(spark):
     assert (out.predicted == out.toxic).mean() > 0.97
 
 
+def test_a_worker_holds_one_large_state():
+    """Calibration and scoring share the windows' savings, and a state of another kind replaces them."""
+    from netfeat.llm.common import one_for_worker
+
+    fit, final = (toxicity.Model(b"ordinary words", b"zgrumpf", w) for w in ((0.0, 0.0, 0.0), (-3.0, 9.0, 2.0)))
+    scorer = toxicity._scorer(fit)
+    assert toxicity._scorer(final) is scorer
+    texts = ["zgrumpf on the road", ""]
+    assert toxicity._scorer(final).scores(texts, final.weights).tolist() == toxicity.Scorer(final).scores(texts).tolist()
+    other = one_for_worker(lambda k: [k])
+    assert other(1) is other(1)
+    assert toxicity._scorer(final) is not scorer
+
+
 def test_toxicity_learns_from_whole_texts(spark):
     """The words that tell stand behind the first 1,500 words of each toxic document."""
     rng = random.Random(7)

@@ -13,7 +13,7 @@ import sentencepiece
 import tokenizers
 
 import brute
-from netfeat.llm import alignment, sequences, sources_audit
+from netfeat.llm import alignment, sequences, sources_audit, tokens
 from netfeat.llm.common import Workspace
 from netfeat.llm.queries import vocabulary
 
@@ -161,6 +161,17 @@ def check_sequences(got, rows):
     assert order == sorted(order, key=lambda i: (i is None, i))
 
 
+@pytest.mark.parametrize("memo", [5, 1_000])
+def test_ids_of_pieces_are_the_library_s(memo):
+    """Marks that a letter's lower case or normal form ends with belong to the punctuation after it."""
+    texts = ["İ, İ. \u0958! a", "Word, word (word) don't 's. it's' a_b x--", "", "  \n\t", "ΣΑΣ, ß! é? <|endoftext|>", "WORD word,, Word.", "y" * 100]
+    tokenizer = tokens.Tokenizer(IDS, memo)
+    for _ in range(2):
+        got = [np.frombuffer(ids, "<u4").tolist() for ids in tokenizer.encode(texts)]
+        assert got == [ids[:-1] for ids in ids_by_library(texts)]
+    assert tokenizer.encode([]) == []
+
+
 @pytest.mark.parametrize("options", [{}, {"length": 16, "batch": 3, "shard_tokens": 500, "task_bytes": 4000}])
 def test_sequences_of_messy_rows(messy, messy_df, empty_df, options):
     check_sequences(sequences.token_sequences(messy_df, IDS, **options).collect(), [(i, t) for i, t, *_ in messy])

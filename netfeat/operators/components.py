@@ -15,7 +15,8 @@ is the diameter. The rounds begin with fewer edges than the graph has:
 
 - a numbered graph (``Graph.spans``) is first reduced within its partitions: a union-find over the edges of a
   partition, for every snapshot, hands on one edge from each vertex to the smallest vertex it reaches there
-  (fewer edges than the partition has vertices);
+  (fewer edges than the partition has vertices). In its rounds the small star is such a reduction as well: the edges are dealt by
+  their larger end to a few tasks a snapshot, of ``GROUP_EDGES`` edges each (:func:`_merge_rounds`);
 - otherwise two cheap rounds of min-label spreading on the static
   graph come first (edges stay in place, only labels move), and the star rounds run on
   the edges between labels.
@@ -46,6 +47,8 @@ from netfeat.session import checkpoint_dir, cut_lineage, delete_path
 MAX_ROUNDS = 1_000
 #: Edges that a task collects, over all snapshots, before it reduces them to a forest.
 FOREST_EDGES = 2_000_000
+#: Edges of a snapshot that are dealt to one task of a merge, about.
+GROUP_EDGES = 4_000_000
 
 
 def _written(df: DataFrame, paths: list[str]) -> DataFrame:
@@ -116,9 +119,10 @@ def _min_label_rounds(graph: Graph, rounds: int) -> DataFrame:
     return labels
 
 
-def _local_forests(spans: DataFrame) -> DataFrame:
-    """(snap, a, b): for every snapshot and partition of ``spans`` (_chunk, src, dst, _mask; ids as longs) an edge from
-    the smallest vertex of each tree of a spanning forest to each other vertex of it.
+def _forest_task(masks: bool):
+    """For mapInArrow: rows (_chunk, src, dst, _mask) or, without ``masks``, (snap, a, b, moved) with a < b, ids as longs -> for
+    every snapshot an edge (snap, a, b, moved) from the smallest vertex of each tree of a spanning forest of the task's edges to each
+    other vertex of it. ``moved`` is true for a snapshot of which the task had an edge that moved or that is not among those it returns.
 
     The state of a task is one tree edge for each vertex that it has seen in a snapshot, and a bounded number of
     edges on top; the batches are Arrow arrays of longs. The function is pure, so a task may run again."""
@@ -131,7 +135,8 @@ def _local_forests(spans: DataFrame) -> DataFrame:
 
         def stars(a, b):
             ids, ends = np.unique(np.concatenate((a, b)), return_inverse=True)
-            label, u, v = np.arange(len(ids)), ends[: len(a)], ends[len(a) :]
+            label, first, second = np.arange(len(ids)), ends[: len(a)], ends[len(a) :]
+            u, v = first, second
             while len(u):
                 u, v = label[u], label[v]
                 low, high = np.minimum(u, v), np.maximum(u, v)
@@ -144,17 +149,19 @@ def _local_forests(spans: DataFrame) -> DataFrame:
                         break
                     label = jumped
             member = np.flatnonzero(label != np.arange(len(ids)))
-            return ids[label[member]], ids[member]
+            return ids[label[member]], ids[member], bool((label[second] != first).any())
 
-        held, waiting, n = {}, {}, 0
+        held, waiting, moved, n = {}, {}, set(), 0
 
         def reduce():
             for snap, parts in waiting.items():
                 a, b = (np.concatenate(x) for x in zip(*parts, held.get(snap, (np.zeros(0, np.int64),) * 2)))
-                held[snap] = stars(a, b)
+                *held[snap], changed = stars(a, b)
+                if changed:
+                    moved.add(snap)
             waiting.clear()
 
-        for batch in batches:
+        def masked(batch):
             of, src, dst, mask = (batch.column(c).to_numpy() for c in range(4))
             for c in np.unique(of).tolist():
                 mine = of == c
@@ -162,16 +169,80 @@ def _local_forests(spans: DataFrame) -> DataFrame:
                 for bit in range(chunk):
                     if some >> bit & 1:
                         edge = mine & ((mask >> bit) & 1 == 1) & (src != dst)
-                        waiting.setdefault(c * chunk + bit, []).append((src[edge], dst[edge]))
-                        n += int(edge.sum())
+                        yield c * chunk + bit, src[edge], dst[edge]
+
+        def plain(batch):
+            of, a, b, before = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(4))
+            moved.update(np.unique(of[before]).tolist())
+            for snap in np.unique(of).tolist():
+                yield snap, a[of == snap], b[of == snap]
+
+        for batch in batches:
+            for snap, a, b in masked(batch) if masks else plain(batch):
+                waiting.setdefault(snap, []).append((a, b))
+                n += len(a)
             if n >= limit:
                 reduce()
                 n = 0
         reduce()
         for snap, (a, b) in held.items():
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), snap, np.int32)), pa.array(a), pa.array(b)], names=["snap", "a", "b"])
+            columns = [np.full(len(a), snap, np.int32), a, b, np.full(len(a), snap in moved)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["snap", "a", "b", "moved"])
+
+    return forests
+
+
+_FOREST = f"{SNAP} int, a long, b long, moved boolean"
 
-    return spans.select(CHUNK_COL, "src", "dst", MASK).mapInArrow(forests, f"{SNAP} int, a long, b long")
+
+def _local_forests(spans: DataFrame) -> DataFrame:
+    """(snap, a, b, moved): the forests of the partitions of ``spans`` (_chunk, src, dst, _mask; ids as longs)."""
+    return spans.select(CHUNK_COL, "src", "dst", MASK).mapInArrow(_forest_task(True), _FOREST)
+
+
+def _merged(edges: DataFrame, groups: DataFrame, tasks: int) -> DataFrame:
+    """The forests of ``edges`` (snap, a, b, moved) dealt by their larger end to the ``groups`` (snap, _groups, _before) of their
+    snapshot, and these in turn to the ``tasks``. A vertex is the larger end of a task's edge once at most, so no vertex is hot in a later deal."""
+    task = F.pmod(F.col("_before") + F.pmod(F.xxhash64("b"), F.col("_groups")), F.lit(tasks)).cast("int")
+    dealt = edges.join(F.broadcast(groups), SNAP).select(SNAP, "a", "b", "moved", task.alias("_task"))
+    return dealt.repartitionById(tasks, F.col("_task")).select(SNAP, "a", "b", "moved").mapInArrow(_forest_task(False), _FOREST)
+
+
+def _groups(edges: DataFrame) -> DataFrame:
+    """(snap, _groups, _before): the tasks that share a snapshot's edges, two at least, and the tasks of those before it. A row a
+    snapshot comes to the driver (``MAX_SNAPSHOTS`` bounds them)."""
+    rows, before = [], 0
+    for snap, n in sorted(tuple(r) for r in edges.groupBy(SNAP).count().collect()):
+        rows.append((snap, max(2, -(-n // GROUP_EDGES)), before))
+        before += rows[-1][1]
+    return edges.sparkSession.createDataFrame(rows, f"{SNAP} int, _groups long, _before long")
+
+
+def _merge_rounds(edges: DataFrame, skew: SkewConfig, bound: int, tasks: int, max_rounds: int, paths: list[str]) -> DataFrame:
+    """Rounds on the forests ``edges`` (snap, a, b, moved) of a numbered graph until none moves an edge; returns the final stars
+    (centre a, member b), each edge once. ``paths`` as of :func:`_star_rounds`.
+
+    The smallest vertex that a is linked to takes the place of a in each of its edges (the large star); then the edges of every
+    b meet in one task, which links all that it reaches (the small star, and more), so a round is a look-up and a deal. Centres of many edges
+    are salted in the look-up. If no centre has a smaller one and no task changes an edge, each b has one edge, to a vertex without any."""
+    spark, on = edges.sparkSession, [SNAP, "a"]
+    groups = _groups(edges)
+    for k in range(max_rounds):
+        before = list(paths)
+        if k:
+            hot = hot_keys(edges.groupBy(*on).agg(F.count(F.lit(1)).alias("deg")), on, "deg", skew, bound, paths)
+            least = edges.groupBy(SNAP, F.col("b").alias("a")).agg(F.min("a").alias("m"))
+            edges = salted_join(edges.select(SNAP, "a", "b"), least, on, hot, F.col("b"), "left").select(
+                SNAP, F.coalesce("m", "a").alias("a"), "b", F.col("m").isNotNull().alias("moved")
+            )
+        helpers = paths[len(before):]
+        edges = _written(_merged(edges, groups, tasks), paths)
+        for path in (*before, *helpers):
+            delete_path(spark, path)
+            paths.remove(path)
+        if k and edges.where("moved").isEmpty():
+            return edges.drop("moved")
+    raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
 
 
 def _star_rounds(
@@ -220,8 +291,8 @@ def _components(
     graph: Graph, k: list[str], on: list[str], skew: SkewConfig, bound: int, spread_rounds: int, max_rounds: int, paths: list[str]
 ) -> DataFrame:
     if graph.spans is not None and graph.spans.schema["src"].dataType == LongType():
-        forest = _written(_local_forests(graph.spans).distinct(), paths)
-        stars = _star_rounds(forest, k, skew, bound, max_rounds, paths)
+        forest = _written(_local_forests(graph.spans), paths)
+        stars = _merge_rounds(forest, skew, bound, graph.buckets(), max_rounds, paths)
         centre = stars.select(*k, F.col("b").alias("id"), F.col("a").alias("centre"))
         return cut_lineage(
             graph.vertex_table().join(centre, on, "left").select(*on, F.coalesce("centre", "id").alias("component"))

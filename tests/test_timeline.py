@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import micro
 from netfeat.operators import timeline as T
-from netfeat.operators.graph import degrees, out_degrees
+from netfeat.operators.graph import Graph, degrees, out_degrees
 from netfeat.operators.neighbors import risky_neighbor_counts
 from netfeat.operators.risk import add_risk_flags
 from netfeat.operators.clean import clean_transactions
@@ -185,6 +185,27 @@ def test_star_rounds_leave_no_folder(spark):
         sg.discard()
 
 
+def test_edges_of_a_snapshot_meet_in_a_few_rounds(spark, monkeypatch):
+    """Two chains, whose links lie in many partitions: a round writes its edges once, and with any number of tasks rounds are few."""
+    from netfeat.operators import components as C
+
+    writes, written = [], C._written
+    monkeypatch.setattr(C, "_written", lambda *args: writes.append(1) or written(*args))
+    links = [(i * 7919 % 400 * 10 + c, (i + 1) * 7919 % 400 * 10 + c) for c in (1, 2) for i in range(399)]
+    spans = spark.createDataFrame([(0, a, b, 3 if a % 10 == 1 else 2) for a, b in links], "_chunk int, src long, dst long, _mask long").repartition(16)
+    ids = sorted({i for link in links for i in link})
+    vertices = spark.createDataFrame([(s, i) for s in (0, 1) for i in ids if s or i % 10 == 1], "snap int, id long")
+    want = {(s, i): i % 10 for s in (0, 1) for i in ids if s or i % 10 == 1}
+    for edges in (4_000_000, 100):
+        monkeypatch.setattr(C, "GROUP_EDGES", edges, raising=False)
+        writes.clear()
+        graph = Graph(vertices, spans.select(F.lit(1).alias("snap"), "src", "dst"), ("snap",), spans=spans)
+        got = C.connected_components(graph).collect()
+        assert len(got) == len(want) and {(r.snap, r.id): r.component for r in got} == want
+        assert len(writes) <= 12, writes
+        graph.release(delete_files=True)
+
+
 def test_no_snapshots_give_empty_frames(spark):
     line = Timeline.of(snapshots(spark, [dt.date(2022, 1, 31)], (1,)).where("false"))
     trxn = random_trxn(spark, 20)

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from netfeat.constants import SENTINEL_IDS
 
+#: Entries of a country array that are looked up one by one.
+FEW_COUNTRIES = 4
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -23,10 +26,15 @@ def valid_id(c: Column | str, sentinels: Iterable[str] = SENTINEL_IDS) -> Column
 def country_flag(c: Column | str, codes: Iterable[str]) -> Column:
     """1 if the country array shares an entry with ``codes``, else 0.
 
-    A null array, an empty array and an array of nulls all give 0.
+    A null array, an empty array and an array of nulls all give 0. The entries of an array of up to ``FEW_COUNTRIES`` are looked up in the
+    set of codes; ``arrays_overlap`` goes through all codes for every row.
     """
-    codes_lit = F.array(*[F.lit(x) for x in codes])
-    return F.coalesce(F.arrays_overlap(_col(c), codes_lit), F.lit(False)).cast("int")
+    c, codes = _col(c), list(codes)
+    few = F.lit(False)
+    for i in range(FEW_COUNTRIES):
+        few = few | F.coalesce(F.get(c, F.lit(i)).isin(*codes), F.lit(False))
+    many = F.coalesce(F.arrays_overlap(c, F.array(*[F.lit(x) for x in codes])), F.lit(False))
+    return F.when(F.size(c) > FEW_COUNTRIES, many).otherwise(few).cast("int")
 
 
 def prefix_flag(c: Column | str, prefixes: Iterable[str]) -> Column:

@@ -46,7 +46,7 @@ class Graph:
     Call :meth:`release` when no lazy frame reads the bucketed copies any more.
 
     ``spans`` (``_chunk, src, dst, _mask``), if known, are the edges once each with the snapshots they
-    hold in (:mod:`netfeat.operators.timeline`); ``keys`` is then ``("snap",)``.
+    hold in (:mod:`netfeat.operators.timeline`); ``keys`` is then ``("snap",)``, and ``snapshots`` their number.
     """
 
     vertices: DataFrame
@@ -54,6 +54,8 @@ class Graph:
     keys: tuple[str, ...] = ()
     skew: SkewConfig = DEFAULT_SKEW
     spans: DataFrame | None = None
+    snapshots: int | None = None
+    no_hub: bool = False
     _hot: object = field(default=None, repr=False)
     _hot_done: bool = field(default=False, repr=False)
     _sizes: tuple[int, int] | None = field(default=None, repr=False)
@@ -83,6 +85,10 @@ class Graph:
         """``ids``: a bound above every id, if the ids are numbers from 0 on."""
         self._sizes, self._ids = (vertices, edges), ids
 
+    def know_none_hot(self) -> None:
+        """For a build that has seen that no id is in more edges, over all snapshots, than the skew threshold."""
+        self._hot, self._hot_done, self.no_hub = None, True, True
+
     def hot(self) -> DataFrame | None:
         """Vertices whose degree exceeds the skew threshold (bounded table) or None."""
         bound = 2 * self.sizes()[1]  # a degree never exceeds twice the edge rows
@@ -258,7 +264,7 @@ def degrees(graph: Graph) -> DataFrame:
     """
     k = graph.key_list
     if graph.spans is not None:
-        return counts_by_snapshot(_ends(graph.spans), "id", "degree").select(SNAP, "id", "degree")
+        return counts_by_snapshot(_ends(graph.spans), "id", "degree", graph.snapshots).select(SNAP, "id", "degree")
     return (
         graph.edges.select(*k, F.explode(F.array("src", "dst")).alias("id"))
         .groupBy(*k, "id")
@@ -268,7 +274,7 @@ def degrees(graph: Graph) -> DataFrame:
 
 def out_degrees(graph: Graph) -> DataFrame:
     if graph.spans is not None:
-        return counts_by_snapshot(graph.spans.withColumnRenamed("src", "id"), "id", "out_degree")
+        return counts_by_snapshot(graph.spans.withColumnRenamed("src", "id"), "id", "out_degree", graph.snapshots)
     k = graph.key_list
     return graph.edges.groupBy(*k, F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("out_degree"))
 

@@ -82,14 +82,14 @@ def risky_neighbor_counts(graph: Graph, nodes: DataFrame, spans: DataFrame | Non
     on = [*k, "id"]
     if spans is not None and graph.spans is not None:
         risk = spans.withColumnRenamed(MASK, "_risk")
-        hot = hot_keys(_ends(graph.spans).groupBy(CHUNK_COL, "id").agg(F.count(F.lit(1)).alias("n")), [CHUNK_COL, "id"], "n", graph.skew, 2 * graph.sizes()[1], graph._paths)
+        hot = None if graph.no_hub else hot_keys(_ends(graph.spans).groupBy(CHUNK_COL, "id").agg(F.count(F.lit(1)).alias("n")), [CHUNK_COL, "id"], "n", graph.skew, 2 * graph.sizes()[1], graph._paths)
         ends = []
         for end, other in (("src", "dst"), ("dst", "src")):
             named = None if hot is None else hot.withColumnRenamed("id", end)
             met = salted_join(graph.spans, risk.withColumnRenamed("id", end), [CHUNK_COL, end], named, F.col(other))
             both = F.col(MASK).bitwiseAND(F.col("_risk"))
             ends.append(met.select(CHUNK_COL, F.col(other).alias("id"), both.alias(MASK)).where(F.col(MASK) != 0))
-        return counts_by_snapshot(ends[0].unionByName(ends[1]), "id", "high_risk_neighbor_count").select(*on, "high_risk_neighbor_count")
+        return counts_by_snapshot(ends[0].unionByName(ends[1]), "id", "high_risk_neighbor_count", graph.snapshots).select(*on, "high_risk_neighbor_count")
     risky = nodes.select(*on).join(graph.vertices, on, "left_semi")
     to_src = graph.gather("dst", risky).select(*k, F.col("src").alias("id"))
     to_dst = graph.gather("src", risky).select(*k, F.col("dst").alias("id"))

@@ -33,28 +33,28 @@ MAX_SNAPSHOTS = 20_000
 MAX_DAYS = 1_000_000
 
 
-def run_changes(spans: DataFrame, columns: list[str]) -> DataFrame:
+def run_changes(spans: DataFrame, columns: list[str], snapshots: int | None = None) -> DataFrame:
     """(columns, at, delta): the places of ``spans`` (columns, _mask) at which runs of ones begin (1) or have ended (-1).
 
-    A mask meets every place and those without a change are dropped, all in generated code: the same with functions
+    A mask meets every place up to the one after the last of ``snapshots`` (of a chunk, if unknown or more) and those without a change are dropped, all in generated code: the same with functions
     of arrays is interpreted, and took 20 to 40 us a mask."""
-    before = F.shiftleft(MASK, 1)
+    before, last = F.shiftleft(MASK, 1), CHUNK if snapshots is None else min(CHUNK, snapshots)
     begins = F.col(MASK).bitwiseAND(F.bitwise_not(before))
     places = spans.select(*columns, MASK, begins.alias("_begins"), F.col(MASK).bitwiseXOR(before).alias("_changes")).select(
-        *columns, "_begins", "_changes", F.explode(F.array(*map(F.lit, range(CHUNK + 1)))).alias("at")
+        *columns, "_begins", "_changes", F.explode(F.array(*map(F.lit, range(last + 1)))).alias("at")
     )
     return places.where(F.getbit("_changes", F.col("at")) == 1).select(
         *columns, "at", (2 * F.getbit("_begins", F.col("at")) - 1).alias("delta")
     )
 
 
-def counts_by_snapshot(spans: DataFrame, id_col: str, name: str) -> DataFrame:
+def counts_by_snapshot(spans: DataFrame, id_col: str, name: str, snapshots: int | None = None) -> DataFrame:
     """``spans`` (_chunk, id, _mask), a row for each thing counted -> (snap, id, name) where the count is not 0.
 
     Difference arrays: the changes of an id are summed by place (partial sums before the shuffle) and added up
     along the snapshots; each stretch of equal counts then gives its snapshots."""
     changes = (
-        run_changes(spans, [id_col, CHUNK_COL])
+        run_changes(spans, [id_col, CHUNK_COL], snapshots)
         .groupBy(id_col, (F.col(CHUNK_COL) * CHUNK + F.col("at")).alias("_at"))
         .agg(F.sum("delta").alias("_delta"))
     )

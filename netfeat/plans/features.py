@@ -197,6 +197,8 @@ def _numbered(facts: DataFrame, facts_path: str, timeline: Timeline, skew: SkewC
     delete_path(spark, facts_path)
     sg = _snapshot_graph(spark.read.schema(both.schema).parquet(path), path, timeline, skew, numbers)
     sg.graph.know_sizes(bits["id"] or 0, bits["edge"] or 0, rows["id"])
+    if hot is None:
+        sg.graph.know_none_hot()
     sg.graph._paths.extend(paths)
     return sg
 
@@ -212,7 +214,7 @@ def _snapshot_graph(
         return timeline.expand(held).select(SNAP, "id")
 
     spans = edges.select(CHUNK_COL, F.col("a").alias("src"), F.col("b").alias("dst"), F.col("valid").alias(MASK))
-    graph = Graph(having("valid"), timeline.expand(spans).select(SNAP, "src", "dst"), (SNAP,), skew, spans)
+    graph = Graph(having("valid"), timeline.expand(spans).select(SNAP, "src", "dst"), (SNAP,), skew, spans, len(timeline))
     flagged = F.col("valid").bitwiseAND(F.col("risky"))
     risky_spans = ids.select(CHUNK_COL, F.col("a").alias("id"), flagged.alias(MASK)).where(F.col(MASK) != 0)
     risky = having("risky").withColumn("is_high_risk", F.lit(1))

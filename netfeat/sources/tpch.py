@@ -59,10 +59,10 @@ def tpch_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     ext_c = _iso(F.col("c_nationkey"))
     cp_c = F.when(ln == 6, F.lit(None).cast("string")).otherwise(_iso(F.col("l_partkey") % 25))
     as_array = lambda x: F.when(x.isNotNull(), F.array(x))
+    # the customers meet the orders, of which there are fewer than lines
+    placed = o.join(c, F.col("c_custkey") == F.col("o_custkey")).where(F.col("c_nationkey").between(0, len(NATION_ISO3) - 1))
     return (
-        o.join(li, ok == lk)
-        .join(c, F.col("c_custkey") == F.col("o_custkey"))
-        .where(F.col("c_nationkey").between(0, len(NATION_ISO3) - 1))
+        placed.join(li, ok == lk)
         .select(
             ext.alias(ENTITY),
             as_array(ext_c).alias(ENTITY_COUNTRIES),

@@ -20,18 +20,21 @@ from netfeat.operators.skew import SkewConfig, hot_keys, salted_join
 def community_metrics(graph: Graph, labels: DataFrame) -> DataFrame:
     """(*keys, label, community_size, edge_count, community_density, community_avg_degree)."""
     k = graph.key_list
-    # edges per (destination, label of the source): summed before the shuffle, so a hub is its
-    # distinct neighbour labels; only those that meet the destination's own label survive the join
-    arriving = (
-        graph.gather("src", labels)
-        .groupBy(*k, F.col("dst").alias("id"), "label")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    intra = (
-        arriving.join(labels.select(*k, "id", "label"), [*k, "id", "label"])
-        .groupBy(*k, "label")
-        .agg(F.sum("n").alias("edge_count"))
-    )
+    arriving = graph.gather("src", labels).select(*k, F.col("dst").alias("id"), "label")
+    if graph.hot() is None:
+        # every edge meets the label of its destination in that vertex's bucket
+        own = labels.select(*k, "id", F.col("label").alias("own")).hint("shuffle_hash")
+        within = arriving.repartition(graph.buckets(), *k, "id").join(own, [*k, "id"]).where(F.col("label") == F.col("own"))
+        intra = within.groupBy(*k, "label").agg(F.count(F.lit(1)).alias("edge_count"))
+    else:
+        # edges per (destination, label of the source): summed before the shuffle, so a hub is its
+        # distinct neighbour labels; only those that meet the destination's own label survive the join
+        arriving = arriving.groupBy(*k, "id", "label").agg(F.count(F.lit(1)).alias("n"))
+        intra = (
+            arriving.join(labels.select(*k, "id", "label"), [*k, "id", "label"])
+            .groupBy(*k, "label")
+            .agg(F.sum("n").alias("edge_count"))
+        )
     size = labels.groupBy(*k, "label").agg(F.count(F.lit(1)).alias("community_size"))
     n = F.col("community_size")
     e = F.col("edge_count")
